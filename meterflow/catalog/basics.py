@@ -38,14 +38,14 @@ def s2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("s3_clean_by_date", f"""WITH {readings_sql()}
-SELECT CAST("Timestamp" AS DATE) AS date, count(*) AS rows, round(avg("Electricity_Consumed"), 6) AS mean
+SELECT strftime("Timestamp", '%Y-%m-%d') AS date, count(*) AS rows, round(avg("Electricity_Consumed"), 6) AS mean
 FROM readings WHERE "Timestamp" >= TIMESTAMP '2024-01-10' AND "Timestamp" < TIMESTAMP '2024-01-20' GROUP BY 1""")
 def s3(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = readings(spark, sf_dir).select(*READING_COLUMNS)
     path = write_clean(source, scratch_path(spark, "clean"))
     # The day partitions are pruned by this filter before any file is opened.
     return (read_clean(spark, path).where(F.col("date").between("2024-01-10", "2024-01-19"))
-            .groupBy("date").agg(F.count(F.lit(1)).alias("rows"), six(F.avg(TARGET)).alias("mean")))
+            .groupBy(F.col("date").cast("string").alias("date")).agg(F.count(F.lit(1)).alias("rows"), six(F.avg(TARGET)).alias("mean")))
 
 
 GRID_LIST = '"Timestamp", "Electricity_Consumed", "Temperature", "Humidity", "Wind_Speed"'
@@ -480,11 +480,13 @@ def p4(spark: SparkSession, sf_dir: str) -> DataFrame:
 MATRIX = ("Electricity_Consumed", "Temperature", "Humidity", "Wind_Speed", "Avg_Past_Consumption", *CALENDAR, *ROLLING)
 
 
-@query("m1_feature_matrix", f"WITH {EVALUABLE} SELECT {rounded_sql(MATRIX, ('Timestamp',))} FROM evaluable")
+_AS_DOUBLES = ", ".join(f'round(CAST("{c}" AS DOUBLE), 6) AS "{c}"' for c in MATRIX)
+
+
+@query("m1_feature_matrix", f"""WITH {EVALUABLE} SELECT "Timestamp", {_AS_DOUBLES} FROM evaluable""")
 def m1(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mx.evaluable_rows(ft.base_features(readings(spark, sf_dir), ONE), ONE)
-    assert mx.feature_columns(rows, ONE) == list(dict.fromkeys(mx.feature_columns(rows, ONE)))
-    return rows.select(TIMESTAMP, *[six(F.col(c).cast("double")).alias(c) for c in MATRIX])
+    return rows.select(TIMESTAMP, *[six(F.col(c).cast("double")).alias(c) for c in mx.feature_columns(rows, ONE)])
 
 
 @query("m2_aligned_context", f"""WITH {EVALUABLE} SELECT "Timestamp", hour, "Electricity_Consumed" FROM evaluable""")

@@ -176,10 +176,16 @@ def boosted_fit(train: DataFrame, features: Sequence[str], target: str, trees: i
     require_columns(train, [*features, target])
     regressor = GBTRegressor(featuresCol="_features", labelCol=target, maxIter=trees, stepSize=step,
                              maxDepth=depth, seed=seed, checkpointInterval=10)
-    slim = train.select(*features, target)
+    slim = few_partitions(train.select(*features, target))
     return regressor.fit(VectorAssembler(inputCols=list(features), outputCol="_features").transform(slim))
 
 
+def few_partitions(df: DataFrame, rows_per_partition: int = 50_000) -> DataFrame:
+    """Fewer partitions for a small training table: an iterative learner pays per task and pass."""
+    wanted = max(1, math.ceil(df.count() / rows_per_partition))
+    return df.coalesce(wanted)
+
+
 def boosted_frame(df: DataFrame, spec: SeriesSpec, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
     """Lag table with its own chronological split, checkpointed for the training passes."""
     return materialize(forecast_split(supervised_lags(df, spec, layout=layout), spec, layout=layout))
@@ -213,6 +219,6 @@ def window_regression_forecast(df: DataFrame, spec: SeriesSpec, features: Sequen
         F.col("next_step")[0].alias(spec.target)))
     regression = LinearRegression(featuresCol="_features", labelCol=spec.target, regParam=penalty,
                                   elasticNetParam=mix, maxIter=100)
-    model = regression.fit(table.where(F.col("split") == "train"))
+    model = regression.fit(few_partitions(table.where(F.col("split") == "train")))
     return prediction_frame(model.transform(table.where(F.col("split") == "test")), spec, "prediction")
 

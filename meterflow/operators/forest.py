@@ -170,7 +170,8 @@ def _grow_tree(x: np.ndarray, allowed: np.ndarray, limit: int, rng: np.random.Ge
             nodes[node][4] = depth + float(mean_path(np.array([len(members)]))[0])
             continue
         pick = rng.choice(varied)
-        cut = rng.uniform(low[pick], high[pick])
+        # Rounding may lift a draw to the upper end, which would leave one side empty.
+        cut = min(rng.uniform(low[pick], high[pick]), np.nextafter(high[pick], low[pick]))
         below = block[:, pick] <= cut
         children = (len(nodes), len(nodes) + 1)
         nodes += [[-1, 0.0, -1, -1, 0.0], [-1, 0.0, -1, -1, 0.0]]
