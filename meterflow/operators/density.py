@@ -17,10 +17,12 @@ certified, which no exact method avoids when ``eps`` spans the data.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,9 @@ from meterflow.functions.checks import require_columns
 from meterflow.session import materialize
 from meterflow.spec import DEFAULT_LAYOUT, Layout
 
+# Task functions travel by value, so executors do not need this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 METRICS = ("euclidean", "manhattan")
 
 
@@ -82,12 +87,19 @@ class _Grid:
             F.col("_core")[i] | F.coalesce(F.col("_reach")[i], F.lit(False)), 0).otherwise(1))
         return marked.join(reached, "_id", "left").select("_x", flags.alias("_flags"))
 
-    def _axes(self, points: DataFrame) -> list[int]:
-        """The two widest dimensions, measured in largest radii, carry the coarse cells."""
-        row = points.agg(*[(F.max(F.col("_x")[i]) - F.min(F.col("_x")[i])).alias(f"d{i}")
+    def _axes(self, points: DataFrame) -> list[tuple[int, float]]:
+        """The two widest dimensions and the side of a coarse cell along each.
+
+        Cells are no narrower than the largest radius and else sized to hold about one block of
+        points, so a sparse table does not fall apart into tiny groups.
+        """
+        row = points.agg(F.count(F.lit(1)).alias("n"),
+                         *[(F.max(F.col("_x")[i]) - F.min(F.col("_x")[i])).alias(f"d{i}")
                            for i in range(self.dims)]).first()
-        spans = [(row[i] or 0.0, -i) for i in range(self.dims)]
-        return [-i for _, i in sorted(spans, reverse=True)[:2]]
+        spans = sorted(((row[f"d{i}"] or 0.0, -i) for i in range(self.dims)), reverse=True)[:2]
+        per_axis = max(1.0, (row["n"] / self.layout.block_rows) ** (1 / len(spans)))
+        reach = self.radii[-1] * (1 + 1e-9)
+        return [(-i, max(reach, span / per_axis)) for span, i in spans]
 
     def _certified(self, points: DataFrame) -> DataFrame:
         """Mark points of cells whose diameter is below the smallest radius and whose weight suffices."""
@@ -101,23 +113,21 @@ class _Grid:
         return (celled.join(heavy, "_cell", "left")
                 .withColumn("_sure", F.coalesce("_heavy", F.lit(False))).drop("_cell", "_heavy"))
 
-    def _blocks(self, queries: DataFrame, candidates: DataFrame, axes: list[int]):
-        """Pair the blocks of every coarse cell: queries meet candidates of the 3x3 cells around them."""
+    def _blocks(self, queries: DataFrame, candidates: DataFrame, axes: list[tuple[int, float]]):
+        """Pair blocks of points: queries go to every coarse cell their largest radius touches."""
         reach = F.lit(self.radii[-1] * (1 + 1e-9))
 
-        def coordinate(axis: int) -> Column:
-            return F.floor(F.col("_x")[axis] / reach)
-
-        def home(df: DataFrame) -> DataFrame:
-            return df.withColumn("_place", F.struct(*[coordinate(a).alias(f"c{i}") for i, a in enumerate(axes)]))
+        def number(value: Column, side: float) -> Column:
+            return F.floor(value / F.lit(side))
 
         near = queries
-        for i, axis in enumerate(axes):
-            shifts = F.array(*[coordinate(axis) + s for s in (-1, 0, 1)])
-            near = near.withColumn(f"_c{i}", F.explode(shifts))
-        near = near.withColumn("_place", F.struct(*[F.col(f"_c{i}").alias(f"c{i}") for i in range(len(axes))]))
-        near = near.drop(*[f"_c{i}" for i in range(len(axes))])
-        far = home(candidates)
+        for i, (axis, side) in enumerate(axes):
+            x = F.col("_x")[axis]
+            near = near.withColumn(f"_c{i}", F.explode(F.sequence(number(x - reach, side), number(x + reach, side))))
+        names = [f"_c{i}" for i in range(len(axes))]
+        near = near.withColumn("_place", F.struct(*names)).drop(*names)
+        far = candidates.withColumn("_place", F.struct(*[
+            number(F.col("_x")[axis], side).alias(name) for name, (axis, side) in zip(names, axes, strict=True)]))
 
         def block_count(df: DataFrame, name: str) -> DataFrame:
             per_block = self.layout.block_rows
@@ -130,9 +140,14 @@ class _Grid:
         right = (far.join(cells, "_place").withColumn("_c", F.pmod(spread, F.col("_nc")))
                  .withColumn("_q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nq") - 1))))
         keys = ["_place", "_q", "_c"]
-        return left.groupBy(*keys), right.groupBy(*keys)
 
-    def _neighbour_counts(self, queries: DataFrame, candidates: DataFrame, axes: list[int]) -> DataFrame:
+        def renewed(df: DataFrame) -> DataFrame:
+            # Both sides stem from the same points; new column identities keep the cogroup unambiguous.
+            return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+        return renewed(left).groupBy(*keys), renewed(right).groupBy(*keys)
+
+    def _neighbour_counts(self, queries: DataFrame, candidates: DataFrame, axes: list[tuple[int, float]]) -> DataFrame:
         radii, metric = self.radii, self.metric
 
         def count(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
@@ -147,7 +162,7 @@ class _Grid:
         partial = left.cogroup(right).applyInPandas(count, "_id long, _near array<long>")
         return _combine(partial, "_near", len(radii), F.sum)
 
-    def _core_in_reach(self, queries: DataFrame, candidates: DataFrame, axes: list[int]) -> DataFrame:
+    def _core_in_reach(self, queries: DataFrame, candidates: DataFrame, axes: list[tuple[int, float]]) -> DataFrame:
         configs, metric = self.configs, self.metric
 
         def search(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:

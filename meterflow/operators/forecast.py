@@ -144,9 +144,10 @@ def additive_forecast(df: DataFrame, spec: SeriesSpec, model: AdditiveModel = Ad
 def _ridge_by_series(train: DataFrame, spec: SeriesSpec, penalties: Sequence[float], layout: Layout) -> DataFrame:
     width = len(penalties)
     upper = np.triu_indices(width + 1)
+    target = spec.target
 
     def moments(chunk: pd.DataFrame) -> pd.DataFrame:
-        rows = np.column_stack([np.stack(chunk["_x"].to_numpy()), chunk[spec.target].to_numpy(float)])
+        rows = np.column_stack([np.stack(chunk["_x"].to_numpy()), chunk[target].to_numpy(float)])
         return pd.DataFrame({"_series": chunk["_series"].iloc[:1], "_m": [(rows.T @ rows)[upper]]})
 
     kind = train.schema["_series"].dataType.simpleString()

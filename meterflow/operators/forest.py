@@ -8,11 +8,13 @@ at most ``trees * 511`` nodes; like any fitted model it travels to the scoring t
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +22,9 @@ from meterflow.functions.checks import require_columns
 from meterflow.operators.quantiles import exact_quantile_values
 from meterflow.spec import DEFAULT_LAYOUT, Layout
 
+# Task functions travel by value, so executors do not need this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SAMPLE = 256
 _EULER = 0.5772156649015329
 
@@ -58,40 +63,41 @@ class IsolationForest:
         require_columns(df, list(self.features))
         counts = tuple(prefixes) or (self.trees,)
         vector = F.array(*[F.col(c).cast("double") for c in self.features])
-        forest = df.sparkSession.sparkContext.broadcast(self)
+        scale = float(mean_path(np.array([self.sample_size]))[0]) or 1.0
+        # Plain arrays: executors need not have this package to read them.
+        shared = df.sparkSession.sparkContext.broadcast(
+            (self.feature, self.cut, self.left, self.right, self.path, self.depth_limit, scale))
 
         @F.pandas_udf("array<double>")
         def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            model = forest.value
             for batch in batches:
-                yield pd.Series(model._score_batch(batch, counts))
+                yield pd.Series(_score_batch(batch, shared.value, counts))
 
         complete = F.forall(vector, lambda v: v.isNotNull() & ~F.isnan(v))
         values = scores(F.when(complete, vector))
         return df.withColumn(out, values if prefixes else values[0])
 
-    def _score_batch(self, batch: pd.Series, counts: tuple[int, ...]) -> list:
-        known = batch.notna().to_numpy()
-        result: list = [None] * len(batch)
-        if not known.any():
-            return result
-        x = np.stack(batch[known].to_numpy())
-        depth = np.empty((len(x), self.trees))
-        rows = np.arange(len(x))
-        for t in range(self.trees):
-            node = np.zeros(len(x), dtype=np.int64)
-            for _ in range(self.depth_limit):
-                f = self.feature[t, node]
-                inner = f >= 0
-                below = x[rows, np.maximum(f, 0)] <= self.cut[t, node]
-                node = np.where(inner, np.where(below, self.left[t, node], self.right[t, node]), node)
-            depth[:, t] = self.path[t, node]
-        total = np.cumsum(depth, axis=1)
-        scale = mean_path(np.array([self.sample_size]))[0] or 1.0
-        scored = np.stack([2.0 ** (-total[:, k - 1] / k / scale) for k in counts], axis=1)
-        for place, values in zip(np.flatnonzero(known), scored, strict=True):
-            result[place] = values
+
+def _score_batch(batch: pd.Series, forest: tuple, counts: tuple[int, ...]) -> list:
+    """Scores of the first k trees for every k in ``counts``; the trees advance level by level together."""
+    feature, cut, left, right, path, depth_limit, scale = forest
+    known = batch.notna().to_numpy()
+    result: list = [None] * len(batch)
+    if not known.any():
         return result
+    x = np.stack(batch[known].to_numpy())
+    trees = np.arange(feature.shape[0])[None, :]
+    rows = np.arange(len(x))[:, None]
+    node = np.zeros((len(x), feature.shape[0]), dtype=np.int64)
+    for _ in range(depth_limit):
+        f = feature[trees, node]
+        below = x[rows, np.maximum(f, 0)] <= cut[trees, node]
+        node = np.where(f >= 0, np.where(below, left[trees, node], right[trees, node]), node)
+    total = np.cumsum(path[trees, node], axis=1)
+    scored = np.stack([2.0 ** (-total[:, k - 1] / k / scale) for k in counts], axis=1)
+    for place, values in zip(np.flatnonzero(known), scored, strict=True):
+        result[place] = values
+    return result
 
 
 def fit_forest(
@@ -159,24 +165,27 @@ def _tree_samples(complete: DataFrame, rows: int, psi: int, trees: int) -> DataF
 
 def _grow_tree(x: np.ndarray, allowed: np.ndarray, limit: int, rng: np.random.Generator) -> pd.DataFrame:
     """Random axis-parallel cuts until points are alone, equal, or ``limit`` levels deep."""
-    nodes: list[list] = [[-1, 0.0, -1, -1, 0.0]]
-    waiting = [(0, np.arange(len(x)), 0)]
+    extra = mean_path(np.arange(len(x) + 1))
+    seen = np.ascontiguousarray(x[:, allowed])
+    nodes: list[tuple] = [()]
+    waiting = [(0, seen, 0)]
     while waiting:
-        node, members, depth = waiting.pop()
-        block = x[members][:, allowed]
-        low, high = block.min(axis=0), block.max(axis=0)
-        varied = np.flatnonzero(high > low)
-        if depth >= limit or len(members) < 2 or not len(varied):
-            nodes[node][4] = depth + float(mean_path(np.array([len(members)]))[0])
+        node, block, depth = waiting.pop()
+        varied = ()
+        if depth < limit and len(block) > 1:
+            low, high = block.min(axis=0), block.max(axis=0)
+            varied = np.flatnonzero(high > low)
+        if not len(varied):
+            nodes[node] = (-1, 0.0, 0, 0, depth + extra[len(block)])
             continue
-        pick = rng.choice(varied)
+        pick = varied[rng.integers(len(varied))]
         # Rounding may lift a draw to the upper end, which would leave one side empty.
         cut = min(rng.uniform(low[pick], high[pick]), np.nextafter(high[pick], low[pick]))
         below = block[:, pick] <= cut
-        children = (len(nodes), len(nodes) + 1)
-        nodes += [[-1, 0.0, -1, -1, 0.0], [-1, 0.0, -1, -1, 0.0]]
-        nodes[node] = [int(allowed[pick]), float(cut), *children, 0.0]
-        waiting += [(children[0], members[below], depth + 1), (children[1], members[~below], depth + 1)]
+        left = len(nodes)
+        nodes += [(), ()]
+        nodes[node] = (allowed[pick], cut, left, left + 1, 0.0)
+        waiting += [(left, block[below], depth + 1), (left + 1, block[~below], depth + 1)]
     table = pd.DataFrame(nodes, columns=["feature", "cut", "left", "right", "path"])
     return table.assign(node=np.arange(len(table)))
 

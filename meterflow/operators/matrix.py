@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.functions.checks import require_columns
+from meterflow.functions.literals import doubles
 from meterflow.operators.features import drop_weather as without_weather
 from meterflow.operators.features import encode_labels
 from meterflow.operators.ordering import with_row_index
@@ -81,10 +82,11 @@ class MatrixScaler:
         scaled = {f"{c}_scaled": (F.col(c) - m) / s
                   for c, m, s in zip(self.columns, self.means, self.scales, strict=True)}
         if self.hour_zscore:
-            z = F.lit(0.0)
-            for hour, mean, std in self.hours:
-                z = F.when(F.col("hour") == hour, (F.col(self.target) - mean) / std).otherwise(z)
-            scaled[HOUR_ZSCORE] = z
+            by_hour = {h: (m, s) for h, m, s in self.hours}
+            means = doubles(by_hour.get(h, (None, None))[0] for h in range(24))
+            spreads = doubles(by_hour.get(h, (None, None))[1] for h in range(24))
+            z = (F.col(self.target) - means[F.col("hour")]) / spreads[F.col("hour")]
+            scaled[HOUR_ZSCORE] = F.coalesce(z, F.lit(0.0))
         return df.withColumns(scaled)
 
 

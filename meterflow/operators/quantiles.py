@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterflow.functions.literals import doubles
 from meterflow.spec import DEFAULT_LAYOUT, Layout
 
 APPROXIMATION = 10_000
@@ -22,7 +23,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: S
     data = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).cast("double").alias("_v"))
     peak = data.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
     if peak <= layout.exact_limit:
-        wanted = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs]))
+        wanted = F.percentile("_v", doubles(probs))
         return data.groupBy(*groups).agg(wanted.alias("quantiles"))
     return bracketed_quantiles(data, "_v", probs, groups)
 
@@ -61,8 +62,7 @@ def bracketed_quantiles(df: DataFrame, value: str, probs: Sequence[float], group
         "_g", "_cell", "_n",
         F.coalesce(F.sum("_n").over(in_order), F.lit(0)).alias("_before"),
         F.sum("_n").over(Window.partitionBy("_g")).alias("_total"))
-    positions = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p"))
-                          for i, p in enumerate(probs)])
+    positions = F.transform(doubles(probs), lambda p, i: F.struct(i.alias("i"), p.alias("p")))
     place = F.col("_q.p") * (F.col("_total") - 1)
     wanted = (cells.withColumn("_q", F.explode(positions))
               .withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor(place), F.ceil(place)))))

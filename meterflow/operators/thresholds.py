@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.functions.checks import require_columns
+from meterflow.functions.literals import double_rows
 from meterflow.operators.metrics import with_rates
 from meterflow.operators.quantiles import exact_quantile_values
 from meterflow.spec import DEFAULT_LAYOUT, Layout
@@ -41,29 +42,31 @@ def threshold_candidates(df: DataFrame, score: str, count: int = 100,
     return sorted(set(few))
 
 
-def threshold_curve(df: DataFrame, score: str, candidates: Sequence[float], label: str = "label",
-                    by: Sequence[str] = ()) -> DataFrame:
-    """Confusion counts and rates at every candidate.
+def threshold_curve(df: DataFrame, score: str, candidates: Sequence[float], label: str = "label") -> DataFrame:
+    """Confusion counts and rates at every candidate."""
+    steps = sorted(candidates)
+    curve = threshold_curves(df.withColumn("_ladder", F.lit(0)), score, [steps], "_ladder", label)
+    return curve.drop("_ladder")
+
+
+def threshold_curves(df: DataFrame, score: str, ladders: Sequence[Sequence[float]], ladder: str,
+                     label: str = "label") -> DataFrame:
+    """Threshold curves of several scores at once; column ``ladder`` picks each row's candidates.
 
     Each row is counted once, in the gap between two neighbouring candidates; the counts at a
-    candidate are sums over the at most ``len(candidates)`` gaps above it. The rows are never
-    multiplied by the candidates.
+    candidate are sums over the few gaps above and below it. Rows are never multiplied by candidates.
     """
-    require_columns(df, [*by, score, label])
-    steps = sorted(candidates)
-    ladder = F.array(*[F.lit(float(c)) for c in steps])
-    gap = F.size(F.filter(ladder, lambda c: c <= F.col(score)))
-    tallies = df.groupBy(*by, gap.alias("_gap")).agg(
+    require_columns(df, [ladder, score, label])
+    steps = double_rows([sorted(c) for c in ladders])[F.col(ladder)]
+    gap = F.size(F.filter(steps, lambda c: c <= F.col(score)))
+    tallies = df.groupBy(ladder, gap.alias("_gap")).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg"))
-    known = F.array(*[F.struct(F.lit(i).alias("_gap"), F.lit(float(t)).alias("threshold"))
-                      for i, t in enumerate(steps, start=1)])
-    at_least = [F.sum(F.when(F.col("_gap") >= F.col("_c._gap"), F.col(n))).alias(m)
-                for n, m in (("_pos", "tp"), ("_neg", "fp"))]
-    below = [F.sum(F.when(F.col("_gap") < F.col("_c._gap"), F.col(n))).alias(m)
-             for n, m in (("_pos", "fn"), ("_neg", "tn"))]
-    spread = tallies.withColumn("_c", F.explode(known))
-    counts = spread.groupBy(*by, F.col("_c.threshold").alias("threshold")).agg(*at_least, *below)
-    return with_rates(counts.fillna(0, subset=["tp", "fp", "fn", "tn"]))
+    spread = tallies.select(ladder, "_gap", "_pos", "_neg", F.posexplode(steps).alias("_below", "threshold"))
+    above = F.col("_gap") > F.col("_below")
+    counts = spread.groupBy(ladder, "threshold").agg(
+        *[F.sum(F.when(side, F.col(n)).otherwise(0)).alias(name) for name, side, n in (
+            ("tn", ~above, "_neg"), ("fp", above, "_neg"), ("fn", ~above, "_pos"), ("tp", above, "_pos"))])
+    return with_rates(counts)
 
 
 def best_threshold(df: DataFrame, score: str, label: str = "label", count: int = 100,

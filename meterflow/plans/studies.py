@@ -8,14 +8,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterflow.functions.literals import double_rows
 from meterflow.operators.density import density_noise, density_noise_grid
 from meterflow.operators.features import base_features, encode_labels, enhanced_features
 from meterflow.operators.forest import contamination_flag, fit_forest
 from meterflow.operators.matrix import ModelMatrix, model_matrix, tuning_bundle
 from meterflow.operators.metrics import detection_scorecard
-from meterflow.operators.quantiles import exact_quantile_values
+from meterflow.operators.quantiles import exact_quantiles
 from meterflow.operators.splits import tuning_split
-from meterflow.operators.thresholds import best_threshold, ensemble_flag, flag_at, min_max
+from meterflow.operators.thresholds import best_threshold, ensemble_flag, flag_at, min_max, threshold_curves
 from meterflow.plans.detection import (TUNED_DENSITY, TUNED_FOREST, DensityConfig, ForestConfig, forest_scores,
                                        row_key)
 from meterflow.session import materialize
@@ -43,53 +44,70 @@ def forest_grid(df: DataFrame, spec: SeriesSpec, *, contaminations: Sequence[flo
     result has one row per setting, best first (ties keep grid order).
     """
     bundle = tuning_bundle(df, spec, scale=True, drop_weather=drop_weather, layout=layout)
-    scored, columns = _grid_scores(bundle, spec, trees, max_features, seed)
-    train, val = scored.where(F.col("split") == "train"), scored.where(F.col("split") == "val")
-    rows, order = [], 0
-    cuts: dict[tuple[float, int], tuple] = {}
-    for (share, count), name in columns.items():
-        best = best_threshold(val, name, layout=layout).first()
-        offsets = exact_quantile_values(train, name, [1.0 - c for c in contaminations], layout)
-        flags = [contamination_flag(name, o) for o in offsets]
-        f1 = _f1_of_flags(val, flags)
-        cuts[share, count] = (best["threshold"], best["f1"], f1)
+    forests = [(share, count) for share in max_features for count in trees]
+    long = _grid_scores(bundle, spec, trees, max_features, seed)
+    val = long.where(F.col("split") == "val")
+    ladders = _candidates_by_forest(val, len(forests), layout)
+    curves = threshold_curves(val, "score", ladders, "forest")
+    best = curves.groupBy("forest").agg(F.max_by(F.struct("threshold", "f1"), F.struct("f1", -F.col("threshold"))).alias("b"))
+    searched = {r["forest"]: r["b"] for r in best.collect()}
+    cut = exact_quantiles(long.where(F.col("split") == "train"), "score", [1.0 - c for c in contaminations],
+                          ["forest"], layout)
+    offsets = {r["forest"]: r["quantiles"] for r in cut.collect()}
+    f1_cut = _f1_at_offsets(val, [offsets[i] for i in range(len(forests))], len(contaminations))
+
+    rows = []
     for i, contamination in enumerate(contaminations):
         for count in trees:
             for share in max_features:
-                threshold, f1_threshold, f1_cut = cuts[share, count]
-                searched = f1_threshold >= f1_cut[i]
-                rows.append((order, contamination, count, share, threshold if searched else None,
-                             "threshold" if searched else "contamination", f1_threshold, f1_cut[i],
-                             max(f1_threshold, f1_cut[i])))
-                order += 1
+                forest = forests.index((share, count))
+                threshold, f1 = searched[forest]
+                by_cut = f1_cut[forest][i]
+                rows.append((len(rows), contamination, count, share, threshold if f1 >= by_cut else None,
+                             "threshold" if f1 >= by_cut else "contamination", f1, by_cut, max(f1, by_cut)))
     schema = ("grid_order int, contamination double, trees int, max_features double, threshold double, "
               "mode string, f1_threshold double, f1_contamination double, val_f1 double")
     return df.sparkSession.createDataFrame(rows, schema).orderBy(F.desc("val_f1"), "grid_order")
 
 
 def _grid_scores(bundle: ModelMatrix, spec: SeriesSpec, trees: Sequence[int], max_features: Sequence[float],
-                 seed: int) -> tuple[DataFrame, dict[tuple[float, int], str]]:
+                 seed: int) -> DataFrame:
+    """One row per scored row and forest; forests are numbered by feature share, then by trees."""
     rows = bundle.rows
     train = rows.where(F.col("split") == "train")
-    columns = {}
     for i, share in enumerate(max_features):
         forest = fit_forest(train, bundle.inputs, row_key(spec), trees=max(trees), max_features=share, seed=seed)
         rows = forest.score(rows, f"_s{i}", prefixes=list(trees))
-        columns |= {(share, count): f"score_{i}_{count}" for count in trees}
-    flat = [F.round(F.col(f"_s{i}")[j], 12).alias(columns[share, count])
-            for i, share in enumerate(max_features) for j, count in enumerate(trees)]
-    return materialize(rows.select(*row_key(spec), "label", "split", *flat)), columns
-
-
-def _f1_of_flags(df: DataFrame, flags: Sequence[Column]) -> list[float]:
-    """F1 of several flags from one aggregation."""
+    scores = F.concat(*[F.col(f"_s{i}") for i in range(len(max_features))])
+    return materialize(rows.select("label", "split", F.posexplode(scores).alias("forest", "score"))
+                       .withColumn("score", F.round("score", 12)))
+
+
+def _candidates_by_forest(val: DataFrame, forests: int, layout: Layout, count: int = 100) -> list[list[float]]:
+    """Distinct scores where a forest has few of them, else evenly spaced quantiles."""
+    step = 0.98 / (count - 1)
+    spread = exact_quantiles(val, "score", [0.01 + i * step for i in range(count)], ["forest"], layout)
+    ladders = {r["forest"]: sorted(set(r["quantiles"])) for r in spread.collect()}
+    distinct = val.select("forest", "score").distinct()
+    few = distinct.groupBy("forest").count().where(F.col("count") <= count).select("forest")
+    values = distinct.join(few, "forest").groupBy("forest").agg(F.sort_array(F.collect_list("score")).alias("v"))
+    ladders |= {r["forest"]: list(r["v"]) for r in values.collect()}
+    return [ladders[i] for i in range(forests)]
+
+
+def _f1_at_offsets(val: DataFrame, offsets: Sequence[Sequence[float]], cuts: int) -> dict[int, list[float]]:
+    """F1 of the contamination flags of every forest and cut-off, from one aggregation."""
+    own = double_rows(offsets)[F.col("forest")]
     label = F.col("label")
     parts = []
-    for i, flag in enumerate(flags):
-        parts += [F.count_if((label == 1) & (flag == 1)).alias(f"t{i}"),
-                  F.count_if(label != flag).alias(f"e{i}")]
-    row = df.agg(*parts).first()
-    return [2 * row[f"t{i}"] / (2 * row[f"t{i}"] + row[f"e{i}"]) if row[f"t{i}"] else 0.0 for i in range(len(flags))]
+    for i in range(cuts):
+        flag = (F.col("score") - own[i] > 0).cast("int")
+        parts += [F.count_if((label == 1) & (flag == 1)).alias(f"t{i}"), F.count_if(label != flag).alias(f"e{i}")]
+    found = {}
+    for row in val.groupBy("forest").agg(*parts).collect():
+        found[row["forest"]] = [2 * row[f"t{i}"] / (2 * row[f"t{i}"] + row[f"e{i}"]) if row[f"t{i}"] else 0.0
+                                for i in range(cuts)]
+    return found
 
 
 def density_grid(df: DataFrame, spec: SeriesSpec, *, eps: Sequence[float] = EPS_GRID,
