@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterflow.operators.joins import series_lookup
 from meterflow.operators.ordering import windowed, with_row_index
 from meterflow.operators.quantiles import exact_quantiles
 from meterflow.sources.grid import to_interval_grid
-from meterflow.spec import (HUMIDITY, LABEL, PAST, SEASON, TARGET, TEMPERATURE, TIMESTAMP, WIND, SeriesSpec)
+from meterflow.spec import (HUMIDITY, LABEL, PAST, ROWS, SEASON, TARGET, TEMPERATURE, TIMESTAMP, WIND, SeriesSpec)
 
 ONE = SeriesSpec(one_per_slot=True)
 TYPED = SeriesSpec(series=("event_type",), one_per_slot=True)
@@ -46,10 +47,9 @@ def readings(spark: SparkSession, sf_dir: str, spec: SeriesSpec = ONE) -> DataFr
     past = windowed(with_row_index(slots, spec), spec,
                     {PAST: lambda w: coarse(F.avg(TARGET).over(w.rowsBetween(-SEASON, -1)))}, SEASON)
     high = exact_quantiles(slots, TARGET, [0.95], spec.series).select(
-        F.struct(*spec.series, F.lit(0)).alias("_series"), six(F.col("quantiles")[0]).alias("_p95"))
+        *spec.series, six(F.col("quantiles")[0]).alias("_p95"), F.col("rows").alias(ROWS))
     label = F.when(F.col(TARGET) > F.col("_p95"), "Abnormal").otherwise("Normal")
-    return (past.withColumn("_series", F.struct(*spec.series, F.lit(0))).join(high, "_series")
-            .withColumn(LABEL, label).drop("_series", "_p95"))
+    return series_lookup(past, high, spec.series).withColumn(LABEL, label).drop("_p95")
 
 
 def orders_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:

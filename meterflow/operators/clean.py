@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterflow.functions.calendar import epoch_exact
 from meterflow.functions.checks import require_columns
-from meterflow.operators.ordering import CHUNK, chunk_number, chunk_window, ensure_row_index
+from meterflow.operators.ordering import CHUNK, chunk_key, chunk_number, chunk_window, ensure_row_index
 from meterflow.spec import DEFAULT_LAYOUT, Layout, SeriesSpec
 
 
@@ -29,31 +29,28 @@ def interpolate_flagged(df: DataFrame, spec: SeriesSpec, flag: str = "is_anomaly
                .withColumn("_flag", checked)
                .withColumn("_y", F.when(F.coalesce(F.col("_flag") == 1, F.lit(False)), None).otherwise(target))
                .withColumn("_t", epoch_exact(spec.ts))
-               .withColumn(CHUNK, chunk_number(layout)))
+               .withColumn(CHUNK, chunk_key(spec, chunk_number(layout))))
     point = F.when(F.col("_y").isNotNull(), F.struct(F.col("_t").alias("t"), F.col("_y").alias("y")))
-    key = F.struct(*spec.series, F.col(CHUNK))
-
     known = F.when(F.col("_y").isNotNull(), F.col("_t"))
-    summary = indexed.groupBy(*spec.series, CHUNK).agg(
+    summary = indexed.groupBy(CHUNK).agg(
         F.min_by(point, known).alias("_first"), F.max_by(point, known).alias("_last"),
         F.coalesce(F.sum(F.col("_flag").cast("long")), F.lit(0)).alias("_flags"))
-    series = Window.partitionBy(*spec.series)
-    forward = series.orderBy(F.col(CHUNK).asc()).rowsBetween(Window.unboundedPreceding, -1)
-    backward = series.orderBy(F.col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    series = Window.partitionBy(*[F.col(CHUNK)[c] for c in spec.series])
+    forward = series.orderBy(F.col(CHUNK)["_no"].asc()).rowsBetween(Window.unboundedPreceding, -1)
+    backward = series.orderBy(F.col(CHUNK)["_no"].desc()).rowsBetween(Window.unboundedPreceding, -1)
     carried = summary.select(
-        key.alias("_key"),
+        CHUNK,
         F.last("_last", ignorenulls=True).over(forward).alias("_carry_prev"),
         F.last("_first", ignorenulls=True).over(backward).alias("_carry_next"),
         (F.sum("_flags").over(series) > 0).alias("_any"))
 
     # Both directions run over a growing frame, which Spark evaluates in one pass.
-    up = chunk_window(spec).rowsBetween(Window.unboundedPreceding, 0)
-    down = chunk_window(spec, descending=True).rowsBetween(Window.unboundedPreceding, 0)
+    up = chunk_window().rowsBetween(Window.unboundedPreceding, 0)
+    down = chunk_window(descending=True).rowsBetween(Window.unboundedPreceding, 0)
     near = (indexed.withColumn("_point", point)
             .withColumn("_prev", F.last("_point", ignorenulls=True).over(up))
-            .withColumn("_next", F.last("_point", ignorenulls=True).over(down))
-            .withColumn("_key", key))
-    joined = near.join(carried, "_key")
+            .withColumn("_next", F.last("_point", ignorenulls=True).over(down)))
+    joined = near.join(carried, CHUNK)
     prev: Column = F.coalesce("_prev", "_carry_prev")
     nxt: Column = F.coalesce("_next", "_carry_next")
     share = F.try_divide(F.col("_t") - prev["t"], nxt["t"] - prev["t"])

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.functions.checks import require_columns
+from meterflow.operators.joins import lookup
 from meterflow.session import materialize
 from meterflow.spec import DEFAULT_LAYOUT, Layout
 
@@ -60,7 +61,7 @@ def density_noise_grid(df: DataFrame, features: Sequence[str], configs: Sequence
         tagged.groupBy("_x").agg(F.count(F.lit(1)).alias("_w"))
         .withColumn("_id", F.monotonically_increasing_id()))
     noise = grid.noise(points)
-    return tagged.join(noise, "_x").drop("_x").withColumnRenamed("_flags", out)
+    return lookup(tagged, noise, "_x", "_w").drop("_x").withColumnRenamed("_flags", out)
 
 
 class _Grid:
@@ -85,7 +86,7 @@ class _Grid:
         reached = self._core_in_reach(marked.where(~every), marked.where(some), axes)
         flags = F.transform(F.sequence(F.lit(0), F.lit(len(self.configs) - 1)), lambda i: F.when(
             F.col("_core")[i] | F.coalesce(F.col("_reach")[i], F.lit(False)), 0).otherwise(1))
-        return marked.join(reached, "_id", "left").select("_x", flags.alias("_flags"))
+        return marked.join(reached, "_id", "left").select("_x", "_w", flags.alias("_flags"))
 
     def _axes(self, points: DataFrame) -> list[tuple[int, float]]:
         """The two widest dimensions and the side of a coarse cell along each.
@@ -108,9 +109,9 @@ class _Grid:
         need = max(m for _, m in self.configs)
         cell = F.transform("_x", lambda v: F.floor(v / F.lit(side)))
         celled = points.withColumn("_cell", cell)
-        heavy = (celled.groupBy("_cell").agg(F.sum("_w").alias("_cw"))
-                 .where(F.col("_cw") >= need).select("_cell", F.lit(True).alias("_heavy")))
-        return (celled.join(heavy, "_cell", "left")
+        heavy = (celled.groupBy("_cell").agg(F.sum("_w").alias("_cw"), F.count(F.lit(1)).alias("_points"))
+                 .where(F.col("_cw") >= need).select("_cell", "_points", F.lit(True).alias("_heavy")))
+        return (lookup(celled, heavy, "_cell", "_points", how="left")
                 .withColumn("_sure", F.coalesce("_heavy", F.lit(False))).drop("_cell", "_heavy"))
 
     def _blocks(self, queries: DataFrame, candidates: DataFrame, axes: list[tuple[int, float]]):
@@ -129,15 +130,17 @@ class _Grid:
         far = candidates.withColumn("_place", F.struct(*[
             number(F.col("_x")[axis], side).alias(name) for name, (axis, side) in zip(names, axes, strict=True)]))
 
-        def block_count(df: DataFrame, name: str) -> DataFrame:
-            per_block = self.layout.block_rows
-            return df.groupBy("_place").agg(F.ceil(F.count(F.lit(1)) / per_block).alias(name))
+        per_block = self.layout.block_rows
 
-        cells = materialize(block_count(near, "_nq").join(block_count(far, "_nc"), "_place"))
+        def sizes(df: DataFrame, rows: str, blocks: str) -> DataFrame:
+            counted = df.groupBy("_place").agg(F.count(F.lit(1)).alias(rows))
+            return counted.withColumn(blocks, F.ceil(F.col(rows) / per_block))
+
+        cells = materialize(sizes(near, "_rq", "_nq").join(sizes(far, "_rc", "_nc"), "_place"))
         spread = F.xxhash64("_id")
-        left = (near.join(cells, "_place").withColumn("_q", F.pmod(spread, F.col("_nq")))
+        left = (lookup(near, cells.drop("_rc"), "_place", "_rq").withColumn("_q", F.pmod(spread, F.col("_nq")))
                 .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nc") - 1))))
-        right = (far.join(cells, "_place").withColumn("_c", F.pmod(spread, F.col("_nc")))
+        right = (lookup(far, cells.drop("_rq"), "_place", "_rc").withColumn("_c", F.pmod(spread, F.col("_nc")))
                  .withColumn("_q", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nq") - 1))))
         keys = ["_place", "_q", "_c"]
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from meterflow.functions.checks import require_columns
 from meterflow.operators.quantiles import exact_quantiles
+from meterflow.operators.joins import lookup
 from meterflow.spec import DEFAULT_LAYOUT, LABEL, NUMERIC_COLUMNS, Layout, SeriesSpec
 
 HISTOGRAM_FEATURES = NUMERIC_COLUMNS[:4]
@@ -132,11 +133,12 @@ def box_statistics(df: DataFrame, group: str, target: str, layout: Layout = DEFA
     """Quartiles, whiskers (last values within 1.5 IQR of the box) and outlier counts per group."""
     require_columns(df, [group, target])
     boxes = exact_quantiles(df, target, [0.25, 0.5, 0.75], [group], layout).select(
-        group, *[F.col("quantiles")[i].alias(q) for i, q in enumerate(("q1", "median", "q3"))])
+        group, F.col("rows").alias("_rows"),
+        *[F.col("quantiles")[i].alias(q) for i, q in enumerate(("q1", "median", "q3"))])
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col(target).between(F.col("q1") - reach, F.col("q3") + reach)
     kept = F.when(inside, F.col(target))
-    return (df.where(F.col(target).isNotNull()).select(group, target).join(boxes, group)
+    return (lookup(df.where(F.col(target).isNotNull()).select(group, target), boxes, group, "_rows")
             .groupBy(group, "q1", "median", "q3")
             .agg(F.min(kept).alias("whisker_low"), F.max(kept).alias("whisker_high"),
                  F.count_if(~inside).alias("outliers"), F.count(F.lit(1)).alias("rows")))

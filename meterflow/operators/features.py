@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from meterflow.functions import calendar as cal
 from meterflow.functions.checks import require_columns
+from meterflow.operators.joins import series_lookup
 from meterflow.operators.ordering import ensure_row_index, windowed, with_row_index
 from meterflow.spec import (DEFAULT_LAYOUT, LABEL, LABEL_CODES, LAGS, ROLLING_WINDOWS, ROW, ROWS,
                             SEQUENCE_FEATURES, SEQUENCE_LENGTH, WEATHER_COLUMNS, Layout, SeriesSpec)
@@ -171,12 +172,9 @@ def around_middle_flag(df: DataFrame, spec: SeriesSpec, flag: str, reach: int =
     """Rows within ``reach`` rows before and after the middle flagged row of each series."""
     indexed = ensure_row_index(df, spec, layout)
     flagged = indexed.where(F.col(flag) == 1).select(
-        *spec.series, spec.ts, *spec.tiebreak, F.col(ROW).alias("_center"))
+        *spec.series, spec.ts, *spec.tiebreak, F.col(ROW).alias("_center"), F.col(ROWS).alias("_all"))
     ranked = with_row_index(flagged, spec, layout)
     middle = (ranked.where(F.col(ROW) == F.floor(F.col(ROWS) / 2))
-              .select(F.struct(*spec.series, F.lit(0)).alias("_series"), "_center"))
+              .select(*spec.series, "_center", F.col("_all").alias(ROWS)))
     near = (F.col(ROW) >= F.col("_center") - reach) & (F.col(ROW) < F.col("_center") + reach)
-    return (indexed.withColumn("_series", F.struct(*spec.series, F.lit(0)))
-            .join(middle, "_series")
-            .where(near)
-            .drop("_series", "_center"))
+    return series_lookup(indexed, middle, spec.series).where(near).drop("_center")

@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from meterflow.functions.calendar import epoch_exact
 from meterflow.functions.checks import require_columns
 from meterflow.operators.features import sequences, supervised_lags
-from meterflow.operators.ordering import CHUNK, chunk_number, windowed
-from meterflow.operators.splits import forecast_split
+from meterflow.operators.joins import series_lookup
+from meterflow.operators.ordering import CHUNK, chunk_key, chunk_number, windowed
+from meterflow.operators.splits import VAL_ROWS, forecast_split
 from meterflow.session import materialize
 from meterflow.spec import (CALENDAR_COLUMNS, DEFAULT_LAYOUT, HUMIDITY, LAGS, ROW, ROWS, SEASON, SEQUENCE_FEATURES,
                             SEQUENCE_LENGTH, TEMPERATURE, Layout, SeriesSpec)
@@ -49,10 +50,10 @@ def seasonal_naive(df: DataFrame, spec: SeriesSpec, season: int = SEASON, histor
         raise ValueError(f"season must be at least 1, got {season}")
     if history not in ("train_test", "all"):
         raise ValueError("history must be 'train_test' or 'all'")
-    require_columns(df, [spec.ts, spec.target, "split", ROW, ROWS])
-    slim = df.select(*spec.series, spec.ts, spec.target, "split", ROW, ROWS)
+    require_columns(df, [spec.ts, spec.target, "split", VAL_ROWS, ROW, ROWS])
+    slim = df.select(*spec.series, spec.ts, spec.target, "split", VAL_ROWS, ROW, ROWS)
     if history == "train_test":
-        slim = _close_validation_gap(slim, spec)
+        slim = _close_validation_gap(slim)
     lagged = windowed(slim, spec, {"_past": lambda w: F.lag(spec.target, season).over(w)}, season, layout)
     short = F.raise_error(F.concat(F.lit(f"train part is shorter than the season of {season}; row "),
                                    F.col(ROW).cast("string"))).cast("double")
@@ -60,14 +61,10 @@ def seasonal_naive(df: DataFrame, spec: SeriesSpec, season: int = SEASON, histor
     return prediction_frame(lagged.where(F.col("split") == "test"), spec, past)
 
 
-def _close_validation_gap(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+def _close_validation_gap(df: DataFrame) -> DataFrame:
     """Leave validation out and renumber: test rows move up by the validation rows of their series."""
-    key = F.struct(*spec.series, F.lit(0))
-    sizes = df.groupBy(*spec.series).agg(F.count_if(F.col("split") == "val").alias("_gap"))
-    gaps = sizes.select(key.alias("_series"), "_gap")
-    kept = df.where(F.col("split") != "val").withColumn("_series", key).join(gaps, "_series")
-    moved = F.when(F.col("split") == "test", F.col(ROW) - F.col("_gap")).otherwise(F.col(ROW))
-    return kept.withColumns({ROW: moved, ROWS: F.col(ROWS) - F.col("_gap")}).drop("_series", "_gap")
+    moved = F.when(F.col("split") == "test", F.col(ROW) - F.col(VAL_ROWS)).otherwise(F.col(ROW))
+    return df.where(F.col("split") != "val").withColumns({ROW: moved, ROWS: F.col(ROWS) - F.col(VAL_ROWS)})
 
 
 def training_frame(df: DataFrame, spec: SeriesSpec) -> DataFrame:
@@ -124,43 +121,45 @@ def additive_forecast(df: DataFrame, spec: SeriesSpec, model: AdditiveModel = Ad
     solved. No task ever holds a series.
     """
     require_columns(df, [spec.ts, spec.target, "split", ROW, ROWS])
-    key = F.struct(*spec.series, F.lit(0))
     seconds = epoch_exact(spec.ts)
     train_seconds = F.when(F.col("split") == "train", seconds)
     ranges = df.groupBy(*spec.series).agg(
         F.min(train_seconds).alias("_start"),
-        F.greatest(F.max(train_seconds) - F.min(train_seconds), F.lit(1.0)).alias("_span"))
-    scaled = (df.where(F.col("split") != "val")
-              .select(key.alias("_series"), *spec.series, spec.ts, spec.target, "split", ROW, ROWS)
-              .join(ranges.select(key.alias("_series"), "_start", "_span"), "_series")
+        F.greatest(F.max(train_seconds) - F.min(train_seconds), F.lit(1.0)).alias("_span"),
+        F.first(ROWS).alias(ROWS))
+    slim = df.where(F.col("split") != "val").select(*spec.series, spec.ts, spec.target, "split", ROW, ROWS)
+    scaled = (series_lookup(slim, ranges, spec.series)
               .withColumn("_x", model.design(seconds, F.col("_start"), F.col("_span"))))
     train = scaled.where((F.col("split") == "train") & F.col(spec.target).isNotNull())
     weights = _ridge_by_series(train, spec, model.penalties, layout)
-    test = scaled.where(F.col("split") == "test").join(weights, "_series")
+    test = series_lookup(scaled.where(F.col("split") == "test"), weights, spec.series)
     products = F.zip_with("_x", "_weights", lambda a, b: a * b)
     return prediction_frame(test, spec, F.aggregate(products, F.lit(0.0), lambda a, b: a + b))
 
 
 def _ridge_by_series(train: DataFrame, spec: SeriesSpec, penalties: Sequence[float], layout: Layout) -> DataFrame:
+    """Ridge weights per series from the sums of the moment matrices of its chunks."""
     width = len(penalties)
     upper = np.triu_indices(width + 1)
-    target = spec.target
 
     def moments(chunk: pd.DataFrame) -> pd.DataFrame:
-        rows = np.column_stack([np.stack(chunk["_x"].to_numpy()), chunk[target].to_numpy(float)])
-        return pd.DataFrame({"_series": chunk["_series"].iloc[:1], "_m": [(rows.T @ rows)[upper]]})
-
-    kind = train.schema["_series"].dataType.simpleString()
-    chunked = train.withColumn(CHUNK, chunk_number(layout)).select("_series", CHUNK, "_x", spec.target)
-    partial = chunked.groupBy("_series", CHUNK).applyInPandas(moments, f"_series {kind}, _m array<double>")
-    total = (partial.select("_series", F.posexplode("_m").alias("_i", "_v"))
-             .groupBy("_series", "_i").agg(F.sum("_v").alias("_v"))
-             .groupBy("_series").agg(F.array_sort(F.collect_list(F.struct("_i", "_v"))).alias("_s")))
+        rows = np.column_stack([np.stack(chunk["_x"].to_numpy()), chunk["_y"].to_numpy(float)])
+        return pd.DataFrame({CHUNK: chunk[CHUNK].iloc[:1], ROWS: chunk[ROWS].iloc[:1], "_m": [(rows.T @ rows)[upper]]})
+
+    chunked = train.select(chunk_key(spec, chunk_number(layout)).alias(CHUNK), ROWS, "_x",
+                           F.col(spec.target).cast("double").alias("_y"))
+    kind = chunked.schema[CHUNK].dataType.simpleString()
+    partial = chunked.groupBy(CHUNK).applyInPandas(moments, f"{CHUNK} {kind}, {ROWS} long, _m array<double>")
+    series = [F.col(CHUNK)[c].alias(c) for c in spec.series]
+    sums = (partial.select(*series, ROWS, F.posexplode("_m").alias("_i", "_v"))
+            .groupBy(*spec.series, "_i").agg(F.sum("_v").alias("_v"), F.first(ROWS).alias(ROWS))
+            .groupBy(*spec.series).agg(F.array_sort(F.collect_list(F.struct("_i", "_v"))).alias("_s"),
+                                       F.first(ROWS).alias(ROWS)))
 
     @F.pandas_udf("array<double>")
-    def solve(sums: pd.Series) -> pd.Series:
+    def solve(batch: pd.Series) -> pd.Series:
         out = []
-        for flat in sums:
+        for flat in batch:
             full = np.zeros((width + 1, width + 1))
             full[upper] = flat
             full += np.triu(full, 1).T
@@ -168,7 +167,7 @@ def _ridge_by_series(train: DataFrame, spec: SeriesSpec, penalties: Sequence[flo
             out.append(np.linalg.lstsq(gram, full[:width, width], rcond=None)[0])
         return pd.Series(out)
 
-    return total.select("_series", solve(F.transform("_s", lambda s: s["_v"])).alias("_weights"))
+    return sums.select(*spec.series, ROWS, solve(F.transform("_s", lambda s: s["_v"])).alias("_weights"))
 
 
 def boosted_fit(train: DataFrame, features: Sequence[str], target: str, trees: int = 100, step: float = 0.1,

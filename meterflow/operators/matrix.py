@@ -13,12 +13,12 @@ from meterflow.functions.literals import doubles
 from meterflow.operators.features import drop_weather as without_weather
 from meterflow.operators.features import encode_labels
 from meterflow.operators.ordering import with_row_index
-from meterflow.operators.splits import tuning_split
+from meterflow.operators.splits import VAL_ROWS, tuning_split
 from meterflow.session import materialize
 from meterflow.spec import DEFAULT_LAYOUT, LABEL, ROW, ROWS, WEATHER_COLUMNS, Layout, SeriesSpec
 
 HOUR_ZSCORE = "hour_zscore"
-_NOT_FEATURES = (LABEL, ROW, ROWS, "split", "label", "is_anomaly")
+_NOT_FEATURES = (LABEL, ROW, ROWS, VAL_ROWS, "split", "label", "is_anomaly")
 
 
 def feature_columns(df: DataFrame, spec: SeriesSpec, drop_weather: bool = False) -> list[str]:

@@ -104,9 +104,18 @@ def chunk_number(layout: Layout = DEFAULT_LAYOUT, least: int = 1) -> Column:
     return F.floor(F.col(ROW) / chunk_size(layout, least)).cast("long")
 
 
-def chunk_window(spec: SeriesSpec, descending: bool = False) -> WindowSpec:
+def chunk_key(spec: SeriesSpec, number: Column) -> Column:
+    """Series and chunk number as one struct.
+
+    With separate columns Spark would accept an input already partitioned by series as well
+    distributed for (series, chunk) and leave a hot series in one task.
+    """
+    return F.struct(*[F.col(c) for c in spec.series], number.alias("_no"))
+
+
+def chunk_window(descending: bool = False) -> WindowSpec:
     order = F.col(ROW).desc() if descending else F.col(ROW).asc()
-    return Window.partitionBy(*spec.series, CHUNK).orderBy(order)
+    return Window.partitionBy(CHUNK).orderBy(order)
 
 
 def windowed(
@@ -125,8 +134,9 @@ def windowed(
     home = chunk_number(layout, back)
     handed_on = (F.col(ROW) % size >= size - back) & ((home + 1) * size < F.col(ROWS))
     parts = F.when(handed_on, F.array(home, home + 1)).otherwise(F.array(home))
-    spread = df.select("*", F.explode(parts).alias(CHUNK))
-    w = chunk_window(spec)
+    spread = (df.select("*", F.explode(parts).alias("_n"))
+              .withColumn(CHUNK, chunk_key(spec, F.col("_n"))).drop("_n"))
+    w = chunk_window()
     return (spread.withColumns({name: make(w) for name, make in columns.items()})
-            .where(F.col(CHUNK) == home)
+            .where(F.col(CHUNK)["_no"] == home)
             .drop(CHUNK))

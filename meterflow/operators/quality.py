@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from meterflow.functions.calendar import epoch_exact, epoch_micros
 from meterflow.functions.checks import require_columns
 from meterflow.operators.features import sequences, supervised_lags
+from meterflow.operators.joins import series_lookup
 from meterflow.operators.ordering import ensure_row_index, windowed
 from meterflow.spec import (CALENDAR_COLUMNS, CYCLICAL_COLUMNS, DEFAULT_LAYOUT, LAGS, ROLLING_WINDOWS, ROW, ROWS,
                             SEQUENCE_LENGTH, Layout, SeriesSpec)
@@ -75,11 +76,9 @@ def missing_slots(df: DataFrame, spec: SeriesSpec, limit: int = 10, layout: Layo
     times, plain = _distinct_times(df, spec, layout)
     now = epoch_micros(spec.ts)
     previous = windowed(times, plain, {"_prev": lambda w: F.lag(spec.ts, 1).over(w)}, 1, layout)
-    firsts = times.where(F.col(ROW) == 0).select(
-        F.struct(*spec.series, F.lit(0)).alias("_series"), F.col(spec.ts).alias("_first"))
+    firsts = times.where(F.col(ROW) == 0).select(*spec.series, F.col(spec.ts).alias("_first"), ROWS)
     step = spec.seconds * 1_000_000
-    anchored = (previous.where(F.col("_prev").isNotNull())
-                .withColumn("_series", F.struct(*spec.series, F.lit(0))).join(firsts, "_series"))
+    anchored = series_lookup(previous.where(F.col("_prev").isNotNull()), firsts, spec.series)
     origin = epoch_micros("_first")
     # Grid numbers strictly between the previous and the current time.
     low = F.floor((epoch_micros("_prev") - origin) / step) + 1

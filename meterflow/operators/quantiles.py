@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterflow.functions.literals import doubles
+from meterflow.operators.joins import lookup
 from meterflow.spec import DEFAULT_LAYOUT, Layout
 
 APPROXIMATION = 10_000
@@ -15,7 +16,7 @@ APPROXIMATION = 10_000
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: Sequence[str] = (),
                     layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
-    """One row per group with ``quantiles``, linearly interpolated, in the order of ``probs``.
+    """One row per group: ``quantiles``, linearly interpolated, in the order of ``probs``, and ``rows``.
 
     The built-in exact percentile keeps all distinct values of a group in one buffer, so it is
     used only after a count shows every group to be small. Larger groups are bracketed.
@@ -24,7 +25,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: S
     peak = data.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
     if peak <= layout.exact_limit:
         wanted = F.percentile("_v", doubles(probs))
-        return data.groupBy(*groups).agg(wanted.alias("quantiles"))
+        return data.groupBy(*groups).agg(wanted.alias("quantiles"), F.count(F.lit(1)).alias("rows"))
     return bracketed_quantiles(data, "_v", probs, groups)
 
 
@@ -51,8 +52,8 @@ def bracketed_quantiles(df: DataFrame, value: str, probs: Sequence[float], group
     margin = 2.0 / accuracy
     marks = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-margin, margin)})
     edges = data.groupBy("_g").agg(F.array_sort(F.array_distinct(F.percentile_approx(
-        "_v", [float(m) for m in marks], accuracy))).alias("_edges"))
-    celled = (data.join(edges, "_g")
+        "_v", [float(m) for m in marks], accuracy))).alias("_edges"), F.count(F.lit(1)).alias("_rows"))
+    celled = (lookup(data, edges, "_g", "_rows")
               .withColumn("_cell", F.size(F.filter("_edges", lambda e: e <= F.col("_v"))))
               .drop("_edges"))
 
@@ -67,11 +68,13 @@ def bracketed_quantiles(df: DataFrame, value: str, probs: Sequence[float], group
     wanted = (cells.withColumn("_q", F.explode(positions))
               .withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor(place), F.ceil(place)))))
               .where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_n")))
-              .select("_g", "_cell", "_before", F.col("_q.i").alias("_i"), "_rank", place.alias("_place")))
+              .select("_g", "_cell", "_before", F.col("_q.i").alias("_i"), "_rank", place.alias("_place"),
+                      "_total"))
 
     chosen = wanted.select("_g", "_cell", "_before").distinct()
-    tallies = (celled.join(chosen, ["_g", "_cell"])
-               .groupBy("_g", "_cell", "_before", "_v").agg(F.count(F.lit(1)).alias("_c")))
+    # Equal values are counted before anything is joined; a value held by many rows is one row then.
+    tallies = (celled.groupBy("_g", "_cell", "_v").agg(F.count(F.lit(1)).alias("_c"))
+               .join(chosen, ["_g", "_cell"]))
     by_value = Window.partitionBy("_g", "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranges = (tallies.withColumn("_end", F.col("_before") + F.sum("_c").over(by_value))
               .withColumn("_start", F.col("_end") - F.col("_c")).drop("_before"))
@@ -79,9 +82,10 @@ def bracketed_quantiles(df: DataFrame, value: str, probs: Sequence[float], group
             .where((F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_end"))))
     per_prob = hits.groupBy("_g", "_i").agg(
         F.min_by("_v", "_rank").alias("_lo"), F.max_by("_v", "_rank").alias("_hi"),
-        F.first("_place").alias("_place"))
+        F.first("_place").alias("_place"), F.first("_total").alias("_total"))
     share: Column = F.col("_place") - F.floor("_place")
     mixed = F.struct("_i", ((1 - share) * F.col("_lo") + share * F.col("_hi")).alias("_x"))
-    collected = per_prob.groupBy("_g").agg(F.array_sort(F.collect_list(mixed)).alias("_all_q"))
+    collected = per_prob.groupBy("_g").agg(F.array_sort(F.collect_list(mixed)).alias("_all_q"),
+                                            F.first("_total").alias("rows"))
     return collected.select(*[F.col("_g")[c].alias(c) for c in groups],
-                            F.transform("_all_q", lambda s: s["_x"]).alias("quantiles"))
+                            F.transform("_all_q", lambda s: s["_x"]).alias("quantiles"), "rows")
