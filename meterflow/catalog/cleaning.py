@@ -40,7 +40,7 @@ def fill_sql(source: str, flag: str, name: str, keys: str = "") -> str:
          {known("first_value", "y", ahead)} AS y1, {known("first_value", "tk", ahead)} AS t1 FROM {name}_k),
 {name} AS (
   SELECT *, CASE WHEN NOT any_flag THEN "Electricity_Consumed"
-                 ELSE coalesce(y, y0 + (y1 - y0) * (t - t0) / nullif(t1 - t0, 0), y0) END AS y_clean FROM {name}_n)"""
+                 ELSE coalesce(y, y0 + (y1 - y0) * ((t - t0) / nullif(t1 - t0, 0)), y0) END AS y_clean FROM {name}_n)"""
 
 
 _RULE = f"""{features_sql()},

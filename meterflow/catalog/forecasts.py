@@ -41,7 +41,8 @@ NAIVE = naive_sql()
 
 def naive_predictions(spark: SparkSession, sf_dir: str, spec: SeriesSpec = ONE) -> DataFrame:
     """Both look-back variants of the seasonal naive forecaster in one table."""
-    split = materialize(forecast_split(grid(spark, sf_dir, spec), spec))
+    slots = grid(spark, sf_dir, spec).select(*spec.series, spec.ts, spec.target)
+    split = materialize(forecast_split(slots, spec))
     parts = [fc.seasonal_naive(split, spec, history=h).withColumn("model", F.lit(m))
              for m, h in (("naive", "train_test"), ("naive_all", "all"))]
     return parts[0].unionByName(parts[1])
