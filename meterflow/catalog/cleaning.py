@@ -52,10 +52,10 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("c1_interpolate", f"""WITH {_RULE}, {fill_sql("scored", f"coalesce(score >= {CUT_A}, FALSE)", "clean")}
-SELECT "Timestamp", round(y_clean, 6) AS "Electricity_Consumed", round("Wind_Speed", 6) AS "Wind_Speed" FROM clean""")
+SELECT "Timestamp", round(y_clean, 9) AS "Electricity_Consumed", "Wind_Speed" FROM clean""")
 def c1(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = _scored(spark, sf_dir).withColumn("is_anomaly", flag_at("score", CUT_A))
-    return interpolate_flagged(flagged, ONE).select(TIMESTAMP, six(TARGET).alias(TARGET), six("Wind_Speed").alias("Wind_Speed"))
+    return interpolate_flagged(flagged, ONE).select(TIMESTAMP, F.round(TARGET, 9).alias(TARGET), "Wind_Speed")
 
 
 _EDGES = "(row_idx % 7 < 3 OR row_idx >= series_rows - 5) AND event_type <> 'signup'"
@@ -63,13 +63,13 @@ _EDGES = "(row_idx % 7 < 3 OR row_idx >= series_rows - 5) AND event_type <> 'sig
 
 @query("c1_interpolate_edges_by_type", f"""WITH {readings_sql('event_type')},
 {fill_sql("readings", _EDGES, "clean", "event_type")}
-SELECT event_type, "Timestamp", round(y_clean, 6) AS "Electricity_Consumed" FROM clean""")
+SELECT event_type, "Timestamp", round(y_clean, 9) AS "Electricity_Consumed" FROM clean""")
 def c1_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The first and last rows of each series are masked; one series has no flag and stays as it is.
     rows = materialize(with_row_index(grid(spark, sf_dir, TYPED), TYPED))
     masked = ((F.col(ROW) % 7 < 3) | (F.col(ROW) >= F.col(ROWS) - 5)) & (F.col("event_type") != "signup")
     filled = interpolate_flagged(rows.withColumn("is_anomaly", masked.cast("int")), TYPED)
-    return filled.select("event_type", TIMESTAMP, six(TARGET).alias(TARGET))
+    return filled.select("event_type", TIMESTAMP, F.round(TARGET, 9).alias(TARGET))
 
 
 @query("c1_imputed_counts", f"""WITH {_RULE}, {fill_sql("scored", f"coalesce(score >= {CUT_A}, FALSE)", "clean")}
