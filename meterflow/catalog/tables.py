@@ -9,12 +9,11 @@ from meterflow.operators.joins import series_lookup
 from meterflow.operators.ordering import windowed, with_row_index
 from meterflow.operators.quantiles import exact_quantiles
 from meterflow.sources.grid import to_interval_grid
-from meterflow.spec import (HUMIDITY, LABEL, PAST, ROWS, SEASON, TARGET, TEMPERATURE, TIMESTAMP, WIND, SeriesSpec)
+from meterflow.spec import (HUMIDITY, LABEL, PAST, ROWS, SEASON, TARGET, TEMPERATURE, WIND, SeriesSpec)
 
 ONE = SeriesSpec(one_per_slot=True)
 TYPED = SeriesSpec(series=("event_type",), one_per_slot=True)
 DAILY = SeriesSpec(series=("o_orderpriority",), step="1 day", one_per_slot=True)
-SHIPPED = SeriesSpec(series=("l_returnflag",), step="1 day", one_per_slot=True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

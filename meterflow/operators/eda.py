@@ -138,10 +138,11 @@ def box_statistics(df: DataFrame, group: str, target: str, layout: Layout = DEFA
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col(target).between(F.col("q1") - reach, F.col("q3") + reach)
     kept = F.when(inside, F.col(target))
-    return (lookup(df.where(F.col(target).isNotNull()).select(group, target), boxes, group, "_rows")
+    tallies = df.where(F.col(target).isNotNull()).groupBy(group, target).agg(F.count(F.lit(1)).alias("_c"))
+    return (lookup(tallies, boxes, group, "_rows")
             .groupBy(group, "q1", "median", "q3")
             .agg(F.min(kept).alias("whisker_low"), F.max(kept).alias("whisker_high"),
-                 F.count_if(~inside).alias("outliers"), F.count(F.lit(1)).alias("rows")))
+                 F.sum(F.when(inside, 0).otherwise(F.col("_c"))).alias("outliers"), F.sum("_c").alias("rows")))
 
 
 def last_rows(df: DataFrame, by: Sequence[str], order: str, k: int = 144, first: bool = False) -> DataFrame:

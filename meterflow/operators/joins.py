@@ -23,7 +23,9 @@ def lookup(big: DataFrame, small: DataFrame, key: str, weight: str, *, how: str
     """
     others = [F.col(f"`{c}`") for c in big.columns]
     numbers = F.sequence(F.lit(0), F.lit(salts - 1))
-    own_salt = F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int")
+    # The input partition tells complete copies of a row apart and, unlike a row position, is the same
+    # when a lost task runs again.
+    own_salt = F.pmod(F.xxhash64(*others, F.spark_partition_id()), F.lit(salts)).cast("int")
     if big_weight is None:
         hot = (small.where(F.col(weight) > hot_rows)
                .withColumn("_copy", F.explode(numbers))

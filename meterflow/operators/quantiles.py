@@ -53,11 +53,13 @@ def bracketed_quantiles(df: DataFrame, value: str, probs: Sequence[float], group
     marks = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-margin, margin)})
     edges = data.groupBy("_g").agg(F.array_sort(F.array_distinct(F.percentile_approx(
         "_v", [float(m) for m in marks], accuracy))).alias("_edges"), F.count(F.lit(1)).alias("_rows"))
-    celled = (lookup(data, edges, "_g", "_rows")
+    # Equal values are counted before anything is joined; a value held by many rows is one row then.
+    tallies = data.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    celled = (lookup(tallies, edges, "_g", "_rows")
               .withColumn("_cell", F.size(F.filter("_edges", lambda e: e <= F.col("_v"))))
               .drop("_edges"))
 
-    counts = celled.groupBy("_g", "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    counts = celled.groupBy("_g", "_cell").agg(F.sum("_c").alias("_n"))
     in_order = Window.partitionBy("_g").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = counts.select(
         "_g", "_cell", "_n",
@@ -72,11 +74,9 @@ def bracketed_quantiles(df: DataFrame, value: str, probs: Sequence[float], group
                       "_total"))
 
     chosen = wanted.select("_g", "_cell", "_before").distinct()
-    # Equal values are counted before anything is joined; a value held by many rows is one row then.
-    tallies = (celled.groupBy("_g", "_cell", "_v").agg(F.count(F.lit(1)).alias("_c"))
-               .join(chosen, ["_g", "_cell"]))
+    near = celled.join(chosen, ["_g", "_cell"])
     by_value = Window.partitionBy("_g", "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranges = (tallies.withColumn("_end", F.col("_before") + F.sum("_c").over(by_value))
+    ranges = (near.withColumn("_end", F.col("_before") + F.sum("_c").over(by_value))
               .withColumn("_start", F.col("_end") - F.col("_c")).drop("_before"))
     hits = (ranges.join(wanted, ["_g", "_cell"])
             .where((F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_end"))))
