@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterflow.llm import packing, token_counts, token_ids
+from meterflow.llm import html_text, jaccard_join, licences, packing, quality_classifier, quality_rules, secrets, token_counts, token_ids
 from meterflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,11 +19,36 @@ def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
     return run
 
 
+@_query
+def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_report(licences.scan_licences(table(spark, sf_dir, "documents")))
+
+
+@_query
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.text_report(html_text.extract_text(table(spark, sf_dir, "pages")))
+
+
+@_query
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(secrets.scan_secrets(table(spark, sf_dir, "documents")))
+
+
 @_query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+@_query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_report(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
@@ -32,3 +57,8 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
