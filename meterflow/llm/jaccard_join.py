@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import stored, texts
+from meterflow.llm.common import SPACES, stored, texts
 from meterflow.llm.components import components
 
 WIDTH = 5
@@ -77,25 +77,25 @@ def _sets(seed: int, width: int):
             often, n = often[n > 2].view(np.int64), n[n > 2]
             counts = [[{"token": t, "n": c} for t, c in zip(often.tolist(), n.tolist())], *([None] * (len(sets) - 1))][:len(sets)]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([np.uint64(xxhash.xxh3_64_intdigest(r, seed)).view(np.int64) if r else None for r in raw], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(r, seed) if r else None for r in raw], pa.binary()), pa.array(raw, pa.binary()),
                 pa.array(counts, pa.list_(pa.struct([("token", pa.int64()), ("n", pa.int64())])))],
-                ["doc_id", "n_shingles", "key", "digest", "grams", "often"])
+                ["doc_id", "row", "n_shingles", "key", "digest", "grams", "often"])
 
     return run
 
 
 def shingle_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """Stored sets: doc_id, n_shingles, key of the set (null if empty), its codes, and frequent codes of a batch.
+    """Stored sets: doc_id, a hash of the text, n_shingles, key of the set (null if empty), its codes, frequent codes of a batch.
 
     Keys of 64 bits are checked against digests of 128 bits; if two different sets share a key, all keys are made
     anew from another seed.
     """
-    rows = texts(docs, key, text)
+    rows = texts(docs, key, text).withColumn("row", F.xxhash64("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     for seed in range(5):
-        sets = stored(rows.mapInArrow(_sets(seed, width), f"doc_id {kind}, n_shingles long, key long, digest binary, grams binary, "
+        sets = stored(rows.mapInArrow(_sets(seed, width), f"doc_id {kind}, row long, n_shingles long, key long, digest binary, grams binary, "
                                                          "often array<struct<token:long,n:long>>"), "sets")
         shared = sets.where("key is not null").groupBy("key").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b")
         if shared.isEmpty():
@@ -189,14 +189,8 @@ def _candidates(shared: DataFrame) -> DataFrame:
     return best.where(room >= _needed("size_a", "size_b")).select("a", "b")
 
 
-def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id.
-
-    Null and empty texts and texts without words have no shingles and are groups of their own. Equal sets link.
-    Rows that repeat a doc_id are one node; a null doc_id takes part in links but never names a group unless all ids are null.
-    An empty table gives an empty result.
-    """
-    sets = shingle_sets(docs, key, text, width)
+def set_roots(sets: DataFrame) -> DataFrame:
+    """Stored rows key, root: one for each distinct set; sets of one connected component share a root."""
     tokens, counts = frequent(sets)
     # the bucket keeps sizes apart that cannot link with the smallest set of a list
     bucket = F.floor(F.log(F.col("size").cast("double")) / math.log(1.0001 * DENOMINATOR / NUMERATOR)).cast("int")
@@ -241,10 +235,37 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     more = compared(stored(_candidates(shared), "open-pairs"), sets).where(LINKED).select("a", "b")
     groups = components(stored(links.union(more), "links"))
 
+    classes = sets.select("key").where("key is not null").distinct()
+    return stored(classes.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key")), "classes")
+
+
+def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id.
+
+    Null and empty texts and texts without words have no shingles and are groups of their own. Equal sets link.
+    A null doc_id takes part in links but names no group unless all its ids are null. Repeated rows are of
+    one group. An empty table gives an empty result.
+    """
+    sets = shingle_sets(docs, key, text, width)
+    roots = set_roots(sets)
     least = sets.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"))
-    classes = least.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    named = stored(classes, "classes")
+    named = least.join(roots, "key")
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
     by_key = stored(named.join(names, "root").select("key", "component_id"), "names")
     return (sets.select("doc_id", "n_shingles", "key").join(by_key, "key", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
+    """The row with the smallest id of each group (its copies with one id and text count once), columns unchanged.
+
+    Rows without words are groups of their own and all stay.
+    """
+    sets = shingle_sets(docs, key, text, width)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first")
+    keepers = sets.select("doc_id", "row", "key").where("key is not null").join(set_roots(sets), "key").groupBy("root").agg(first)
+    keepers = stored(keepers.select(F.struct(F.col("first.doc_id").alias("i"), F.col("first.row").alias("r")).alias("_kept")), "keepers")
+    whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    worded = whole.rlike(f"[^{SPACES}]")
+    own = docs.where(worded).withColumn("_kept", F.struct(F.col(f"`{key}`").alias("i"), F.xxhash64(whole).alias("r")))
+    return own.join(keepers, "_kept", "left_semi").dropDuplicates(["_kept"]).drop("_kept").unionByName(docs.where(~worded))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterflow.llm import html_text, jaccard_join, licences, packing, quality_classifier, quality_rules, secrets, token_counts, token_ids
+from meterflow.llm import decontamination, html_text, jaccard_join, licences, packing, quality_classifier, quality_rules, secrets, token_counts, token_ids
 from meterflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,12 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
 
 
+@_query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.contamination_report(found)
+
+
 @_query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

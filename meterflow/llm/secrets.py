@@ -165,9 +165,18 @@ def _mask(ratios: np.ndarray, bound: float, column: int, mask: str):
     return run
 
 
-def mask_secrets(docs: DataFrame, text: str = "text", bound: float = BOUND, mask: str = "[secret]") -> DataFrame:
-    """The same rows and columns with every span of ``text`` replaced; null texts stay null."""
-    return docs.mapInArrow(_mask(train(docs, text), bound, docs.columns.index(text), mask), docs.schema)
+def mask_secrets(docs: DataFrame, text: str = "text", bound: float = BOUND, mask: str = "[secret]", length: str | None = None) -> DataFrame:
+    """The same rows and columns with every span of ``text`` replaced; null texts stay null.
+
+    ``length`` names a column that is to hold the new length of the texts that were changed.
+    """
+    before = docs.withColumn("_before", F.col(f"`{text}`")) if length else docs
+    masked = before.mapInArrow(_mask(train(docs, text), bound, docs.columns.index(text), mask), before.schema)
+    if not length:
+        return masked
+    changed = ~F.col("_before").eqNullSafe(F.col(f"`{text}`"))
+    kind = docs.schema[length].dataType
+    return masked.withColumn(length, F.when(changed, F.length(F.col(f"`{text}`")).cast(kind)).otherwise(F.col(f"`{length}`"))).select(*docs.columns)
 
 
 def secret_report(scanned: DataFrame) -> DataFrame:
