@@ -3,7 +3,7 @@
 Trusted positives are labelled good; everything without a label is unlabelled. With logistic loss the
 unbiased risk of a linear score g is  -prior * mean_P[g] + mean_U[log(1 + exp(g))], which is convex. Its
 part for negatives, mean_U[log(1 + exp(g))] - prior * mean_P[log(1 + exp(g))], must not fall below zero:
-the ridge is weakened only as far as that holds. Every Newton step sums gradient and curvature over all rows.
+where it does, the prior is lowered. Every Newton step sums gradient and curvature over all rows.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ HINGES = {
     "copied_lines": (0.0, 0.1, 0.4),
 }
 #: From strong to weak.
-RIDGES = (0.1, 0.01, 1e-3, 1e-4)
+RIDGES = (0.1, 0.01, 1e-3)
 THRESHOLD = 0.3
 
 
@@ -89,43 +89,59 @@ def _total(rows: DataFrame, weights: np.ndarray) -> np.ndarray:
     return total
 
 
-def fit(rows: DataFrame, prior: float, ridges: tuple[float, ...] = RIDGES, rounds: int = 6) -> np.ndarray:
-    """Weights of the least unbiased risk under the weakest ridge that keeps its negative part above zero.
+def _risk(total: np.ndarray, weights: np.ndarray, prior: float, penalty: np.ndarray) -> float:
+    d = len(weights)
+    return total[1] / total[0] - prior * total[4 + d:4 + 2 * d] @ weights / total[2] + 0.5 * penalty @ weights ** 2
+
+
+def _descend(rows: DataFrame, weights: np.ndarray, total: np.ndarray, prior: float, ridge: float, rounds: int = 6) -> tuple[np.ndarray, np.ndarray]:
+    """Newton steps on the unbiased risk, each halved while it leads uphill."""
+    d = len(weights)
+    penalty = np.full(d, ridge)
+    penalty[0] = 0
+    for _ in range(rounds):
+        gradient = total[4:4 + d] / total[0] - prior * total[4 + d:4 + 2 * d] / total[2] + penalty * weights
+        curve = total[4 + 2 * d:].reshape(d, d) / total[0] + np.diag(penalty + 1e-9)
+        step, before = -np.linalg.solve(curve, gradient), _risk(total, weights, prior, penalty)
+        for _ in range(4):
+            trial = weights + step
+            new = _total(rows, trial)
+            if _risk(new, trial, prior, penalty) <= before:
+                break
+            step = step / 4
+        else:
+            break
+        weights, total = trial, new
+        if before - _risk(total, weights, prior, penalty) < 1e-4:
+            break
+    return weights, total
 
-    ``rows``: positive, x. Under the strongest ridge the score is nearly constant and the negative part
-    positive; each weaker one starts from the weights of the one before it.
+
+def fit(rows: DataFrame, prior: float, ridges: tuple[float, ...] = RIDGES) -> np.ndarray:
+    """Weights of the least non-negative risk. ``rows``: positive, x.
+
+    The ridge is weakened step by step, each from the weights before. Where the negatives' part falls below
+    zero, the prior was too high for these rows: it is lowered to the largest one that keeps the part above zero,
+    and the step is taken again. If that does not help, the weights before are kept.
     """
     d = 1 + sum(map(len, HINGES.values()))
-    weights = np.zeros(d)
-    weights[0] = np.log(prior / (1 - prior))
-    total, kept = _total(rows, weights), weights
+    kept = np.zeros(d)
+    total = _total(rows, kept)
     if not total[0] or not total[2]:
-        return np.zeros(d)
+        return kept
+    kept[0] = np.log(prior / (1 - prior))
+    total = _total(rows, kept)
     for ridge in ridges:
-        penalty = np.full(d, ridge)
-        penalty[0] = 0
-
-        def risk(total, weights):
-            return total[1] / total[0] - prior * total[4 + d:4 + 2 * d] @ weights / total[2] + 0.5 * penalty @ weights ** 2
-
-        for _ in range(rounds):
-            gradient = total[4:4 + d] / total[0] - prior * total[4 + d:4 + 2 * d] / total[2] + penalty * weights
-            curve = total[4 + 2 * d:].reshape(d, d) / total[0] + np.diag(penalty + 1e-9)
-            step, before = -np.linalg.solve(curve, gradient), risk(total, weights)
-            for _ in range(5):  # halve a step that leads uphill
-                trial = weights + step
-                new = _total(rows, trial)
-                if risk(new, trial) <= before:
-                    break
-                step /= 2
-            else:
-                break
-            weights, total = trial, new
-            if before - risk(total, weights) < 1e-4:
+        weights, sums = _descend(rows, kept, total, prior, ridge)
+        for _ in range(3):
+            bound = sums[1] / sums[0] / (sums[3] / sums[2])
+            if prior <= bound:
                 break
-        if total[1] / total[0] < prior * total[3] / total[2]:
+            prior = bound * (1 - 1e-3)
+            weights, sums = _descend(rows, weights, sums, prior, ridge)
+        else:
             break
-        kept = weights
+        kept, total = weights, sums
     return kept
 
 

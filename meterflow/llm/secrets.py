@@ -28,6 +28,8 @@ _NAMES = ("passw", "secret", "token", "api")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 #: Log-likelihood ratio from which a run is a secret.
 BOUND = 12.0
+#: Weight of the single-character model in each row of pairs; high, so that a rare run does not vouch for itself.
+SMOOTHING = 200.0
 _CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 _CODE = np.zeros(128, np.int64)
 _CODE[[ord(c) for c in _CHARS]] = np.arange(1, len(_CHARS) + 1)
@@ -96,14 +98,16 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Log-likelihood ratio of every character pair, random against ordinary, from all documents.
 
-    At most two counts for each of 69 x 69 pairs reach the driver. One more of each pair is assumed
-    (for random strings: of each letter and digit), so an empty table gives a model, too.
+    At most two counts for each of 69 x 69 pairs reach the driver. Pairs are smoothed towards single
+    characters and those towards equal shares, so an empty table gives a model, too.
     """
     rows = texts(docs.withColumn("_none", F.lit(0)), "_none", text).select("text")
     counted = rows.mapInArrow(_train, "label int, pair int, n long").groupBy("label", "pair").agg(F.sum("n").alias("n")).collect()
-    counts = np.ones((2, SIZE, SIZE))
+    counts = np.zeros((2, SIZE, SIZE))
     for row in counted:
         counts[row["label"], row["pair"] // SIZE, row["pair"] % SIZE] += row["n"]
+    single = counts.sum(axis=1, keepdims=True) + 1
+    counts += SMOOTHING * single / single.sum(axis=2, keepdims=True)
     model = np.log(counts / counts.sum(axis=2, keepdims=True))
     return (model[1] - model[0]).ravel()
 
