@@ -30,6 +30,16 @@ def s1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_readings(spark, path)
 
 
+@query("s1_csv_mixed_headers", f"WITH {readings_sql()} SELECT {READING_LIST} FROM readings")
+def s1_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder, two orders of columns."""
+    rows, path = readings(spark, sf_dir).select(*READING_COLUMNS), scratch_path(spark, "csv")
+    early = F.col(TIMESTAMP) < "2024-01-15"
+    write_clean(rows.where(early), path, file_format="csv")
+    write_clean(rows.where(~early).select(*reversed(READING_COLUMNS)), path, file_format="csv", mode="append")
+    return read_readings(spark, path)
+
+
 @query("s2_clean_artefact", f"WITH {readings_sql()} SELECT {READING_LIST} FROM readings")
 def s2(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = readings(spark, sf_dir).select(*READING_COLUMNS)

@@ -96,6 +96,7 @@ SELECT 'loose vs strict' AS pair, count(*) FILTER (WHERE ia) AS imputed_rows_a,
   round(count(*) FILTER (WHERE ia AND ib) / greatest(count(*) FILTER (WHERE ia OR ib), 1)::DOUBLE, 6) AS jaccard_imputed,
   round(coalesce(max(abs(ya - yb)) FILTER (WHERE ia AND ib), 0), 6) AS max_abs_diff_imputed,
   round(coalesce(avg(abs(ya - yb)) FILTER (WHERE ia AND ib), 0), 6) AS mean_abs_diff_imputed,
+  (SELECT count(*) FROM features) - count(*) AS unmatched_rows,
   coalesce((SELECT hour FROM worst), -1) AS top_disagree_hour,
   coalesce((SELECT d FROM worst), 0) AS top_disagree_hour_count
 FROM marked""")

@@ -161,8 +161,7 @@ tests AS (
   UNION ALL SELECT 'lstm', "Timestamp" FROM windows WHERE split = 'test')
 SELECT model, count(*) AS rows, min("Timestamp") AS start_ts, max("Timestamp") AS end_ts FROM tests GROUP BY 1""")
 def t8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Row counts and ranges do not depend on the number of trees.
-    predictions = plan.collect_predictions(calendar_grid(spark, sf_dir), ONE, trees=5)
+    predictions = plan.collect_predictions(calendar_grid(spark, sf_dir), ONE)
     return plan.prediction_ranges(predictions, ONE)
 
 

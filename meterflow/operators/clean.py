@@ -66,7 +66,8 @@ def compare_artefacts(baseline: DataFrame, a: DataFrame, b: DataFrame, spec: Ser
     """One row on how two cleaned artefacts differ from the baseline and from each other.
 
     A row counts as imputed when its value differs from the baseline; two missing values count as
-    different, too. The hour with most disagreements is -1 with count 0 when there are none.
+    different, too. The hour with most disagreements is -1 with count 0 when there are none. Rows that
+    one of the three tables lacks are counted as unmatched and nowhere else.
     """
     require_columns(baseline, [spec.ts, spec.target])
     key = F.struct(*spec.series, F.col(spec.ts)).alias("_key")
@@ -75,13 +76,16 @@ def compare_artefacts(baseline: DataFrame, a: DataFrame, b: DataFrame, spec: Ser
         return df.select(key, F.col(spec.target).alias(value), *more)
 
     joined = (slim(baseline, "_base", F.hour(spec.ts).alias("_hour"))
-              .join(slim(a, "_a"), "_key").join(slim(b, "_b"), "_key"))
+              .withColumn("_in", F.lit(1))
+              .join(slim(a, "_a", F.lit(1).alias("_in_a")), "_key", "full").join(slim(b, "_b", F.lit(1).alias("_in_b")), "_key", "full"))
+    everywhere = F.col("_in").isNotNull() & F.col("_in_a").isNotNull() & F.col("_in_b").isNotNull()
 
     def imputed(value: str) -> Column:
         base, other = F.col("_base"), F.col(value)
         return ~base.eqNullSafe(other) | (base.isNull() & other.isNull())
 
-    marked = joined.withColumns({"_ia": imputed("_a"), "_ib": imputed("_b")})
+    marked = joined.withColumns({"_ia": everywhere & imputed("_a"), "_ib": everywhere & imputed("_b"),
+                                 "_hour": F.when(everywhere, F.col("_hour"))})
     both, either = F.col("_ia") & F.col("_ib"), F.col("_ia") | F.col("_ib")
     gap = F.when(both, F.abs(F.col("_a") - F.col("_b")))
     # Hours are at most 24, so the totals come from a second, tiny aggregation.
@@ -89,7 +93,7 @@ def compare_artefacts(baseline: DataFrame, a: DataFrame, b: DataFrame, spec: Ser
         F.count_if("_ia").alias("_na"), F.count_if("_ib").alias("_nb"),
         F.count_if(F.col("_ia") != F.col("_ib")).alias("_d"),
         F.count_if(both).alias("_both"), F.count_if(either).alias("_either"),
-        F.max(gap).alias("_max"), F.sum(gap).alias("_sum"), F.count(gap).alias("_gaps"))
+        F.count_if(~everywhere).alias("_apart"), F.max(gap).alias("_max"), F.sum(gap).alias("_sum"), F.count(gap).alias("_gaps"))
     worst = F.max_by(F.struct(F.col("_hour").alias("h"), F.col("_d").alias("d")),
                      F.struct(F.col("_d"), -F.col("_hour")))
     total = hourly.agg(
@@ -98,7 +102,7 @@ def compare_artefacts(baseline: DataFrame, a: DataFrame, b: DataFrame, spec: Ser
         (F.sum("_both") / F.greatest(F.sum("_either"), F.lit(1))).alias("jaccard_imputed"),
         F.coalesce(F.max("_max"), F.lit(0.0)).alias("max_abs_diff_imputed"),
         F.coalesce(F.try_divide(F.sum("_sum"), F.sum("_gaps")), F.lit(0.0)).alias("mean_abs_diff_imputed"),
-        worst.alias("_worst"))
+        F.sum("_apart").alias("unmatched_rows"), worst.alias("_worst"))
     some = F.col("disagree_rows") > 0
     return total.select(
         F.lit(f"{name_a} vs {name_b}").alias("pair"), *total.columns[:-1],

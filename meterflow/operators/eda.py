@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,10 +68,9 @@ def label_distribution(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Count and percent of each label and how many times it exceeds the rarest one."""
     require_columns(df, [label])
     counts = df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("rows"))
-    every = Window.partitionBy()  # one row per label remains
     return counts.select("label", "rows",
-                         (F.col("rows") * 100.0 / F.sum("rows").over(every)).alias("percent"),
-                         (F.col("rows") / F.min("rows").over(every)).alias("ratio_to_rarest"))
+                         (F.col("rows") * 100.0 / counts.agg(F.sum("rows")).scalar()).alias("percent"),
+                         (F.col("rows") / counts.agg(F.min("rows")).scalar()).alias("ratio_to_rarest"))
 
 
 def _bounds(df: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float, float, int]]:
@@ -112,8 +113,8 @@ def _per_feature(values: dict[str, float]) -> Column:
 def densities(df: DataFrame, features: Sequence[str] = HISTOGRAM_FEATURES, points: int = 200) -> DataFrame:
     """Gaussian kernel density of every feature at evenly spaced points over its range.
 
-    Bandwidth by Scott's rule, ``deviation * n ** (-1/5)``. Each task sums the kernels of its own
-    rows before the shuffle, which then carries one number per feature and point.
+    Bandwidth by Scott's rule, ``deviation * n ** (-1/5)``. Equal values are counted first. Each task then
+    sums the weighted kernels of its own values, and the shuffle carries one number per feature and point.
     """
     require_columns(df, features, ValueError)
     bounds = {c: b for c, b in _bounds(df, features).items() if b[3] > 1 and b[2] > 0}
@@ -121,9 +122,22 @@ def densities(df: DataFrame, features: Sequence[str] = HISTOGRAM_FEATURES, point
     step = _per_feature({c: (b[1] - b[0]) / (points - 1) for c, b in bounds.items()})
     width = _per_feature({c: b[2] * b[3] ** -0.2 for c, b in bounds.items()})
     rows = _per_feature({c: b[3] for c, b in bounds.items()})
-    spread = (_long(df, list(bounds)).withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))))
-    z = (F.col("value") - (lo + F.col("point") * step)) / width
-    sums = spread.groupBy("feature", "point").agg(F.sum(F.exp(-0.5 * z * z)).alias("_k"))
+    grids = {c: (b[0] + np.arange(points) * ((b[1] - b[0]) / (points - 1)), b[2] * b[3] ** -0.2) for c, b in bounds.items()}
+
+    def kernels(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals = {c: np.zeros(points) for c in grids}
+        for batch in batches:
+            for c, part in batch.groupby("feature"):
+                for start in range(0, len(part), 1024):
+                    values, weights = (part[k].to_numpy()[start:start + 1024] for k in ("value", "weight"))
+                    z = (values[:, None] - grids[c][0]) / grids[c][1]
+                    totals[c] += weights @ np.exp(-0.5 * z * z)
+        for c, total in totals.items():
+            yield pd.DataFrame({"feature": c, "point": np.arange(points), "part": total})
+
+    tallies = _long(df, list(bounds)).groupBy("feature", "value").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    sums = (tallies.mapInPandas(kernels, "feature string, point int, part double")
+            .groupBy("feature", "point").agg(F.sum("part").alias("_k")))
     norm = rows * width * F.sqrt(F.lit(2.0) * F.pi())
     return sums.select("feature", "point", (lo + F.col("point") * step).alias("x"),
                        (F.col("_k") / norm).alias("density"))

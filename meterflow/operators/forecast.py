@@ -24,6 +24,9 @@ from meterflow.session import materialize
 from meterflow.spec import (CALENDAR_COLUMNS, DEFAULT_LAYOUT, HUMIDITY, LAGS, ROW, ROWS, SEASON, SEQUENCE_FEATURES,
                             SEQUENCE_LENGTH, TEMPERATURE, Layout, SeriesSpec)
 
+#: Partitions of the boosted trees' training table; a large table wants a multiple of its cores.
+TRAINING_PARTITIONS = 4
+
 
 def boosted_features(target: str) -> list[str]:
     """Predictors of the boosted trees: three lags, two weather columns, four calendar columns."""
@@ -171,19 +174,25 @@ def _ridge_by_series(train: DataFrame, spec: SeriesSpec, penalties: Sequence[flo
 
 
 def boosted_fit(train: DataFrame, features: Sequence[str], target: str, trees: int = 100, step: float = 0.1,
-                depth: int = 6, seed: int = 42) -> GBTRegressionModel:
-    """Gradient boosted trees on the assembled predictors; no early stopping."""
+                depth: int = 6, seed: int = 42, partitions: int = TRAINING_PARTITIONS) -> GBTRegressionModel:
+    """Gradient boosted trees on the assembled predictors; no early stopping.
+
+    The learner draws split candidates partition by partition; ``dealt`` makes these the same for any input.
+    """
     require_columns(train, [*features, target])
     regressor = GBTRegressor(featuresCol="_features", labelCol=target, maxIter=trees, stepSize=step,
                              maxDepth=depth, seed=seed, checkpointInterval=10)
-    slim = few_partitions(train.select(*features, target))
+    slim = dealt(train.select(*features, target), partitions)
     return regressor.fit(VectorAssembler(inputCols=list(features), outputCol="_features").transform(slim))
 
 
-def few_partitions(df: DataFrame, rows_per_partition: int = 50_000) -> DataFrame:
-    """Fewer partitions for a small training table: an iterative learner pays per task and pass."""
-    wanted = max(1, math.ceil(df.count() / rows_per_partition))
-    return df.coalesce(wanted)
+def dealt(df: DataFrame, partitions: int) -> DataFrame:
+    """The rows by their hash in a given number of partitions, sorted: the same layout however they arrive.
+
+    An iterative learner pays per task and pass, so large tables want more partitions than small ones.
+    """
+    row = F.xxhash64(*df.columns)
+    return df.repartition(partitions, row).sortWithinPartitions(row, *df.columns)
 
 
 def boosted_frame(df: DataFrame, spec: SeriesSpec, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
@@ -219,6 +228,6 @@ def window_regression_forecast(df: DataFrame, spec: SeriesSpec, features: Sequen
         F.col("next_step")[0].alias(spec.target)))
     regression = LinearRegression(featuresCol="_features", labelCol=spec.target, regParam=penalty,
                                   elasticNetParam=mix, maxIter=100)
-    model = regression.fit(few_partitions(table.where(F.col("split") == "train")))
+    model = regression.fit(table.where(F.col("split") == "train"))
     return prediction_frame(model.transform(table.where(F.col("split") == "test")), spec, "prediction")
 

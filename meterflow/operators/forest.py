@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from meterflow.functions.checks import require_columns
 from meterflow.operators.quantiles import exact_quantile_values
+from meterflow.session import materialize
 from meterflow.spec import DEFAULT_LAYOUT, Layout
 
 # Task functions travel by value, so executors do not need this package installed.
@@ -108,16 +109,22 @@ def fit_forest(
     trees: int = 100,
     max_features: float | int = 1.0,
     seed: int = 42,
+    sample_size: int = SAMPLE,
 ) -> IsolationForest:
-    """Fit on the complete rows of ``df``; ``row_key`` must identify a row."""
+    """Fit on the complete rows of ``df``; ``row_key`` must identify a row.
+
+    Every tree sees ``sample_size`` rows (all, if there are fewer). A tree depends on the rows, the seed and
+    its own number only: a smaller forest is the start of a larger one.
+    """
     require_columns(df, [*features, *row_key])
     complete = df.dropna(subset=list(features)).select(
         F.xxhash64(F.lit(seed), *[F.col(c) for c in row_key]).alias("_key"),
+        F.xxhash64(*[F.col(c) for c in features]).alias("_same"),
         F.array(*[F.col(c).cast("double") for c in features]).alias("_x"))
     rows = complete.count()
     if rows == 0:
         raise ValueError("no complete rows to fit the forest on")
-    psi = min(SAMPLE, rows)
+    psi = min(sample_size, rows)
     per_tree = (max(1, min(len(features), max_features)) if isinstance(max_features, int)
                 else max(1, int(max_features * len(features))))
     limit = max(1, math.ceil(math.log2(psi))) if psi > 1 else 1
@@ -137,30 +144,23 @@ def fit_forest(
 
 
 def _tree_samples(complete: DataFrame, rows: int, psi: int, trees: int) -> DataFrame:
-    """``psi`` rows per tree without replacement.
+    """For every tree the ``psi`` rows with the lowest hash of row key and tree number.
 
-    A hash threshold first thins a large table to a pool of about ``trees * psi`` rows. The pool is
-    permuted by hash once per round and dealt to consecutive trees; a small table needs several
-    rounds. Each window holds the pool only, whatever the size of the table.
+    A bound on the hash leaves about twice as many candidates a tree before they are ranked. It only saves
+    work: should a tree have fewer than it needs, the bound is raised and the ranking done again.
     """
-    pool_target = trees * psi
-    pool = complete
-    if rows > 2 * pool_target:
-        share = 1.5 * pool_target / rows
-        span = 1 << 40
-        pool = complete.where(F.pmod(F.xxhash64("_key", F.lit(-1)), F.lit(span)) < int(share * span))
-        available = pool_target
-    else:
-        available = rows
-    per_round = max(1, min(trees, available // psi))
-    rounds = math.ceil(trees / per_round)
-    dealt = pool.withColumn("_round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
-    shuffled = Window.partitionBy("_round").orderBy(F.xxhash64("_key", "_round"), "_key")
-    return (dealt.withColumn("_rank", F.row_number().over(shuffled) - 1)
-            .where(F.col("_rank") < per_round * psi)
-            .withColumn("_tree", F.col("_round") * per_round + F.floor(F.col("_rank") / psi).cast("int"))
-            .where(F.col("_tree") < trees)
-            .select("_tree", "_rank", "_x"))
+    span, share = 1 << 40, min(1.0, (2 * psi + 64) / rows)
+    while True:
+        bound = F.lit(span if share >= 1 else int(share * span))
+        drawn = lambda t: F.pmod(F.xxhash64("_key", t), F.lit(span))
+        near = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: drawn(t) < bound)
+        dealt = complete.withColumn("_tree", F.explode(near)).withColumn("_draw", drawn(F.col("_tree")))
+        order = Window.partitionBy("_tree").orderBy("_draw", "_key", "_same")
+        picked = materialize(dealt.withColumn("_rank", F.row_number().over(order) - 1).where(F.col("_rank") < psi)
+                             .select("_tree", "_rank", "_x"))
+        if share >= 1 or picked.count() == trees * psi:
+            return picked
+        share = min(1.0, 4 * share)
 
 
 def _grow_tree(x: np.ndarray, allowed: np.ndarray, limit: int, rng: np.random.Generator) -> pd.DataFrame:

@@ -69,16 +69,26 @@ def _number_by_bucket(df: DataFrame, spec: SeriesSpec, layout: Layout) -> DataFr
     counts = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
     offsets = _offsets(counts, [F.col("_key")[c] for c in spec.series],
                        F.col("_key._bucket"), [F.col("_key")])
-    inside = Window.partitionBy("_key").orderBy(spec.ts, *spec.tiebreak)
+    inside = Window.partitionBy("_key").orderBy(spec.ts, *spec.tiebreak, *_last_resort(df, spec))
     return (keyed.join(offsets, "_key")
             .withColumn(ROW, F.row_number().over(inside) - 1 + F.col("_before"))
             .select(*df.columns, ROW, ROWS))
 
 
+def _row_hash(df: DataFrame) -> Column:
+    """The same for a row whatever the partitions and the order of the columns."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+
+
+def _last_resort(df: DataFrame, spec: SeriesSpec) -> list[Column]:
+    """Rows of one time are ordered by their hash, as in the range sort, so that both ways give the same numbers."""
+    return [] if spec.one_per_slot else [_row_hash(df)]
+
+
 def _number_by_range(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    # Equal keys cannot be split by range; a row hash and an arrival number break all ties.
+    # Equal keys cannot be split by range; the arrival number tells complete copies apart, whose order is all one.
     keys = [*spec.series, spec.ts, *spec.tiebreak, "_hash", "_arrival"]
-    ordered = (df.withColumn("_hash", F.xxhash64(*df.columns))
+    ordered = (df.withColumn("_hash", _row_hash(df))
                .withColumn("_arrival", F.monotonically_increasing_id())
                .repartitionByRange(*keys)
                .sortWithinPartitions(*keys)

@@ -152,12 +152,11 @@ def profile_flags(df: DataFrame, spec: SeriesSpec, profile: str = "legacy",
     else:
         # Scaler and forest see all rows here; only the cut-off is chosen on validation labels.
         scored = detect_forest(features, spec, TUNED_FOREST, layout)
-        if LABEL in scored.columns:
-            split = tuning_split(scored, spec, layout=layout)
-            cut = best_threshold(encode_labels(split.where(F.col("split") == "val")), "score",
-                                 layout=layout).first()["threshold"]
-            scored = scored.withColumn("is_anomaly", flag_at("score", cut))
-        flagged = scored
+        require_columns(scored, [LABEL], ValueError)
+        split = tuning_split(scored, spec, layout=layout)
+        cut = best_threshold(encode_labels(split.where(F.col("split") == "val")), "score",
+                             layout=layout).first()["threshold"]
+        flagged = scored.withColumn("is_anomaly", flag_at("score", cut))
     return features, flagged.select(*row_key(spec), "is_anomaly")
 
 

@@ -1,4 +1,4 @@
-"""Reliable intermediate results: checkpoints and scratch folders on shared storage."""
+"""Reliable intermediate results: tables and scratch folders on shared storage."""
 
 from __future__ import annotations
 
@@ -24,11 +24,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint, so later passes do not recompute ``df``."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Store ``df`` as Parquet in the shared folder, so later passes neither recompute it nor read columns they do not need."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name beside the checkpoints."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder name in the shared folder; what is written there goes when the session's JVM ends."""
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,18 +44,37 @@ def read_readings(
     *,
     schema: T.StructType | None = None,
     fmt: str = TIMESTAMP_FORMAT,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """Read header CSV readings from a path, folder or glob; order is left to the operators.
 
-    ``schema`` defaults to the canonical one; its time column must be present in the header.
+    Every file is read by its own header, so files may hold the columns in different orders; a column that
+    a file lacks is NULL there. ``schema`` defaults to the canonical one; each header must have the time
+    column. A text that is no number in a number column fails the job unless ``mode`` is ``PERMISSIVE``.
     """
-    header = spark.read.option("header", True).csv(path).columns
-    if TIMESTAMP not in header:
-        raise ValueError(f"Column {TIMESTAMP!r} not found in {path}")
     known = {f.name: f for f in (schema or readings_schema())}
-    # Columns are matched by header name, as a CSV may hold them in any order.
-    by_header = T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in header])
-    return _parse_time(spark.read.option("header", True).schema(by_header).csv(path), fmt)
+    tables = []
+    for header, files in _headers(spark, path).items():
+        by_header = T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in header])
+        reader = spark.read.option("header", True).option("enforceSchema", False).option("mode", mode).schema(by_header)
+        tables.append(reader.csv(files))
+    return _parse_time(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables), fmt)
+
+
+def _headers(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by header. A header line holds the time column's name among its fields."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    names = F.transform(F.split("value", ","), lambda c: F.trim(F.regexp_replace(c, '"', "")))
+    first = (lines.where((F.col("block") == 0) & F.array_contains(names, TIMESTAMP)).groupBy("file").agg(F.min("value").alias("header")))
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for row in first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect():
+        columns = tuple(spark.read.option("header", True).csv(row["files"][0]).columns)
+        by_header.setdefault(columns, []).extend(row["files"])
+    read = sum(map(len, by_header.values()))
+    all_files = lines.where("block = 0").select("file").distinct().count()
+    if not by_header or read < all_files:
+        raise ValueError(f"Column {TIMESTAMP!r} not found in the header of {all_files - read or 'any'} file of {path}")
+    return by_header
 
 
 def read_clean(spark: SparkSession, path: str, *, target: str = TARGET, fmt: str = TIMESTAMP_FORMAT,

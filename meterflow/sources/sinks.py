@@ -10,7 +10,7 @@ from meterflow.spec import TIMESTAMP, TIMESTAMP_FORMAT
 
 
 def write_clean(df: DataFrame, path: str, *, ts: str = TIMESTAMP, file_format: str = "parquet",
-                by_date: bool = True) -> str:
+                by_date: bool = True, mode: str = "overwrite") -> str:
     """Write a cleaned artefact. Parquet is partitioned by day so that time filters prune files.
 
     Rows are first gathered by day (many tasks per day when a day is large), which keeps the
@@ -18,13 +18,13 @@ def write_clean(df: DataFrame, path: str, *, ts: str = TIMESTAMP, file_format: s
     """
     if file_format == "csv":
         text = df.withColumn(ts, F.date_format(ts, TIMESTAMP_FORMAT))
-        text.write.mode("overwrite").option("header", True).csv(path)
+        text.write.mode(mode).option("header", True).csv(path)
         return path
     if not by_date:
-        df.write.mode("overwrite").format(file_format).save(path)
+        df.write.mode(mode).format(file_format).save(path)
         return path
     dated = df.withColumn("date", F.to_date(ts)).hint("rebalance", "date")
-    dated.write.mode("overwrite").partitionBy("date").format(file_format).save(path)
+    dated.write.mode(mode).partitionBy("date").format(file_format).save(path)
     return path
 
 

@@ -78,6 +78,9 @@ def test_compare_artefacts(spark):
     assert (got.top_disagree_hour, got.top_disagree_hour_count) == (0, 1)
     same = compare_artefacts(base, base, base, ONE).first()
     assert (same.jaccard_imputed, same.top_disagree_hour, same.top_disagree_hour_count) == (0.0, -1, 0)
+    assert (got.unmatched_rows, same.unmatched_rows) == (0, 0)
+    short = compare_artefacts(base, a, b.where(F.col(Y) != 8), ONE).first()  # the third row is missing
+    assert (short.unmatched_rows, short.imputed_rows_a, short.imputed_rows_b) == (1, 1, 1)
 
 
 def detections(spark, rows):
