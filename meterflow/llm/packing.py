@@ -12,7 +12,6 @@ one stretch to the next; what is left at its end is cut at powers of two, which
 
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_left
 from collections import deque
@@ -33,7 +32,6 @@ WIDTH = 4096
 SENTENCE, ANYWHERE = 8, 256
 #: Tokens after which a stretch is planned.
 STRETCH = 1 << 18
-_SENTENCE = re.compile(r"(?<=[.!?])[ \t\r]+|\n+")
 PIECE = "shard int, local_sequence long, offset long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _KINDS = {"int": pa.int32(), "long": pa.int64()}
 _SCHEMA = pa.schema([(name, _KINDS[kind]) for name, kind in (c.split() for c in PIECE.split(", "))])
@@ -103,18 +101,21 @@ def windows(bounds: list[int], prices: list[int], last: bool, width: int = WIDTH
     return ends
 
 
-def _sentences(encoder: WordEncoder, text: str, end: bytes) -> tuple[bytes, list[int]]:
-    """Ids of a text with its end id, and its sentence ends (the end of the document comes last)."""
-    parts, ends, size = [], [], 0
-    for sentence in _SENTENCE.split(text):
-        ids = encoder.encode(sentence)
-        if ids:
-            parts.append(ids)
-            size += len(ids) // 4
-            ends.append(size)
-    if ends:
-        ends.pop()
-    return b"".join(parts) + end, [*ends, size + 1]
+def sentence_tokens(tokenizer) -> np.ndarray:
+    """For each id whether it ends a sentence: the end of a word that ends in a full stop, exclamation or question mark."""
+    vocabulary = tokenizer.get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for token, i in vocabulary.items() if token.removesuffix("</w>")[-1:] in (".", "!", "?") and token.endswith("</w>")]] = True
+    return ends
+
+
+def sentence_ends(ids: bytes, ends: np.ndarray) -> list[int]:
+    """Positions behind sentences of a document with its end id; the last is the document's end."""
+    codes = np.frombuffer(ids, "<u4")
+    found = (np.flatnonzero(ends[codes[:-1]]) + 1).tolist()
+    if found and found[-1] == len(codes) - 1:
+        found.pop()  # the end id belongs to the last sentence
+    return [*found, len(codes)]
 
 
 class _Packer:
@@ -160,10 +161,12 @@ def _pack(path: str, end_id: int, width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = WordEncoder(path), np.array([end_id], "<u4").tobytes()
+        stops = sentence_tokens(encoder.pieces.words.tokenizer)
         packer = _Packer(TaskContext.get().partitionId(), width)
         for rows in batches:
             for key, text in zip(rows.column(0).to_pylist(), rows.column(1)):
-                packer.add(key, *_sentences(encoder, text.as_py(), end))
+                ids = encoder.encode(text.as_py()) + end
+                packer.add(key, ids, sentence_ends(ids, stops))
                 if packer.size >= STRETCH and (pieces := packer.flush(False)):
                     yield batch(pieces)
         if pieces := packer.flush(True):
