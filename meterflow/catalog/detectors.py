@@ -232,10 +232,20 @@ def a11_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
         metrics=("euclidean",), scale=False))
 
 
-@query("a11_density_grid_scaled", f"""WITH {PARTED}, {scaled_sql(ENHANCED, "parted", "split = 'train'")},
+_SCALED_GRID = f"""WITH {PARTED}, {scaled_sql(ENHANCED, "parted", "split = 'train'")},
 tagged AS (SELECT *, {_TAG} FROM matrix),
 {grid_sql((*(f"{c}_scaled" for c in ENHANCED), "hour_zscore"),
-          [(e, m) for e in studies.EPS_GRID for m in studies.MIN_SAMPLES_GRID], studies.METRIC_GRID)}""")
+          [(e, m) for e in studies.EPS_GRID for m in studies.MIN_SAMPLES_GRID], studies.METRIC_GRID)}"""
+
+
+@query("a11_density_winner", f"""WITH g AS ({_SCALED_GRID}),
+best AS (SELECT metric, eps, min_samples FROM g WHERE split = 'val' ORDER BY f1 DESC, metric, eps, min_samples LIMIT 1)
+SELECT g.* FROM g JOIN best USING (metric, eps, min_samples)""")
+def a11_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_rounded_rates(studies.density_winner(enhanced(spark, sf_dir), ONE))
+
+
+@query("a11_density_grid_scaled", _SCALED_GRID)
 def a11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_rounded_rates(studies.density_grid(enhanced(spark, sf_dir), ONE))
 
@@ -246,7 +256,7 @@ def a12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_rounded_rates(studies.ensemble_sweep(rows, "forest_flag", "density_flag", "score_norm"))
 
 
-@query("a12_rule_sweep", f"""WITH {RULED}, b AS (SELECT min(score) AS lo, max(score) AS hi FROM ruled),
+_RULE_SWEEP = f"""WITH {RULED}, b AS (SELECT min(score) AS lo, max(score) AS hi FROM ruled),
 options AS (
   SELECT split, label, 'intersection' AS strategy, 0.7::DOUBLE AS alpha, least(is_anomaly, flag_b) AS is_anomaly FROM ruled
   UNION ALL SELECT split, label, 'union', 0.7::DOUBLE, greatest(is_anomaly, flag_b) FROM ruled
@@ -254,12 +264,37 @@ options AS (
     CASE WHEN alpha * ((score - lo) / (hi - lo)) + (1 - alpha) * flag_b >= 0.5 THEN 1 ELSE 0 END
   FROM ruled, b, (SELECT unnest([0.5, 0.6, 0.7, 0.8, 0.9]::DOUBLE[]) AS alpha)),
 c AS (SELECT strategy, alpha, split, {COUNTS} FROM options GROUP BY 1, 2, 3)
-SELECT strategy, alpha, split, tn, fp, fn, tp, {RATES} FROM c""")
+SELECT strategy, alpha, split, tn, fp, fn, tp, {RATES} FROM c"""
+
+
+@query("a12_rule_winner", f"""WITH g AS ({_RULE_SWEEP}),
+best AS (SELECT strategy, alpha FROM g WHERE split = 'val' ORDER BY f1 DESC, strategy, alpha LIMIT 1)
+SELECT g.* FROM g JOIN best USING (strategy, alpha)""")
+def a12_rule_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_rounded_rates(studies.ensemble_winner(a12_rule(spark, sf_dir)))
+
+
+@query("a12_rule_sweep", _RULE_SWEEP)
 def a12_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = th.min_max(materialize(ruled(spark, sf_dir)), "score")
     return with_rounded_rates(studies.ensemble_sweep(rows, "is_anomaly", "flag_b", "score_norm"))
 
 
+@query("a12_ensemble_winner")
+def a12_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_rounded_rates(studies.ensemble_winner(a12(spark, sf_dir)))
+
+
+@query("a10_forest_winner")
+def a10_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_rounded_rates(studies.forest_winner(enhanced(spark, sf_dir), ONE))
+
+
+@query("e12_enhanced_splits")
+def e12_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_rounded_rates(studies.enhanced_forest_splits(materialize(readings(spark, sf_dir)), ONE))
+
+
 @query("a13_profile_flags")
 def a13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flags of all three detection profiles side by side."""
@@ -279,8 +314,7 @@ def e12_board(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("e13_fair_comparison")
 def e13(spark: SparkSession, sf_dir: str) -> DataFrame:
-    board = studies.comparison_board(materialize(readings(spark, sf_dir)), ONE)
-    return studies.fair_comparison(board).withColumn("test_f1", six("test_f1"))
+    return studies.fair_comparison(materialize(readings(spark, sf_dir)), ONE).withColumn("test_f1", six("test_f1"))
 
 
 @query("x4_segmented_forest")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from meterflow.functions.literals import double_rows
 from meterflow.operators.density import density_noise, density_noise_grid
 from meterflow.operators.features import base_features, encode_labels, enhanced_features
-from meterflow.operators.forest import contamination_flag, fit_forest
+from meterflow.operators.forest import contamination_flag, contamination_offset, fit_forest
 from meterflow.operators.matrix import ModelMatrix, model_matrix, tuning_bundle
 from meterflow.operators.metrics import detection_scorecard
 from meterflow.operators.quantiles import exact_quantiles
@@ -70,6 +70,35 @@ def forest_grid(df: DataFrame, spec: SeriesSpec, *, contaminations: Sequence[flo
     return df.sparkSession.createDataFrame(rows, schema).orderBy(F.desc("val_f1"), "grid_order")
 
 
+def forest_winner(df: DataFrame, spec: SeriesSpec, *, drop_weather: bool = False, seed: int = 42,
+                  layout: Layout = DEFAULT_LAYOUT, **grid: Sequence[float]) -> DataFrame:
+    """Scores per split of the grid's best setting, fitted again on the train rows and flagged in its winning mode."""
+    best = forest_grid(df, spec, drop_weather=drop_weather, seed=seed, layout=layout, **grid).first()
+    bundle = tuning_bundle(df, spec, scale=True, drop_weather=drop_weather, layout=layout)
+    train = bundle.rows.where(F.col("split") == "train")
+    forest = fit_forest(train, bundle.inputs, row_key(spec), trees=best["trees"], max_features=best["max_features"], seed=seed)
+    scored = materialize(forest.score(bundle.rows).select("split", "label", F.round("score", 12).alias("score")))
+    if best["mode"] == "threshold":
+        flag = flag_at("score", best["threshold"])
+    else:
+        flag = contamination_flag("score", contamination_offset(scored.where(F.col("split") == "train"), "score", best["contamination"], layout))
+    settings = [F.lit(best[c]).alias(c) for c in ("contamination", "trees", "max_features", "mode")]
+    return detection_scorecard(scored.withColumn("is_anomaly", flag), ["split"]).select(*settings, "*")
+
+
+def winner_by_split(scores: DataFrame, grid: Mapping[str, Sequence]) -> DataFrame:
+    """The rows of all splits of the setting with the best validation F1.
+
+    ``grid`` names the setting columns and their values in grid order, the slowest first; F1 that agree to six
+    digits are a tie, which the first setting wins. ``scores`` should be stored: it is read twice.
+    """
+    place = F.struct(*[-F.array_position(F.array(*[F.lit(v) for v in values]), F.col(c)) for c, values in grid.items()])
+    best = scores.where(F.col("split") == "val").agg(F.max_by(F.struct(*grid), F.struct(F.round("f1", 6), place)).alias("b")).first()["b"]
+    if best is None:
+        return scores.limit(0)
+    return scores.where(reduce(lambda a, b: a & b, [F.col(c) == best[c] for c in grid]))
+
+
 def _grid_scores(bundle: ModelMatrix, spec: SeriesSpec, trees: Sequence[int], max_features: Sequence[float],
                  seed: int) -> DataFrame:
     """One row per scored row and forest; forests are numbered by feature share, then by trees."""
@@ -136,6 +165,18 @@ def density_grid_scores(rows: DataFrame, inputs: Sequence[str], configs: Sequenc
     return scores.withColumn("metric", F.lit(metric)).withColumn("flagged", F.col("tp") + F.col("fp"))
 
 
+def density_winner(df: DataFrame, spec: SeriesSpec, *, eps: Sequence[float] = EPS_GRID, min_samples: Sequence[int] = MIN_SAMPLES_GRID,
+                   metrics: Sequence[str] = METRIC_GRID, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
+    """Scores per split of the best setting of the scaled density grid."""
+    scores = materialize(density_grid(df, spec, eps=eps, min_samples=min_samples, metrics=metrics, layout=layout))
+    return winner_by_split(scores, {"metric": metrics, "eps": [float(e) for e in eps], "min_samples": min_samples})
+
+
+def ensemble_winner(sweep: DataFrame, alphas: Sequence[float] = ALPHA_GRID, alpha: float = 0.7) -> DataFrame:
+    """Scores per split of the best row of an ensemble sweep."""
+    return winner_by_split(materialize(sweep), {"strategy": ("intersection", "union", "weighted"), "alpha": sorted({alpha, *alphas})})
+
+
 def ensemble_sweep(rows: DataFrame, forest_flag: str, density_flag: str, forest_norm: str,
                    alphas: Sequence[float] = ALPHA_GRID, alpha: float = 0.7) -> DataFrame:
     """Scores per strategy, alpha and split; ``rows`` carry both flags, the label and the split."""
@@ -147,15 +188,20 @@ def ensemble_sweep(rows: DataFrame, forest_flag: str, density_flag: str, forest_
     return detection_scorecard(long, ["strategy", "alpha", "split"])
 
 
-def tuned_ensemble_rows(df: DataFrame, spec: SeriesSpec, forest: ForestConfig = TUNED_FOREST,
-                        density: DensityConfig = TUNED_DENSITY, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
-    """Train-fitted rows of an enhanced feature table with both flags and the normalised score."""
-    bundle = tuning_bundle(df, spec, scale=True, layout=layout)
+def tuned_forest_rows(bundle: ModelMatrix, spec: SeriesSpec, forest: ForestConfig = TUNED_FOREST, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
+    """Rows of an enhanced bundle with the score and ``forest_flag`` of a train-fitted forest, cut at the validation threshold."""
     fitted = ForestConfig(contamination=forest.contamination, trees=forest.trees, max_features=forest.max_features,
                           scale=True, fit_on="train", seed=forest.seed)
     scored = forest_scores(bundle, spec, fitted, layout)
     cut = best_threshold(scored.where(F.col("split") == "val"), "score", layout=layout).first()["threshold"]
-    flagged = scored.withColumn("forest_flag", flag_at("score", cut))
+    return scored.withColumn("forest_flag", flag_at("score", cut))
+
+
+def tuned_ensemble_rows(df: DataFrame, spec: SeriesSpec, forest: ForestConfig = TUNED_FOREST,
+                        density: DensityConfig = TUNED_DENSITY, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
+    """Train-fitted rows of an enhanced feature table with both flags and the normalised score."""
+    bundle = tuning_bundle(df, spec, scale=True, layout=layout)
+    flagged = tuned_forest_rows(bundle, spec, forest, layout)
     noise = density_noise(flagged, bundle.inputs, density.eps, density.min_samples, density.metric,
                           "density_flag", layout)
     return materialize(min_max(noise, "score").select(
@@ -163,38 +209,61 @@ def tuned_ensemble_rows(df: DataFrame, spec: SeriesSpec, forest: ForestConfig =
         "density_flag"))
 
 
-def comparison_board(df: DataFrame, spec: SeriesSpec, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
-    """Scores of eight detectors: base and enhanced forests, density noise and ensembles."""
-    base = materialize(base_features(df, spec, layout))
-    enhanced = materialize(enhanced_features(df, spec, layout))
+ENHANCED_FOREST = "enhanced forest, test"
+
+
+def _labelled(base: DataFrame, spec: SeriesSpec, layout: Layout) -> ModelMatrix:
     matrix = model_matrix(base, spec, scale=False, layout=layout)
-    whole = ModelMatrix(encode_labels(tuning_split(matrix.rows, spec, layout=layout)), matrix.inputs, None)
+    return ModelMatrix(encode_labels(tuning_split(matrix.rows, spec, layout=layout)), matrix.inputs, None)
+
 
-    def scope(rows: DataFrame, name: str, flag: Column, test_only: bool) -> DataFrame:
-        kept = rows.where(F.col("split") == "test") if test_only else rows
-        return kept.select(F.lit(name).alias("detector"), "label", flag.alias("is_anomaly"))
+def _scope(rows: DataFrame, name: str, flag: Column, test_only: bool) -> DataFrame:
+    kept = rows.where(F.col("split") == "test") if test_only else rows
+    return kept.select(F.lit(name).alias("detector"), "label", flag.alias("is_anomaly"))
 
+
+def _base_forests(whole: ModelMatrix, spec: SeriesSpec, layout: Layout) -> list[DataFrame]:
     full = forest_scores(whole, spec, ForestConfig(), layout)
     fitted = forest_scores(whole, spec, ForestConfig(fit_on="train"), layout)
     cut = best_threshold(fitted.where(F.col("split") == "val"), "score", layout=layout).first()["threshold"]
+    return [
+        _scope(full, "base forest, all rows", contamination_flag("score", 0.0), False),
+        _scope(fitted, "base forest, test", contamination_flag("score", 0.0), True),
+        _scope(fitted, "base forest, test, validation threshold", flag_at("score", cut), True),
+    ]
+
+
+def comparison_board(df: DataFrame, spec: SeriesSpec, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
+    """Scores of eight detectors: base and enhanced forests, density noise and ensembles."""
+    whole = _labelled(materialize(base_features(df, spec, layout)), spec, layout)
+    enhanced = materialize(enhanced_features(df, spec, layout))
     noise = density_noise(whole.rows, whole.inputs, 0.5, 5, "euclidean", "density_flag", layout)
     tuned = tuned_ensemble_rows(enhanced, spec, layout=layout)
     union = ensemble_flag("union", "forest_flag", "density_flag")
     both = ensemble_flag("intersection", "forest_flag", "density_flag")
     parts = [
-        scope(full, "base forest, all rows", contamination_flag("score", 0.0), False),
-        scope(fitted, "base forest, test", contamination_flag("score", 0.0), True),
-        scope(fitted, "base forest, test, validation threshold", flag_at("score", cut), True),
-        scope(tuned, "enhanced forest, test", F.col("forest_flag"), True),
-        scope(tuned, "enhanced density, test", F.col("density_flag"), True),
-        scope(tuned, "enhanced union, test", union, True),
-        scope(tuned, "enhanced intersection, test", both, True),
-        scope(noise, "base density, all rows", F.col("density_flag"), False),
+        *_base_forests(whole, spec, layout),
+        _scope(tuned, ENHANCED_FOREST, F.col("forest_flag"), True),
+        _scope(tuned, "enhanced density, test", F.col("density_flag"), True),
+        _scope(tuned, "enhanced union, test", union, True),
+        _scope(tuned, "enhanced intersection, test", both, True),
+        _scope(noise, "base density, all rows", F.col("density_flag"), False),
     ]
     return detection_scorecard(reduce(DataFrame.unionByName, parts), ["detector"])
 
 
-def fair_comparison(board: DataFrame) -> DataFrame:
-    """Model and F1 of the forest rows of a measured comparison board."""
-    return board.where(F.col("detector").contains("forest")).select(
-        F.col("detector").alias("model"), F.col("f1").alias("test_f1"))
+def enhanced_forest_splits(df: DataFrame, spec: SeriesSpec, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
+    """Train, validation and test scores of the enhanced forest of the comparison board."""
+    enhanced = materialize(enhanced_features(df, spec, layout))
+    rows = tuned_forest_rows(tuning_bundle(enhanced, spec, scale=True, layout=layout), spec, layout=layout)
+    return detection_scorecard(rows.withColumn("is_anomaly", F.col("forest_flag")), ["split"])
+
+
+def fair_comparison(df: DataFrame, spec: SeriesSpec, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
+    """Model and F1 of the forests of the comparison board; no other detector is run."""
+    whole = _labelled(materialize(base_features(df, spec, layout)), spec, layout)
+    enhanced = materialize(enhanced_features(df, spec, layout))
+    tuned = tuned_forest_rows(tuning_bundle(enhanced, spec, scale=True, layout=layout), spec, layout=layout)
+    parts = [*_base_forests(whole, spec, layout), _scope(tuned, ENHANCED_FOREST, F.col("forest_flag"), True)]
+    board = detection_scorecard(reduce(DataFrame.unionByName, parts), ["detector"])
+    return board.select(F.col("detector").alias("model"), F.col("f1").alias("test_f1"))
