@@ -175,7 +175,10 @@ def quality_report(docs: DataFrame, rules: Sequence[Rule] = RULES, keep: float =
 
 
 def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, keep: float = KEEP, text: str = "text") -> DataFrame:
-    """The rows that pass the base rules and whose posterior is high enough, with their columns unchanged."""
-    rows = measured(docs, text)
-    model = estimate(counted(rows.select("_m"), rules), len(rules))
+    """The rows that pass the base rules and whose posterior is high enough, with their columns unchanged.
+
+    Rows are stored with their measures: a filter pushed below the measuring would repeat it for every use.
+    """
+    rows = stored(measured(docs, text), "measured")
+    model = estimate(counted(rows, rules), len(rules))
     return rows.where(~base_failed() & (posterior(model, rules) >= keep)).drop("_m")
