@@ -119,7 +119,6 @@ def fit_forest(
     require_columns(df, [*features, *row_key])
     complete = df.dropna(subset=list(features)).select(
         F.xxhash64(F.lit(seed), *[F.col(c) for c in row_key]).alias("_key"),
-        F.xxhash64(*[F.col(c) for c in features]).alias("_same"),
         F.array(*[F.col(c).cast("double") for c in features]).alias("_x"))
     rows = complete.count()
     if rows == 0:
@@ -155,7 +154,7 @@ def _tree_samples(complete: DataFrame, rows: int, psi: int, trees: int) -> DataF
         drawn = lambda t: F.pmod(F.xxhash64("_key", t), F.lit(span))
         near = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: drawn(t) < bound)
         dealt = complete.withColumn("_tree", F.explode(near)).withColumn("_draw", drawn(F.col("_tree")))
-        order = Window.partitionBy("_tree").orderBy("_draw", "_key", "_same")
+        order = Window.partitionBy("_tree").orderBy("_draw", "_key", "_x")
         picked = materialize(dealt.withColumn("_rank", F.row_number().over(order) - 1).where(F.col("_rank") < psi)
                              .select("_tree", "_rank", "_x"))
         if share >= 1 or picked.count() == trees * psi:

@@ -81,6 +81,15 @@ def test_forest_prefixes_and_missing_features(spark):
     assert got[0][1] == whole[0]
 
 
+def test_a_smaller_forest_is_the_start_of_a_larger_one(spark):
+    for rows in (100, 5000):
+        frame = pd.DataFrame(np.random.default_rng(3).random((rows, 2)), columns=["a", "b"]).assign(id=range(rows))
+        df = spark.createDataFrame(frame)
+        few, many = fit_forest(df, ["a", "b"], ["id"], trees=4), fit_forest(df.repartition(5), ["a", "b"], ["id"], trees=20)
+        width = few.feature.shape[1]
+        assert (few.feature == many.feature[:4, :width]).all() and (few.cut == many.cut[:4, :width]).all()
+
+
 def test_tree_samples_are_bounded_without_repeats(spark):
     for rows, trees in ((5000, 8), (700, 10), (40, 3)):
         df = spark.range(rows).select(F.xxhash64("id").alias("_key"), F.array(F.col("id").cast("double")).alias("_x"))

@@ -11,7 +11,7 @@ import __spark_entry__ as entry_point  # noqa: E402
 from check_queries import compare, connect  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-NAMES = ["s1_csv_readings", "q2_time_continuity_by_type", "q3_missing_slots_by_type", "f6_enhanced_features",
+NAMES = ["s1_csv_readings", "s1_csv_mixed_headers", "a12_rule_winner", "d5_label_distribution", "q2_time_continuity_by_type", "q3_missing_slots_by_type", "f6_enhanced_features",
          "f12_supervised_lags_by_type", "f15_around_middle_flag_by_type", "p3_sequence_split", "m6_tuning_bundle",
          "a5_density_euclidean", "a6_ensembles", "a8_best_threshold", "c1_interpolate_edges_by_type",
          "c3_compare_artefacts", "t1_seasonal_naive_by_type", "e11_segment_table", "d7_densities", "d8_boxes_by_hour"]
