@@ -48,6 +48,10 @@ class Benchmark:
     def size(self) -> int:
         return len(self.vocabulary) + 1
 
+    @property
+    def kind(self) -> type:
+        return np.uint16 if self.size <= 1 << 16 else np.uint32
+
 
 def read_benchmark(benchmark: DataFrame, item: str = "item_id", text: str = "text", least_words: int = LEAST_WORDS) -> Benchmark:
     """Distinct items of enough words. Null texts are empty. A benchmark of too many words is an error."""
@@ -72,10 +76,10 @@ def _code(vocabulary: dict[bytes, int], kind: type):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             coded = []
-            for value in batch.column(0):
+            for value in batch.column(1):
                 tokens = words(value.as_py())
                 coded.append(np.fromiter(map(vocabulary.get, tokens, repeat(0)), kind, len(tokens)).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(coded, pa.binary())], ["codes"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(coded, pa.binary())], ["doc_id", "codes"])
 
     return run
 
@@ -153,15 +157,19 @@ class Space:
     basis: np.ndarray  # word -> latent direction times idf
 
 
-def fit_space(docs: DataFrame, benchmark: Benchmark, text: str = "text", directions: int = DIRECTIONS, seed: int = 7) -> Space:
+def coded_texts(rows: DataFrame, benchmark: Benchmark) -> DataFrame:
+    """Stored doc_id and codes of whole texts over the benchmark's vocabulary."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return stored(rows.mapInArrow(_code(benchmark.vocabulary, benchmark.kind), f"doc_id {kind}, codes binary"), "codes")
+
+
+def fit_space(coded: DataFrame, benchmark: Benchmark, directions: int = DIRECTIONS, seed: int = 7) -> Space:
     """Latent space of all passages. One row for each benchmark word reaches the driver, from the whole corpus.
 
     The benchmark's own passages enter with the weight of the whole corpus, so that its rare words keep directions.
     """
-    size, kind = benchmark.size, np.uint16 if benchmark.size <= 1 << 16 else np.uint32
-    directions = min(directions, size)
-    rows = texts(docs.withColumn("_none", F.lit(0)), "_none", text).select("text")
-    coded = stored(rows.mapInArrow(_code(benchmark.vocabulary, kind), "codes binary"), "codes")
+    size, kind = benchmark.size, benchmark.kind
+    directions, coded = min(directions, size), coded.select("codes")
     counts = np.zeros(size)
     for row in coded.mapInArrow(_frequencies(size, kind), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect():
         counts[row["word"]] = row["n"]
@@ -225,7 +233,7 @@ class Searcher:
             end = np.minimum(start + scale, first[owner[start] + 1])
             z = (sums[end] - sums[start]).astype(np.float32)
             near = z @ self.latent[items].T >= self.cosine * np.linalg.norm(z, axis=1)[:, None]
-            window, column = np.nonzero(near)
+            window, column = np.divmod(np.flatnonzero(near), len(items))
             for w, k in zip(*self._worded(rows, start, end, window, np.array(items)[column], scale)):
                 self._check(coded, first, int(owner[start[w]]), int(start[w]), int(end[w]), int(k), found)
         return found
@@ -254,11 +262,15 @@ class Searcher:
 
 
 def _searched(space: Space, bounds: tuple[float, ...], column: int):
-    """(batch, items of each row) for batches whose text stands in ``column``."""
+    """(batch, items of each row) for batches whose text, or its codes, stand in ``column``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[dict[int, float]]]]:
-        searcher, get = Searcher(space, *bounds), space.benchmark.vocabulary.get
+        searcher, get, kind = Searcher(space, *bounds), space.benchmark.vocabulary.get, space.benchmark.kind
         for batch in batches:
-            coded = ((lambda t: np.fromiter(map(get, t, repeat(0)), np.int64, len(t)))(words(v.as_py() or "")) for v in batch.column(column))
+            values = batch.column(column)
+            if pa.types.is_binary(values.type):
+                coded = (np.frombuffer(v.as_buffer(), kind) for v in values)
+            else:
+                coded = ((lambda t: np.fromiter(map(get, t, repeat(0)), kind, len(t)))(words(v.as_py() or "")) for v in values)
             yield batch, [f for chunk in _chunks(coded) for f in searcher.search(chunk)]
 
     return run
@@ -277,14 +289,15 @@ def find_items(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     known = read_benchmark(benchmark)
     if not known.items:
         return rows.select("doc_id", F.array().cast("array<struct<item_id:long,share:double>>").alias("items"))
-    search = _searched(fit_space(docs, known, text), (cosine, sure, enough, answer), 1)
+    coded = coded_texts(rows, known)
+    search = _searched(fit_space(coded, known), (cosine, sure, enough, answer), 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, found in search(batches):
             items = [[{"item_id": known.items[k], "share": s} for k, s in sorted(f.items())] for f in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, kinds)], ["doc_id", "items"])
 
-    return rows.mapInArrow(run, schema)
+    return coded.mapInArrow(run, schema)
 
 
 def without_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", cosine: float = COSINE, sure: float = SURE,
@@ -293,7 +306,8 @@ def without_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", cos
     known = read_benchmark(benchmark)
     if not known.items:
         return docs
-    search = _searched(fit_space(docs, known, text), (cosine, sure, enough, answer), docs.columns.index(text))
+    coded = coded_texts(texts(docs.withColumn("_none", F.lit(0)), "_none", text), known)
+    search = _searched(fit_space(coded, known), (cosine, sure, enough, answer), docs.columns.index(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, found in search(batches):
