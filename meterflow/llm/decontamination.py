@@ -34,7 +34,7 @@ LEAST_WORDS = 8
 #: Words of a benchmark at most: items and vocabulary are sent to every task.
 MOST_WORDS = 5_000_000
 #: Words that are worked on at once.
-CHUNK = 1 << 17
+CHUNK = 1 << 15
 
 
 @dataclass
@@ -222,8 +222,8 @@ class Searcher:
         if not len(rows):
             return found
         owner = np.repeat(np.arange(len(coded)), np.diff(first))
-        sums = np.zeros((len(rows) + 1, self.latent.shape[1]))
-        np.cumsum(self.space.basis[rows].sum(axis=1), axis=0, out=sums[1:])
+        sums = np.zeros((len(rows) + 1, self.latent.shape[1]), np.float32)  # of one chunk, so single precision will do
+        np.cumsum(np.einsum("ijk->ik", np.take(self.space.basis, rows, axis=0)), axis=0, out=sums[1:])
         held = np.concatenate([[0], np.cumsum(np.count_nonzero(rows, axis=1))])
         for scale, items in self.scales.items():
             start = np.arange(len(rows))
@@ -231,8 +231,8 @@ class Searcher:
             # fewer benchmark words than the shortest item needs cannot hold one
             start = start[held[end] - held[start] >= self.enough * min(len(self.space.benchmark.codes[k]) for k in items)]
             end = np.minimum(start + scale, first[owner[start] + 1])
-            z = (sums[end] - sums[start]).astype(np.float32)
-            near = z @ self.latent[items].T >= self.cosine * np.linalg.norm(z, axis=1)[:, None]
+            z = np.take(sums, end, axis=0) - np.take(sums, start, axis=0)
+            near = z @ self.latent[items].T >= self.cosine * np.sqrt(np.einsum("ij,ij->i", z, z))[:, None]
             window, column = np.divmod(np.flatnonzero(near), len(items))
             for w, k in zip(*self._worded(rows, start, end, window, np.array(items)[column], scale)):
                 self._check(coded, first, int(owner[start[w]]), int(start[w]), int(end[w]), int(k), found)
