@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ WIDTH = 5
 NUMERATOR, DENOMINATOR = 80, 100
 #: Shingles that the ordering table holds at most (the most frequent ones; the order affects speed only).
 ORDERED = 1 << 16
+#: Cells of an outline: the upper nine bits of a code.
+CELLS = 512
 _TABLE = bytes((b + 32 if 65 <= b <= 90 else b) for b in range(256))
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
@@ -66,6 +69,26 @@ def prefix_length(n: int) -> int:
     return n - -(-NUMERATOR * n // DENOMINATOR) + 1
 
 
+def outline(codes: np.ndarray) -> bytes:
+    """How many codes fall into each of ``CELLS`` equal parts of their range, 255 meaning that many or more."""
+    return np.minimum(np.bincount((codes >> np.uint64(55)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8).tobytes()
+
+
+def may_link(a: bytes, b: bytes, size_a: int, size_b: int) -> bool:
+    """Two sets have at most the smaller count of each cell in common; a full cell tells nothing."""
+    x, y = np.frombuffer(a, np.uint8).astype(np.int64), np.frombuffer(b, np.uint8).astype(np.int64)
+    if x.max() == 255 or y.max() == 255:
+        return True
+    return DENOMINATOR * (common := int(np.minimum(x, y).sum())) >= NUMERATOR * (size_a + size_b - common)
+
+
+def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = zip(batch.column(2), batch.column(3), batch.column(4).to_pylist(), batch.column(5).to_pylist())
+        kept = batch.filter(pa.array([may_link(a.as_py(), b.as_py(), m, n) for a, b, m, n in rows], pa.bool_()))
+        yield kept.select(["a", "b"])
+
+
 def _sets(seed: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
@@ -79,15 +102,15 @@ def _sets(seed: int, width: int):
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(2), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([np.uint64(xxhash.xxh3_64_intdigest(r, seed)).view(np.int64) if r else None for r in raw], pa.int64()),
-                pa.array([xxhash.xxh3_128_digest(r, seed) if r else None for r in raw], pa.binary()), pa.array(raw, pa.binary()),
+                pa.array([xxhash.xxh3_128_digest(r, seed) if r else None for r in raw], pa.binary()), pa.array([outline(s) for s in sets], pa.binary()),
                 pa.array(counts, pa.list_(pa.struct([("token", pa.int64()), ("n", pa.int64())])))],
-                ["doc_id", "row", "n_shingles", "key", "digest", "grams", "often"])
+                ["doc_id", "row", "n_shingles", "key", "digest", "outline", "often"])
 
     return run
 
 
-def shingle_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
-    """Stored sets: doc_id, a hash of the text, n_shingles, key of the set (null if empty), its codes, frequent codes of a batch.
+def shingle_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> tuple[DataFrame, int]:
+    """Stored: doc_id, a hash of the text, n_shingles, key of the set (null if empty), frequent codes of a batch; and the seed.
 
     Keys of 64 bits are checked against digests of 128 bits; if two different sets share a key, all keys are made
     anew from another seed.
@@ -95,11 +118,11 @@ def shingle_sets(docs: DataFrame, key: str = "doc_id", text: str = "text", width
     rows = texts(docs, key, text).withColumn("row", F.xxhash64("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     for seed in range(5):
-        sets = stored(rows.mapInArrow(_sets(seed, width), f"doc_id {kind}, row long, n_shingles long, key long, digest binary, grams binary, "
+        sets = stored(rows.mapInArrow(_sets(seed, width), f"doc_id {kind}, row long, n_shingles long, key long, digest binary, outline binary, "
                                                          "often array<struct<token:long,n:long>>"), "sets")
         shared = sets.where("key is not null").groupBy("key").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b")
         if shared.isEmpty():
-            return sets
+            return sets, seed
     raise RuntimeError("keys of different sets coincide under every seed")
 
 
@@ -113,20 +136,28 @@ def frequent(sets: DataFrame, most: int = ORDERED) -> tuple[np.ndarray, np.ndarr
     return tokens[order], n[order]
 
 
-def _prefixes(tokens: np.ndarray, counts: np.ndarray):
+def _distinct_sets(batches: Iterator[pa.RecordBatch], seed: int, width: int) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """Keys and codes of the sets of each batch that hold something, equal ones of a batch once."""
+    hashes = _Hashes()
+    for batch in batches:
+        found = {}
+        for value in batch.column(0):
+            codes = shingle_set(value.as_py(), hashes, width)
+            if len(codes):
+                found.setdefault(np.uint64(xxhash.xxh3_64_intdigest(codes.tobytes(), seed)).view(np.int64).item(), codes)
+        yield list(found.items())
+
+
+def _prefixes(tokens: np.ndarray, counts: np.ndarray, seed: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen, parts, keys, sizes, positions = set(), [], [], [], []
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if key in seen:
-                    continue
-                seen.add(key)
-                codes = np.frombuffer(value.as_py(), np.uint64)
+        for sets in _distinct_sets(batches, seed, width):
+            parts, keys, sizes, positions = [], [], [], []
+            for key, codes in sets:
                 p = prefix_length(len(codes))
                 if len(tokens):
                     at = np.minimum(np.searchsorted(tokens, codes), len(tokens) - 1)
                     rank = np.where(tokens[at] == codes, counts[at], 0)
-                    codes = codes[np.argsort(rank, kind="stable")]
+                    codes = codes[np.argsort(rank, kind="stable")] if rank.any() else codes
                 parts.append(codes[:p])
                 keys.append(np.full(p, key, np.int64))
                 sizes.append(np.full(p, len(codes), np.int32))
@@ -139,6 +170,15 @@ def _prefixes(tokens: np.ndarray, counts: np.ndarray):
     return run
 
 
+def _codes(seed: int, width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for sets in _distinct_sets(batches, seed, width):
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in sets], pa.int64()), pa.array([c.tobytes() for _, c in sets], pa.binary())],
+                                             ["key", "grams"])
+
+    return run
+
+
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = []
@@ -150,23 +190,52 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           *(pa.array(s, pa.int64()) for s in sizes)], ["a", "b", "common", "size_a", "size_b"])
 
 
-#: Keys that are sent to every task at most (8 bytes each); more are joined by a shuffle.
-SENT_KEYS = 2_000_000
+#: Rows of two or three numbers that are sent to every task at most; more are joined by a shuffle.
+SENT_KEYS = 1_000_000
+
+
+def _sent(rows: DataFrame) -> DataFrame:
+    """A stored table, marked to be sent to every task if it is small enough to be; else joins shuffle."""
+    return F.broadcast(rows) if rows.count() <= SENT_KEYS else rows
+
 
+@dataclass
+class Shingled:
+    """A table, its stored sets, and how they were made."""
 
-def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Exact overlaps of stored pairs (a, b) of keys: common, size_a, size_b."""
-    needed = stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "needed")
-    if needed.count() <= SENT_KEYS:
-        needed = F.broadcast(needed)
-    codes = stored(sets.select("key", "grams").join(needed, "key", "left_semi").dropDuplicates(["key"]), "codes")
-    left, right = (codes.select(F.col("key").alias(c), F.col("grams").alias(f"g{c}")) for c in "ab")
-    return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ga", "gb").mapInArrow(
-        _overlaps, "a long, b long, common long, size_a long, size_b long")
+    texts: DataFrame  # id (of doc_id and row), text
+    sets: DataFrame
+    seed: int
+    width: int
 
+    def compared(self, pairs: DataFrame) -> DataFrame:
+        """Exact overlaps of those pairs (a, b) of keys that may link: common, size_a, size_b.
 
-LINKED = DENOMINATOR * F.col("common") >= NUMERATOR * (F.col("size_a") + F.col("size_b") - F.col("common"))
-DISTANCE = 1 - F.col("common") / (F.col("size_a") + F.col("size_b") - F.col("common"))
+        Pairs whose outlines rule a link out are left out. Sets are made again from one text of each key that remains.
+        """
+        keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        outlines = stored(self.sets.join(_sent(stored(keys, "keys")), "key").groupBy("key").agg(
+            F.first("outline").alias("o"), F.first("n_shingles").alias("n")), "outlines")
+        first, second = (outlines.select(F.col("key").alias(c), F.col("o").alias(f"o{c}"), F.col("n").alias(f"n{c}")) for c in "ab")
+        likely = pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "oa", "ob", "na", "nb")
+        pairs = stored(likely.mapInArrow(_likely, "a long, b long"), "likely")
+        needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        first = F.min(F.struct("doc_id", "row")).alias("id")
+        rows = stored(self.sets.join(needed, "key").groupBy("key").agg(first).select("id"), "needed")
+        codes = stored(self.texts.join(_sent(rows), "id", "left_semi").select("text").mapInArrow(_codes(self.seed, self.width), "key long, grams binary"), "codes")
+        if codes.count() > codes.select("key").distinct().count():  # rows that repeat both id and text
+            codes = codes.dropDuplicates(["key"])
+        left, right = (codes.select(F.col("key").alias(c), F.col("grams").alias(f"g{c}")) for c in "ab")
+        return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ga", "gb").mapInArrow(
+            _overlaps, "a long, b long, common long, size_a long, size_b long")
+
+
+def _union() -> Column:
+    return F.col("size_a") + F.col("size_b") - F.col("common")
+
+
+def _linked() -> Column:
+    return DENOMINATOR * F.col("common") >= NUMERATOR * _union()
 
 
 def _room(size_a: str, pos_a: str, size_b: str, pos_b: str) -> Column:
@@ -189,31 +258,39 @@ def _candidates(shared: DataFrame) -> DataFrame:
     return best.where(room >= _needed("size_a", "size_b")).select("a", "b")
 
 
-def set_roots(sets: DataFrame) -> DataFrame:
+def shingled(docs: DataFrame, key: str, text: str, width: int) -> Shingled:
+    sets, seed = shingle_sets(docs, key, text, width)
+    return Shingled(texts(docs, key, text).select(F.struct("doc_id", F.xxhash64("text").alias("row")).alias("id"), "text"), sets, seed, width)
+
+
+def set_roots(made: Shingled) -> DataFrame:
     """Stored rows key, root: one for each distinct set; sets of one connected component share a root."""
+    sets = made.sets
     tokens, counts = frequent(sets)
     # the bucket keeps sizes apart that cannot link with the smallest set of a list
     bucket = F.floor(F.log(F.col("size").cast("double")) / math.log(1.0001 * DENOMINATOR / NUMERATOR)).cast("int")
-    index = sets.where("key is not null").select("key", "grams").mapInArrow(_prefixes(tokens, counts), "token long, key long, size int, pos int")
+    index = made.texts.select("text").mapInArrow(_prefixes(tokens, counts, made.seed, made.width), "token long, key long, size int, pos int")
     index = index.withColumn("bucket", bucket)
     often = index.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
     lists = stored(index.join(often, "token").distinct(), "lists")
     first = lists.groupBy("token", "bucket").agg(F.min(F.struct("size", "key", "pos")).alias("p"))
     lists = stored(lists.join(first, ["token", "bucket"]), "pivoted")
 
-    # first round: every set against the pivots of its lists
+    # first round: every set against those pivots of its lists that may link with it, judged by the lists they lead;
+    # pairs that this passes over are left open, so nothing is lost
     star = lists.where((F.col("key") != F.col("p.key")) & (_room("p.size", "p.pos", "size", "pos") >= _needed("p.size", "size")))
-    star = star.select(F.col("p.key").alias("a"), F.col("key").alias("b")).distinct()
-    known = stored(compared(stored(star, "star-pairs"), sets), "star-overlaps")
-    links = known.where(LINKED).select("a", "b")
+    star = star.select(F.col("p.key").alias("a"), F.col("key").alias("b"), F.col("p.size").alias("size_a"), F.col("size").alias("size_b"),
+                       F.col("p.pos").alias("pos_a"), F.col("pos").alias("pos_b"))
+    known = stored(made.compared(stored(_candidates(star), "star-pairs")), "star-overlaps")
+    links = known.where(_linked()).select("a", "b")
     groups = stored(components(links), "groups")
 
     # second round: what the pivots do not answer
-    group = groups.select(F.col("node").alias("key"), F.col("root"))
-    followed = known.select(F.col("a").alias("pivot"), F.col("b").alias("key"), DISTANCE.alias("far"))
+    group = _sent(groups.select(F.col("node").alias("key"), F.col("root")))
+    followed = _sent(known.select(F.col("a").alias("pivot"), F.col("b").alias("key"), (1 - F.col("common") / _union()).alias("far")))
     members = (lists.select("token", "bucket", "key", "size", "pos", F.col("p.key").alias("pivot"))
                .join(group, "key", "left").withColumn("root", F.coalesce("root", "key"))
-               .join(group.withColumnsRenamed({"key": "pivot", "root": "pivot_root"}), "pivot", "left")
+               .join(_sent(groups.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))), "pivot", "left")
                .withColumn("pivot_root", F.coalesce("pivot_root", "pivot"))
                .join(followed, ["pivot", "key"], "left")
                .withColumn("far", F.when(F.col("key") == F.col("pivot"), 0.0).otherwise(F.col("far"))))
@@ -232,7 +309,7 @@ def set_roots(sets: DataFrame) -> DataFrame:
                            F.when(F.col("x.key") < F.col("y.key"), F.col("y.size")).otherwise(F.col("x.size")).alias("size_b"),
                            F.when(F.col("x.key") < F.col("y.key"), F.col("x.pos")).otherwise(F.col("y.pos")).alias("pos_a"),
                            F.when(F.col("x.key") < F.col("y.key"), F.col("y.pos")).otherwise(F.col("x.pos")).alias("pos_b"))
-    more = compared(stored(_candidates(shared), "open-pairs"), sets).where(LINKED).select("a", "b")
+    more = made.compared(stored(_candidates(shared), "open-pairs")).where(_linked()).select("a", "b")
     groups = components(stored(links.union(more), "links"))
 
     classes = sets.select("key").where("key is not null").distinct()
@@ -246,8 +323,8 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     A null doc_id takes part in links but names no group unless all its ids are null. Repeated rows are of
     one group. An empty table gives an empty result.
     """
-    sets = shingle_sets(docs, key, text, width)
-    roots = set_roots(sets)
+    made = shingled(docs, key, text, width)
+    sets, roots = made.sets, set_roots(made)
     least = sets.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"))
     named = least.join(roots, "key")
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -261,9 +338,9 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
 
     Rows without words are groups of their own and all stay.
     """
-    sets = shingle_sets(docs, key, text, width)
+    made = shingled(docs, key, text, width)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first")
-    keepers = sets.select("doc_id", "row", "key").where("key is not null").join(set_roots(sets), "key").groupBy("root").agg(first)
+    keepers = made.sets.select("doc_id", "row", "key").where("key is not null").join(set_roots(made), "key").groupBy("root").agg(first)
     keepers = stored(keepers.select(F.struct(F.col("first.doc_id").alias("i"), F.col("first.row").alias("r")).alias("_kept")), "keepers")
     whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     worded = whole.rlike(f"[^{SPACES}]")
