@@ -1,8 +1,10 @@
 """Secret scan: patterns, and character Markov models of random strings and of ordinary identifiers.
 
-The patterns label the training samples: what they find is random, every other run of identifier
-characters is ordinary. Character pairs of both are counted over all documents (one bounded table of
-counts), and a run is a secret where the log-likelihood ratio of the two models exceeds a bound.
+Both models start from fixed samples made once in code: random strings of the usual alphabets, and identifiers.
+The corpus adds its own pairs (one bounded table of counts over all documents): what the patterns find is random,
+every other run of identifier characters is ordinary unless the fixed models alone take it for random. In no row of
+pairs does the corpus outweigh the fixed samples, so neither many keys of one alphabet nor many random strings
+without a keyword hide others. A run is a secret where the log-likelihood ratio exceeds a bound.
 """
 
 from __future__ import annotations
@@ -30,6 +32,32 @@ RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 BOUND = 12.0
 #: Weight of the single-character model in each row of pairs; high, so that a rare run does not vouch for itself.
 SMOOTHING = 200.0
+#: Fixed random samples: alphabets, and how many strings of each. Lengths go from 16 to 64.
+_UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+ALPHABETS = {_UPPER + _LOWER + _DIGITS: 3000, _UPPER + _LOWER + _DIGITS + "+/": 1000, _UPPER + _LOWER + _DIGITS + "-_": 500,
+             _LOWER + _DIGITS: 1000, _UPPER + _DIGITS: 1000, _DIGITS + "abcdef": 500, _DIGITS + "ABCDEF": 500}
+#: Words of the fixed identifiers.
+WORDS = ("access account action active address admin after agent alert amount answer archive array async attribute audio author backup balance bar "
+         "base batch before begin block board body border branch bucket buffer build button byte cache call cancel card center change channel "
+         "check child city class clean client clock close cluster code color column command common company config connect const contact content "
+         "context control copy core count country create current custom customer data date day debug default delete delivery depth detail device "
+         "dialog digest direct document domain double download draft driver edit element email empty enable end engine entry environment error event "
+         "example exception execute export factory field file filter final first flag folder font format forward frame from function gateway get "
+         "global graph group handle handler hash header health height help history host hour html http image import index info input insert "
+         "instance int internal invoice is item job join json key kind label language last layout left length level library license light limit "
+         "line link list load local lock log long loop machine main manager map mask matrix max measure media memory menu message meta method "
+         "metric min minute mobile mode model module month mouse name native network new next node none note null number object offset on open "
+         "operation option order output owner package page panel param parent parse part patch path payment period phone pixel player plugin point "
+         "policy pool port position post power press previous price print private process product profile project proxy public query queue quick "
+         "random range raw read record region register release remote remove render report request reset resource response rest result return right "
+         "role root route row rule run sample save scale schedule schema scope screen search second section select send sequence server service "
+         "session set setting shape share short show sign simple size sort source space split stack staging start state static status step stop "
+         "storage store stream string style submit sum support switch sync system table target task team temp template test text theme thread time "
+         "title to token tool total trace track transfer tree trigger type union unit update upload url user util valid value vector version "
+         "video view visit wait warning watch web week weight width window with word worker write year zone "
+         "anzahl arbeit bericht bezeichnung daten einheit ergebnis fehler gesellschaft kunden nachricht rechnung schaltung verbindung verwaltung "
+         "zeichen zeitpunkt adresse bonjour compte demande donnee facture fichier gestion langue niveau numero personne recherche utilisateur "
+         "archivo cantidad ciudad cliente direccion empresa fecha nombre pedido usuario").split()
 _CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 _CODE = np.zeros(128, np.int64)
 _CODE[[ord(c) for c in _CHARS]] = np.arange(1, len(_CHARS) + 1)
@@ -78,51 +106,87 @@ def pair_codes(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return before * SIZE + codes, starts
 
 
-def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros((2, SIZE * SIZE), np.int64)
-    for batch in batches:
-        samples: tuple[list, list] = ([], [])
-        for value in batch.column(0):
-            text = value.as_py()
-            base = base_spans(text)
-            samples[1].extend(text[s[3]:s[4]] for s in base)
-            samples[0].extend(text[a:z] for a, z in other_runs(text, base))
-        for label, strings in enumerate(samples):
-            if strings:
-                counts[label] += np.bincount(pair_codes(strings)[0], minlength=SIZE * SIZE)
-    label, pair = np.nonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(pair, pa.int32()), pa.array(counts[label, pair], pa.int64())],
-                                     ["label", "pair", "n"])
+def fixed_samples() -> tuple[list[str], list[str]]:
+    """Labelled samples that do not depend on any corpus: identifiers, random strings."""
+    rng = np.random.default_rng(11)
+    random = ["".join(rng.choice(list(alphabet), rng.integers(16, 65))) for alphabet, n in ALPHABETS.items() for _ in range(n)]
+    ordinary = []
+    for i in range(6000):
+        parts = [str(w) for w in rng.choice(WORDS, rng.integers(3, 7))]
+        number = "".join(rng.choice(list(_DIGITS), rng.integers(1, 5)))
+        style = i % 12
+        joined = ["_".join(parts), "-".join(parts), "/" + "/".join(parts), "".join(parts), "_".join(parts).upper(),
+                  parts[0] + "".join(p.capitalize() for p in parts[1:]), "".join(p.capitalize() for p in parts), "=".join(parts[:2]) + "_" + parts[2],
+                  "/".join(parts[:2]) + "/" + "-".join(p.capitalize() for p in parts[2:]), "-".join(parts[:2]) + "-" + number, "_".join(parts) + number,
+                  "".join(rng.choice(list(_DIGITS), 18)) if i % 2 else f"20{i % 60:02d}-{i % 12 + 1:02d}-{i % 28 + 1:02d}_{parts[0]}_{number}"][style]
+        ordinary.append(joined)
+    ordinary += [rule for c in "=-_+/" for rule in [c * 64] * 20] + [("+" + "-" * n) * 3 for n in range(5, 25)]
+    return ordinary, random
+
+
+def _counts(strings: list[str]) -> np.ndarray:
+    return np.bincount(pair_codes(strings)[0], minlength=SIZE * SIZE)
+
+
+def log_ratios(counts: np.ndarray) -> np.ndarray:
+    """Log-likelihood ratio of every pair, random against ordinary. Pairs are smoothed towards single characters, those towards equal shares."""
+    counts = counts.reshape(2, SIZE, SIZE).astype(float)
+    single = counts.sum(axis=1, keepdims=True) + 1
+    counts += SMOOTHING * single / single.sum(axis=2, keepdims=True)
+    model = np.log(counts / counts.sum(axis=2, keepdims=True))
+    return (model[1] - model[0]).ravel()
+
+
+def scored_runs(text: str, base: list[tuple], ratios: np.ndarray, bound: float) -> list[tuple[int, int, bool]]:
+    """(start, end, whether it is a secret) of all runs beside the base spans."""
+    runs = other_runs(text, base)
+    if not runs:
+        return []
+    pairs, starts = pair_codes([text[a:z] for a, z in runs])
+    return [(a, z, s >= bound) for (a, z), s in zip(runs, np.add.reduceat(ratios[pairs], starts).tolist())]
+
+
+def _train(ratios: np.ndarray):
+    """Pairs of both labels; ``ratios`` of the fixed samples keep random strings out of the ordinary ones."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, SIZE * SIZE), np.int64)
+        for batch in batches:
+            samples: tuple[list, list] = ([], [])
+            for value in batch.column(0):
+                text = value.as_py()
+                base = base_spans(text)
+                samples[1].extend(text[s[3]:s[4]] for s in base)
+                samples[0].extend(text[a:z] for a, z, secret in scored_runs(text, base, ratios, BOUND) if not secret)
+            for label, strings in enumerate(samples):
+                if strings:
+                    counts[label] += _counts(strings)
+        label, pair = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(pair, pa.int32()), pa.array(counts[label, pair], pa.int64())],
+                                         ["label", "pair", "n"])
+
+    return run
 
 
 def train(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Log-likelihood ratio of every character pair, random against ordinary, from all documents.
+    """Log-likelihood ratio of every character pair, random against ordinary, from the fixed samples and all documents.
 
-    At most two counts for each of 69 x 69 pairs reach the driver. Pairs are smoothed towards single
-    characters and those towards equal shares, so an empty table gives a model, too.
+    At most two counts for each of 69 x 69 pairs reach the driver. An empty table gives the model of the fixed samples.
     """
     rows = texts(docs.withColumn("_none", F.lit(0)), "_none", text).select("text")
-    counted = rows.mapInArrow(_train, "label int, pair int, n long").groupBy("label", "pair").agg(F.sum("n").alias("n")).collect()
+    fixed = np.stack([_counts(s) for s in fixed_samples()]).reshape(2, SIZE, SIZE).astype(float)
+    counted = rows.mapInArrow(_train(log_ratios(fixed)), "label int, pair int, n long").groupBy("label", "pair").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros((2, SIZE, SIZE))
     for row in counted:
         counts[row["label"], row["pair"] // SIZE, row["pair"] % SIZE] += row["n"]
-    single = counts.sum(axis=1, keepdims=True) + 1
-    counts += SMOOTHING * single / single.sum(axis=2, keepdims=True)
-    model = np.log(counts / counts.sum(axis=2, keepdims=True))
-    return (model[1] - model[0]).ravel()
+    counts *= np.minimum(1, fixed.sum(axis=2, keepdims=True) / np.maximum(counts.sum(axis=2, keepdims=True), 1))
+    return log_ratios(fixed + counts)
 
 
 def find(text: str, ratios: np.ndarray, bound: float = BOUND) -> list[tuple[int, int, str]]:
     """All spans of one text: base kinds and runs above the bound."""
     base = base_spans(text)
-    runs = other_runs(text, base)
-    spans = [(a, z, kind) for a, z, kind, *_ in base]
-    if runs:
-        pairs, starts = pair_codes([text[a:z] for a, z in runs])
-        scores = np.add.reduceat(ratios[pairs], starts)
-        spans += [(a, z, "random") for (a, z), s in zip(runs, scores) if s >= bound]
-        spans.sort(key=lambda s: (s[0], KINDS.index(s[2])))
-    return spans
+    spans = [(a, z, kind) for a, z, kind, *_ in base] + [(a, z, "random") for a, z, secret in scored_runs(text, base, ratios, bound) if secret]
+    return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
 def redact(text: str, spans: list[tuple[int, int, str]], mask: str = "[secret]") -> str:

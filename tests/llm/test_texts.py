@@ -99,6 +99,22 @@ def test_random_strings_are_told_from_identifiers(make):
     assert sum(got[1300 + i].startswith("random:2:") for i in range(20)) >= 19
 
 
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def test_random_strings_are_found_where_patterns_only_hit_hex(make):
+    rng = np.random.default_rng(17)
+    some = lambda letters, n: "".join(rng.choice(list(letters), n))
+    words = ["reading", "station", "handle", "their", "operation", "meter", "value"]
+    plain = ["_".join(rng.choice(words, 4)) for _ in range(100)] + ["".join(w.capitalize() for w in rng.choice(words, 4)) for _ in range(100)]
+    random = [some(LETTERS, n) for n in (20, 32, 40) for _ in range(100)]
+    rows = [(i, f'x token = "{some("0123456789abcdef", 40)}" y') for i in range(300)]
+    rows += [(1000 + i, f"x {s} y") for i, s in enumerate(plain)] + [(2000 + i, f"x {s} y") for i, s in enumerate(random)]
+    got = {r.doc_id: r.spans for r in secrets.secret_report(secrets.scan_secrets(make(rows))).collect()}
+    assert all(got[1000 + i] == "" for i in range(len(plain)))
+    assert sum(got[2000 + i] == f"random:2:{2 + len(s)}" for i, s in enumerate(random)) >= 0.97 * len(random)
+
+
 def test_masking_replaces_spans_only(make):
     rows = [(1, f"a {KEY} b"), (2, None), (3, "clean"), (3, "clean"), (4, "")]
     got = secrets.mask_secrets(make(rows), length="n_chars")
