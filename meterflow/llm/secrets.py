@@ -4,7 +4,8 @@ Both models start from fixed samples made once in code: random strings of the us
 The corpus adds its own pairs (one bounded table of counts over all documents): what the patterns find is random,
 every other run of identifier characters is ordinary unless the fixed models alone take it for random. In no row of
 pairs does the corpus outweigh the fixed samples, so neither many keys of one alphabet nor many random strings
-without a keyword hide others. A run is a secret where the log-likelihood ratio exceeds a bound.
+without a keyword hide others. Runs are cut at what the patterns find, and a stretch of a run is a secret where its
+log-likelihood ratio exceeds a bound.
 """
 
 from __future__ import annotations
@@ -26,9 +27,10 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 _NAMES = ("passw", "secret", "token", "api")
-#: A run of identifier characters; shorter ones hold too little to tell.
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-#: Log-likelihood ratio from which a run is a secret.
+#: A run of identifier characters; shorter ones, and shorter stretches of one, hold too little to tell.
+LEAST = 16
+RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
+#: Log-likelihood ratio from which a stretch of a run is a secret; a drop as deep ends a stretch.
 BOUND = 12.0
 #: Weight of the single-character model in each row of pairs; high, so that a rare run does not vouch for itself.
 SMOOTHING = 200.0
@@ -77,7 +79,7 @@ def base_spans(text: str) -> list[tuple[int, int, str, int, int]]:
 
 
 def other_runs(text: str, base: list[tuple]) -> list[tuple[int, int]]:
-    """Runs that no base span touches."""
+    """Runs without what the base spans cover; a run that is cut leaves its other parts, however short."""
     runs = [m.span() for m in RUN.finditer(text)]
     if not base or not runs:
         return runs
@@ -91,11 +93,31 @@ def other_runs(text: str, base: list[tuple]) -> list[tuple[int, int]]:
     for a, z in runs:
         while i < len(merged) and merged[i][1] <= a:
             i += 1
-        if i == len(merged) or merged[i][0] >= z:
+        k = i
+        while k < len(merged) and merged[k][0] < z:
+            if merged[k][0] > a:
+                kept.append((a, merged[k][0]))
+            a = merged[k][1]
+            k += 1
+        if a < z:
             kept.append((a, z))
     return kept
 
 
+def stretches(scores: list[float], bound: float) -> list[tuple[int, int]]:
+    """Stretches whose sum reaches the bound, each of them best from where it starts until the sum is used up or has dropped by the bound."""
+    found, total, best, start, end = [], 0.0, 0.0, 0, 0
+    for i, score in enumerate(scores):
+        total += score
+        if total > best:
+            best, end = total, i + 1
+        if total <= 0 or total <= best - bound:
+            if best >= bound:
+                found.append((start, end))
+            total, best, start = 0.0, 0.0, i + 1
+    return [*found, (start, end)] if best >= bound else found
+
+
 def pair_codes(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Codes of (previous, current) character of every string, and where each string starts."""
     lengths = np.array([len(s) for s in strings], np.int64)
@@ -138,12 +160,35 @@ def log_ratios(counts: np.ndarray) -> np.ndarray:
 
 
 def scored_runs(text: str, base: list[tuple], ratios: np.ndarray, bound: float) -> list[tuple[int, int, bool]]:
-    """(start, end, whether it is a secret) of all runs beside the base spans."""
+    """(start, end, whether it is a secret) of all parts of runs beside the base spans, in order.
+
+    A secret stretch is taken up to the ends of the letters and digits it lies in, so that no rest of a key stays.
+    """
     runs = other_runs(text, base)
     if not runs:
         return []
     pairs, starts = pair_codes([text[a:z] for a, z in runs])
-    return [(a, z, s >= bound) for (a, z), s in zip(runs, np.add.reduceat(ratios[pairs], starts).tolist())]
+    scores = ratios[pairs]
+    most = np.add.reduceat(np.maximum(scores, 0), starts)  # no stretch has more
+    found = []
+    for (a, z), start, high in zip(runs, starts.tolist(), most.tolist()):
+        at = a
+        for i, k in stretches(scores[start:start + z - a].tolist(), bound) if high >= bound else ():
+            i, k = a + i, a + k
+            while i > at and text[i - 1].isalnum():
+                i -= 1
+            while k < z and text[k - 1].isalnum() and text[k].isalnum():
+                k += 1
+            i = max(i, at)
+            if k - i < LEAST:
+                continue
+            if i > at:
+                found.append((at, i, False))
+            found.append((i, k, True))
+            at = k
+        if at < z:
+            found.append((at, z, False))
+    return found
 
 
 def _train(ratios: np.ndarray):
@@ -183,7 +228,7 @@ def train(docs: DataFrame, text: str = "text") -> np.ndarray:
 
 
 def find(text: str, ratios: np.ndarray, bound: float = BOUND) -> list[tuple[int, int, str]]:
-    """All spans of one text: base kinds and runs above the bound."""
+    """All spans of one text: base kinds and stretches above the bound."""
     base = base_spans(text)
     spans = [(a, z, kind) for a, z, kind, *_ in base] + [(a, z, "random") for a, z, secret in scored_runs(text, base, ratios, bound) if secret]
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
