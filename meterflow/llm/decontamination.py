@@ -4,8 +4,9 @@ Texts are coded over the benchmark's own vocabulary (other words have no part in
 SVD of the TF-IDF matrix of all passages of the corpus and of the benchmark spans a latent space: with a
 random matrix O, every task adds its part of ``A'(A O)``, and the sum is made orthonormal. All directions
 are kept, so no further rotation is needed; it would not change a cosine. Each text is searched at every
-eighth word in windows that just hold an item, and pairs of window and item with a high cosine are checked
-by words in common and by their longest common subsequence. Between sure and doubtful shares the item's
+eighth word in windows that just hold an item, and pairs of window and item with a high cosine, or with enough
+of the item's rarer word pairs whatever the cosine, are checked by words in common and by their longest common
+subsequence. So a copy is checked however many items there are. Between sure and doubtful shares the item's
 answer (its last sentence) must be there, too.
 """
 
@@ -26,7 +27,10 @@ from meterflow.llm.licences import words
 
 STEP = 8  # words of a block
 PASSAGE = 4  # blocks of a passage of the matrix
-DIRECTIONS = 48
+#: Directions up to so many items; beyond, they grow with the square root of the items.
+DIRECTIONS, ITEMS = 48, 200
+#: Part of an item's word pairs, rarest first, that are looked up, and share of them that a window needs.
+RARER, PAIRS = 0.5, 0.2
 #: Cosine of candidates; shares of an item's words: sure, enough with the answer, and of the answer itself.
 COSINE, SURE, ENOUGH, ANSWER = 0.5, 0.8, 0.6, 0.8
 #: Items with fewer words say too little and are not searched for.
@@ -155,6 +159,7 @@ def _sketch(weighted: np.ndarray, idf: np.ndarray, kind: type):
 class Space:
     benchmark: Benchmark
     basis: np.ndarray  # word -> latent direction times idf
+    idf: np.ndarray
 
 
 def coded_texts(rows: DataFrame, benchmark: Benchmark) -> DataFrame:
@@ -163,12 +168,13 @@ def coded_texts(rows: DataFrame, benchmark: Benchmark) -> DataFrame:
     return stored(rows.mapInArrow(_code(benchmark.vocabulary, benchmark.kind), f"doc_id {kind}, codes binary"), "codes")
 
 
-def fit_space(coded: DataFrame, benchmark: Benchmark, directions: int = DIRECTIONS, seed: int = 7) -> Space:
+def fit_space(coded: DataFrame, benchmark: Benchmark, directions: int | None = None, seed: int = 7) -> Space:
     """Latent space of all passages. One row for each benchmark word reaches the driver, from the whole corpus.
 
     The benchmark's own passages enter with the weight of the whole corpus, so that its rare words keep directions.
     """
     size, kind = benchmark.size, benchmark.kind
+    directions = directions or int(DIRECTIONS * max(1.0, len(benchmark.items) / ITEMS) ** 0.5)
     directions, coded = min(directions, size), coded.select("codes")
     counts = np.zeros(size)
     for row in coded.mapInArrow(_frequencies(size, kind), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect():
@@ -186,7 +192,7 @@ def fit_space(coded: DataFrame, benchmark: Benchmark, directions: int = DIRECTIO
         own += products(codes[None, :], weighted, idf)
     total += own * (np.linalg.norm(total) / max(np.linalg.norm(own), 1e-12) if total.any() else 1.0)
     basis = np.linalg.qr(total)[0].astype(np.float32)
-    return Space(benchmark, basis * idf[:, None])
+    return Space(benchmark, basis * idf[:, None], idf)
 
 
 def common_subsequence(x: np.ndarray, y: np.ndarray) -> int:
@@ -214,6 +220,59 @@ class Searcher:
         self.known = np.zeros((len(b.codes), b.size), bool)
         for k, codes in enumerate(b.codes):
             self.known[k, codes] = True
+        self._post_pairs()
+
+    def _post_pairs(self) -> None:
+        """For each item its rarer word pairs, as a sorted index from pair to items with a bit table in front."""
+        b, idf = self.space.benchmark, self.space.idf
+        pairs = [np.unique(c[:-1] * b.size + c[1:]) for c in b.codes]
+        keys, at, n = np.unique(np.concatenate(pairs), return_inverse=True, return_counts=True)
+        rare = idf[keys // b.size] + idf[keys % b.size] - np.log(n)
+        posted, start = [], 0
+        for k, own in enumerate(pairs):
+            own = at[start:start + len(own)]
+            start += len(own)
+            posted.append(own[np.argsort(-rare[own], kind="stable")][:-int(-len(own) * RARER // 1)])
+        item = np.repeat(np.arange(len(posted)), [len(p) for p in posted])
+        flat = np.concatenate(posted)
+        order = np.argsort(flat, kind="stable")
+        used, self.pair_first = np.unique(flat[order], return_index=True)
+        self.pair_keys, self.pair_items = keys[used], item[order]
+        self.pair_first = np.append(self.pair_first, len(flat))
+        self.pair_need = np.array([max(1, int(np.ceil(PAIRS * len(p)))) for p in posted])
+        self.scale = np.array([-(-len(c) // STEP) + 1 for c in b.codes])
+        self.shift = np.uint64(64 - max(16, min(26, 5 + len(used).bit_length())))
+        self.pair_bits = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.pair_bits[self._slots(self.pair_keys)] = True
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+
+    def _paired(self, rows: np.ndarray, first: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First block and item of all windows that hold enough of an item's posted pairs."""
+        flat = rows.ravel()
+        at = np.flatnonzero((flat[:-1] > 0) & (flat[1:] > 0))
+        keys = flat[at] * self.space.benchmark.size + flat[at + 1]
+        hit = self.pair_bits[self._slots(keys)]
+        at, keys = at[hit], keys[hit]
+        place = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        hit = self.pair_keys[place] == keys
+        at, place = at[hit], place[hit]
+        n = self.pair_first[place + 1] - self.pair_first[place]
+        item = self.pair_items[np.repeat(self.pair_first[place] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        width = len(rows) + int(self.scale.max()) + 1
+        placed = np.sort(item * width + np.repeat(at // STEP, n))
+        item = placed // width
+        enough = np.searchsorted(placed, placed + self.scale[item]) - np.arange(len(placed)) >= self.pair_need[item]
+        placed = np.unique(placed[enough])
+        item, block = np.divmod(placed, width)
+        # the copy may start before its first posted pair
+        back = self.scale[item]
+        item, last = np.repeat(item, back), np.repeat(block, back)
+        block = last - (np.arange(back.sum()) - np.repeat(np.cumsum(back) - back, back))
+        good = block >= first[owner[last]]
+        placed = np.unique(item[good] * width + block[good])
+        return placed % width, placed // width
 
     def search(self, coded: list[np.ndarray]) -> list[dict[int, float]]:
         """For each text the items that it holds, and the share of their words."""
@@ -225,7 +284,13 @@ class Searcher:
         sums = np.zeros((len(rows) + 1, self.latent.shape[1]), np.float32)  # of one chunk, so single precision will do
         np.cumsum(np.einsum("ijk->ik", np.take(self.space.basis, rows, axis=0)), axis=0, out=sums[1:])
         held = np.concatenate([[0], np.cumsum(np.count_nonzero(rows, axis=1))])
+        paired, pair_item = self._paired(rows, first, owner)
         for scale, items in self.scales.items():
+            own = self.scale[pair_item] == scale
+            start, item = paired[own], pair_item[own]
+            end = np.minimum(start + scale, first[owner[start] + 1])
+            for w, k in zip(*self._worded(rows, start, end, np.arange(len(start)), item, scale)):
+                self._check(coded, first, int(owner[start[w]]), int(start[w]), int(end[w]), int(k), found)
             start = np.arange(len(rows))
             end = np.minimum(start + scale, first[owner + 1])
             # fewer benchmark words than the shortest item needs cannot hold one

@@ -164,6 +164,41 @@ def test_items_are_found_and_clean_texts_left(spark, make):
     assert decontamination.find_items(make([]), bench).count() == 0
 
 
+def _planted(n):
+    """A benchmark of n items over a wide vocabulary, and texts that each hold one of them, whole or with words changed."""
+    rng = np.random.default_rng(31)
+    share = 1 / np.arange(1, 3001)
+    draw = lambda size: rng.choice(3000, size, p=share / share.sum()) + 1
+    codes = [draw(rng.integers(10, 40)) for _ in range(n)]
+    bench = decontamination.Benchmark(list(range(n)), codes, [c[-5:] for c in codes], {str(i).encode(): i + 1 for i in range(3000)})
+    texts = []
+    for i in range(200):
+        k = int(rng.integers(n))
+        copy = codes[k].copy()
+        if i % 2:
+            copy[:-5][rng.random(len(copy) - 5) < 0.25] = 0
+        at = int(rng.integers(0, 60))
+        texts.append((k, bool(i % 2), np.concatenate([draw(at), copy, draw(60 - at)])))
+    return bench, texts
+
+
+def test_copies_are_checked_however_poor_the_latent_space(spark):
+    bench, texts = _planted(1500)
+    rng = np.random.default_rng(1)
+    space = decontamination.Space(bench, rng.standard_normal((bench.size, 2)).astype(np.float32), np.ones(bench.size, np.float32))
+    search = decontamination.Searcher(space, 2.0, 0.8, 0.6, 0.8)  # no cosine is as high
+    found = search.search([t for *_, t in texts])
+    assert all(k in f for (k, changed, _), f in zip(texts, found) if not changed)
+    due = [k in f for (k, changed, t), f in zip(texts, found) if changed and decontamination.common_subsequence(bench.codes[k], t) >= 0.6 * len(bench.codes[k])]
+    assert sum(due) >= 0.95 * len(due) > 0
+
+
+def test_directions_grow_with_the_items(spark):
+    coded = spark.createDataFrame([(1, b"")], "doc_id long, codes binary")
+    sizes = [decontamination.fit_space(coded, _planted(n)[0]).basis.shape[1] for n in (40, 200, 800)]
+    assert sizes == [48, 48, 96]
+
+
 def test_pipeline_stages_on_the_smallest_tables(spark):
     sf = "/root/testdata/sf0.001"
     if not Path(sf).exists():
