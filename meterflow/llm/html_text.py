@@ -36,6 +36,8 @@ ROLES = _names("navigation banner contentinfo complementary search form menu men
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
+#: What follows these in a class name tells of a layout, not of the element itself.
+LAYOUT = _names("no has with without")
 #: Least share of a host's text a path must hold: an article or main element, and any other container.
 SEMANTIC, OTHER = 0.3, 0.8
 
@@ -44,17 +46,24 @@ def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(source)} if "=" in source else {}
 
 
-def _is_boilerplate(tag: str, attributes: dict[str, str], source: str) -> bool:
-    if tag in SKIPPED:
-        return True
+def _is_boilerplate(tag: str, attributes: dict[str, str], source: str) -> int:
+    """2: surely, 1: by its name or as a form, unless it turns out to hold the page's main part, 0: no."""
+    if tag in SKIPPED and tag != "form":
+        return 2
     if tag in ("html", "body", "main", "article") or not source:
-        return False
+        return int(tag == "form")
     if attributes.get("role", "").lower() in ROLES or attributes.get("aria-hidden") == "true" or re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", source):
-        return True
+        return 2
     if "display:none" in attributes.get("style", "").replace(" ", "").lower():
-        return True
-    named = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-    return any(w in BOILERPLATE for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", named).lower()))
+        return 2
+    return int(tag == "form" or any(map(_is_named, f"{attributes.get('class', '')} {attributes.get('id', '')}".split())))
+
+
+def _is_named(name: str) -> bool:
+    """Whether a class or id starts or ends with a word for boilerplate."""
+    parts = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower())
+    parts = parts[:next((i for i, w in enumerate(parts) if w in LAYOUT), len(parts))]
+    return bool(parts) and (parts[0] in BOILERPLATE or parts[-1] in BOILERPLATE)
 
 
 class Page:
@@ -65,20 +74,46 @@ class Page:
         self.paths: list[tuple[str, int, int]] = [("", 0, 0)]
         #: blocks: text, characters in links, containers from the outermost on
         self.blocks: list[tuple[str, int, tuple[int, ...]]] = []
-        self._stack: list[tuple[str, bool, tuple[int, ...], str]] = []  # tag, skipped, containers, path
-        self._text: list[str] = []
-        self._linked = self._links = 0
+        # tag, surely skipped, containers, path, elements around it that look like boilerplate
+        self._stack: list[tuple[str, bool, tuple[int, ...], str, tuple[int, ...]]] = []
+        #: pieces of a block (text, in a link, doubtful elements), pieces and containers of all, doubtful elements of articles and mains
+        self._text: list[tuple[str, bool, tuple[int, ...]]] = []
+        self._parts: list[tuple[list, tuple[int, ...]]] = []
+        self._articles: list[tuple[int, ...]] = []
+        self._doubtful = self._links = 0
         self._read(source)
+        kept = self._main_parts()
+        for pieces, containers in self._parts:
+            pieces = [p for p in pieces if kept.issuperset(p[2])]
+            if text := " ".join("".join(p[0] for p in pieces).split()):
+                self.blocks.append((text, sum(len(p[0]) for p in pieces if p[1]), containers))
 
-    def _top(self) -> tuple[str, bool, tuple[int, ...], str]:
-        return self._stack[-1] if self._stack else ("", False, (0,), "")
+    def _top(self) -> tuple[str, bool, tuple[int, ...], str, tuple[int, ...]]:
+        return self._stack[-1] if self._stack else ("", False, (0,), "", ())
 
     def _break(self) -> None:
         if self._text:
-            text = " ".join("".join(self._text).split())
-            if text:
-                self.blocks.append((text, self._linked, self._top()[2]))
-            self._text, self._linked = [], 0
+            self._parts.append((self._text, self._top()[2]))
+            self._text = []
+
+    def _main_parts(self) -> set[int]:
+        """Elements named like boilerplate that hold the page's article, or nearly all its text outside links where no article is kept."""
+        kept: set[int] = set()
+        if not self._doubtful:
+            return kept
+        sizes, total = [0] * self._doubtful, 0
+        for pieces, _ in self._parts:
+            for text, linked, doubtful in pieces:
+                n = 0 if linked else len(text.strip())
+                total += n
+                for e in doubtful:
+                    sizes[e] += n
+        for e in range(self._doubtful):
+            if any(e not in a and kept.issuperset(a) for a in self._articles):
+                continue
+            if any(e in a for a in self._articles) or total and sizes[e] >= OTHER * total:
+                kept.add(e)
+        return kept
 
     def _pop(self, to: int) -> None:
         for tag, *_ in self._stack[to:]:
@@ -106,16 +141,22 @@ class Page:
             self._break()
         if tag in VOID:
             return
-        _, skipped, containers, path = self._top()
+        _, skipped, containers, path, doubtful = self._top()
         attributes = _attributes(source)
-        skipped = skipped or _is_boilerplate(tag, attributes, source)
+        kind = 0 if skipped else _is_boilerplate(tag, attributes, source)
+        skipped = skipped or kind == 2
+        if kind == 1:
+            doubtful = (*doubtful, self._doubtful)
+            self._doubtful += 1
+        if tag in ("article", "main") and not skipped:
+            self._articles.append(doubtful)
         if tag in CONTAINERS and not skipped:
             kinds = sorted({re.sub(r"\d+", "#", c) for c in attributes.get("class", "").lower().split()})
             path = f"{path}/{'.'.join([tag, *kinds])}"
             self.paths.append((path, int(tag in ("article", "main")), len(containers)))
             containers = (*containers, len(self.paths) - 1)
         self._links += tag == "a"
-        self._stack.append((tag, skipped, containers, path))
+        self._stack.append((tag, skipped, containers, path, doubtful))
 
     def _read(self, source: str) -> None:
         at, size = 0, len(source)
@@ -125,11 +166,9 @@ class Page:
             tag = m[2] or m[5]
             if tag is None:
                 if m[0][0] != "<" or len(m[0]) == 1:
-                    if not self._top()[1]:
-                        text = html.unescape(m[0]) if "&" in m[0] else m[0]
-                        self._text.append(text)
-                        if self._links:
-                            self._linked += len(text)
+                    _, skipped, _, _, doubtful = self._top()
+                    if not skipped:
+                        self._text.append((html.unescape(m[0]) if "&" in m[0] else m[0], self._links > 0, doubtful))
                 continue
             tag = tag.lower()
             if m[1] or m[4]:

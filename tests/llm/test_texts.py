@@ -214,6 +214,20 @@ def test_pages(spark):
     assert html_text.extract_text(pages.limit(0)).count() == 0
 
 
+BODY = "<article><h1>Head</h1><p>the main text of the page stands here</p></article>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class='content no-sidebar'>{BODY}</div>", f"<div class='layout with-header'>{BODY}</div>", f"<div id='page-share-wrap'>{BODY}</div>",
+    f"<form id='aspnetForm'>{BODY}<div class='sidebar'>side</div></form>", f"<div class='sidebar-wrap'><div class='ad'>buy</div>{BODY}</div>",
+    f"<form>{BODY}<div class='comments'><article>first</article></div></form>", f"<div class='related'><article>teaser</article></div>{BODY}",
+    "<div class='banner-page'><h1>Head</h1><p>the main text of the page stands here</p></div><div class='ad'>buy</div>",
+])
+def test_wrappers_named_like_boilerplate_keep_the_article(page):
+    page = html_text.Page(f"<body>{page}</body>")
+    assert page.at(page.best()) == "Head the main text of the page stands here"
+
+
 def test_hosts_agree_on_a_path(spark):
     long, short = "<div class=body><p>" + "word " * 90 + "</p></div>", "<div class=body><p>few</p></div><div class=links><p>" + "other " * 9 + "</p></div>"
     pages = spark.createDataFrame([(i, "http://h/x", f"<body>{long if i else short}</body>") for i in range(6)], "page_id long, url string, html string")
