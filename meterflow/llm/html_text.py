@@ -2,8 +2,9 @@
 
 Each page's containers are scored by the text they hold outside of links and boilerplate. The scores are
 summed per host and generalised path (tags with their classes, digits taken out) in Spark, the best path
-of each host is chosen, and every page is extracted again at its host's path. Pages that lack the path use
-their own best one.
+of each host is chosen, and every page is extracted again at its host's path. Hosts may have several templates:
+pages that lack the path, or hold no text there, use their own best one, and so do pages with little of their text
+there if their own path is the choice of several pages of the host or holds as much as a main text of the host.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
 LAYOUT = _names("no has with without")
 #: Least share of a host's text a path must hold: an article or main element, and any other container.
 SEMANTIC, OTHER = 0.3, 0.8
+#: Least share and number of a host's pages that choose a path for another template.
+TEMPLATE, TEMPLATE_PAGES = 0.1, 2
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -215,11 +218,14 @@ def rank(score: float, total: float, semantic: int) -> int:
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [(host, path, kind, depth, n) for host, page in zip(batch.column(0).to_pylist(), batch.column(1))
-                for (path, kind, depth), n in Page(page.as_py()).scores().items()]
-        types = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, types)],
-                                         ["host", "path", "semantic", "depth", "score"])
+        rows = []
+        for host, source in zip(batch.column(0).to_pylist(), batch.column(1)):
+            page = Page(source.as_py())
+            own = page.best()
+            rows += [(host, path, kind, depth, n, int(path == own)) for (path, kind, depth), n in page.scores().items()]
+        types = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, types)],
+                                         ["host", "path", "semantic", "depth", "score", "own"])
 
 
 def _pages(pages: DataFrame, page: str, url: str, source: str) -> DataFrame:
@@ -229,23 +235,39 @@ def _pages(pages: DataFrame, page: str, url: str, source: str) -> DataFrame:
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """The winning path of each host: one vote per page and path, weighted by the text it holds there."""
-    voted = pages.select("host", "html").mapInArrow(_votes, "host string, path string, semantic int, depth int, score long")
-    summed = voted.groupBy("host", "path", "semantic", "depth").agg(F.sum("score").alias("score"))
+    """The winning path of each host: one vote per page and path, weighted by the text it holds there.
+
+    With it the mean text of a page there, and the own choices of enough pages (at most ten paths).
+    """
+    voted = pages.select("host", "html").mapInArrow(_votes, "host string, path string, semantic int, depth int, score long, own int")
+    summed = voted.groupBy("host", "path", "semantic", "depth").agg(F.sum("score").alias("score"), F.count("*").alias("n"), F.sum("own").alias("own"))
     share = F.col("score") / F.max("score").over(Window.partitionBy("host"))
     place = F.when((F.col("semantic") == 1) & (share >= SEMANTIC), 2).when((F.col("semantic") == 0) & (share >= OTHER), 1).otherwise(0)
     order = F.struct(place, F.when(F.col("semantic") == 1, -F.col("depth")).otherwise(0), F.when(F.col("semantic") == 0, F.col("depth")).otherwise(0),
                      "score", "path")
-    return summed.withColumn("order", order).groupBy("host").agg(F.max_by("path", "order").alias("path"))
+    template = (F.col("own") >= TEMPLATE_PAGES) & (F.col("own") >= TEMPLATE * F.sum("own").over(Window.partitionBy("host")))
+    return (summed.withColumn("order", order).withColumn("template", F.when(template, F.col("path"))).groupBy("host")
+            .agg(F.max_by("path", "order").alias("path"), F.max_by(F.col("score") / F.col("n"), "order").alias("mean"),
+                 F.collect_set("template").alias("templates")))
+
+
+def _main_text(page: Page, path: str | None, mean: float | None, templates: list[str] | None) -> str:
+    text = page.at(path) if path is not None else None
+    if not text:
+        return page.at(page.best()) or ""
+    held: dict[str, int] = {}
+    for (p, _, _), n in page.scores().items():
+        held[p] = held.get(p, 0) + n
+    if held.get(path, 0) < SEMANTIC * held.get("", 0):
+        own = page.best()
+        if own in templates or held.get(own, 0) >= SEMANTIC * mean:
+            return page.at(own) or text
+    return text
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = []
-        for source, path in zip(batch.column(2), batch.column(3).to_pylist()):
-            page = Page(source.as_py())
-            text = page.at(path) if path is not None else None
-            found.append(page.at(page.best()) or "" if text is None else text)
+        found = [_main_text(Page(source.as_py()), *host) for source, *host in zip(batch.column(2), *(batch.column(i).to_pylist() for i in (3, 4, 5)))]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string())], ["page_id", "url", "text"])
 
 
@@ -259,7 +281,7 @@ def extract_text(pages: DataFrame, page: str = "page_id", url: str = "url", sour
     rows = _pages(pages, page, url, source)
     winners = stored(host_paths(rows), "host-paths")
     kind = rows.schema["page_id"].dataType.simpleString()
-    return (rows.join(winners, "host", "left").select("page_id", "url", "html", "path")
+    return (rows.join(winners, "host", "left").select("page_id", "url", "html", "path", "mean", "templates")
             .mapInArrow(_extract, f"page_id {kind}, url string, text string"))
 
 

@@ -234,6 +234,17 @@ def test_hosts_agree_on_a_path(spark):
     assert {r.page_id: r.text for r in html_text.extract_text(pages).collect()}[0] == "few"
 
 
+def test_hosts_with_two_templates(spark):
+    text = "word " * 60
+    first = f"<body><article><p>{text}</p></article></body>"
+    second = [f"<body><article>{a}</article><div class='story'><p>{t}</p></div></body>" for a in ("", "<p>read on</p>") for t in (text, text, "short but whole " * 3)]
+    pages = spark.createDataFrame([(i, "http://h/x", first) for i in range(8)] + [(10 + i, "http://h/x", s) for i, s in enumerate(second)],
+                                  "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract_text(pages).collect()}
+    assert all(got[i] == text.strip() for i in range(8))
+    assert all(t in got[10 + i] for i, t in enumerate([text.strip(), text.strip(), ("short but whole " * 3).strip()] * 2))
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<div class='a'>", "</div>", "<b>", "</b>", "text ", "&amp;", "<", ">", '"', "<a href='", "<article>", "</article>",
                                  "<script>", "</script>", "<!--", "-->", "<li>", "<td>", "<br/>", "é"]), max_size=25))
