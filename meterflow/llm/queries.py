@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from meterflow.llm import decontamination, html_text, jaccard_join, licences, packing, quality_classifier, quality_rules, secrets, token_counts, token_ids
+from meterflow.llm import (decontamination, html_text, jaccard_join, licences, packing, periodic_runs, quality_classifier, quality_rules, secrets,
+                           token_counts, token_ids)
 from meterflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +69,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(periodic_runs.periodic_runs(periodic_runs.planted(table(spark, sf_dir, "documents"))))
