@@ -10,6 +10,7 @@ from meterflow.catalog.basics import lags_sql
 from meterflow.catalog.registry import query
 from meterflow.catalog.tables import ONE, TYPED, grid, readings_sql, six, split_sql
 from meterflow.operators import forecast as fc
+from meterflow.operators.boosting import TARGET_BITS, BoostConfig, BoostedTrees, fit_boosted, importance
 from meterflow.operators.eda import last_rows
 from meterflow.operators.features import add_calendar
 from meterflow.operators.metrics import forecast_scorecard
@@ -131,12 +132,98 @@ def t4_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frame.select(TIMESTAMP, ONE.target, *fc.boosted_features(ONE.target), "split")
 
 
+SMALL = BoostConfig(trees=3, depth=3, bins=16)
+STUMPS = BoostConfig(trees=8, depth=1, bins=32)
+
+
+def boosted_sql(config: BoostConfig) -> str:
+    """The boosted trees of a small configuration, level by level: ``p<trees>`` has the predictions, ``split_<tree>_<level>`` the splits."""
+    names = fc.boosted_features(ONE.target)
+    y = f'"{ONE.target}"'
+    probs = ", ".join(f"{k / config.bins!r}::DOUBLE" for k in range(1, config.bins))
+    long = " UNION ALL ".join(f'SELECT id, split, {i} AS f, CAST("{c}" AS DOUBLE) AS x FROM numbered' for i, c in enumerate(names))
+    parts = [f"""{lags_sql()}, {split_sql("lags", *FORECAST_SPLIT)},
+numbered AS MATERIALIZED (SELECT row_number() OVER (ORDER BY "Timestamp") AS id, * FROM parted),
+unpivoted AS ({long}),
+cuts AS (SELECT f, unnest(list_distinct(quantile_cont(x, [{probs}]))) AS c FROM unpivoted WHERE split = 'train' GROUP BY f),
+binned AS MATERIALIZED (SELECT id, f, CASE WHEN any_value(x) IS NULL THEN 0 ELSE 1 + count(c) FILTER (c < x) END AS b
+                        FROM unpivoted LEFT JOIN cuts USING (f) GROUP BY id, f),
+consts AS (SELECT pow(2, {TARGET_BITS} - ceil(log2(max(abs({y})) + 1))) AS unit FROM numbered WHERE split = 'train'),
+p0 AS MATERIALIZED (SELECT id, split, t, (sum(t) FILTER (split = 'train') OVER () // count(*) FILTER (split = 'train') OVER ())::BIGINT AS p
+  FROM (SELECT id, split, floor({y} * unit + 0.5)::BIGINT AS t FROM numbered, consts))"""]
+    for tree in range(config.trees):
+        parts.append(f"node_{tree}_0 AS (SELECT id, split, t, p, 1 AS node FROM p{tree})")
+        for level in range(config.depth):
+            at = f"{tree}_{level}"
+            parts.append(f"""cells_{at} AS (SELECT node, f, b, count(*) AS n, sum(t - p) AS s FROM node_{at} JOIN binned USING (id)
+  WHERE split = 'train' AND node >= {1 << level} GROUP BY ALL),
+sides_{at} AS (SELECT node, f, b, sum(n) OVER w AS ln, sum(s) OVER w AS ls, sum(n) OVER (PARTITION BY node, f) AS n, sum(s) OVER (PARTITION BY node, f) AS s
+  FROM cells_{at} WINDOW w AS (PARTITION BY node, f ORDER BY b)),
+gains_{at} AS (SELECT node, f, b, n, ((ls::DOUBLE * ls::DOUBLE / (ln::DOUBLE + {config.penalty!r}::DOUBLE)
+  + (s - ls)::DOUBLE * (s - ls)::DOUBLE / ((n - ln)::DOUBLE + {config.penalty!r}::DOUBLE))
+  - s::DOUBLE * s::DOUBLE / (n::DOUBLE + {config.penalty!r}::DOUBLE)) / (unit * unit) AS gain FROM sides_{at}, consts WHERE ln < n),
+split_{at} AS MATERIALIZED (SELECT * FROM gains_{at} WHERE gain > {config.min_gain!r}
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, b) = 1),
+node_{tree}_{level + 1} AS MATERIALIZED (SELECT a.id, split, t, p, CASE WHEN c.node IS NULL THEN a.node ELSE 2 * a.node + (d.b > c.b)::INT END AS node
+  FROM node_{at} a LEFT JOIN split_{at} c ON a.node = c.node LEFT JOIN binned d ON d.id = a.id AND d.f = c.f)""")
+        parts.append(f"""leaf_{tree} AS (SELECT node, floor({config.step!r}::DOUBLE * sum(t - p)::DOUBLE / (count(*)::DOUBLE + {config.penalty!r}::DOUBLE) + 0.5)::BIGINT AS v
+  FROM node_{tree}_{config.depth} WHERE split = 'train' GROUP BY node),
+p{tree + 1} AS MATERIALIZED (SELECT id, split, t, p + v AS p FROM node_{tree}_{config.depth} JOIN leaf_{tree} USING (node))""")
+    return ", ".join(parts)
+
+
+def predictions_sql(config: BoostConfig) -> str:
+    return f"""WITH {boosted_sql(config)}
+SELECT "Timestamp", "{ONE.target}" AS y_true, round(p / unit, 6) AS y_pred
+FROM numbered JOIN p{config.trees} USING (id), consts WHERE numbered.split = 'test'"""
+
+
+def splits_sql(config: BoostConfig) -> str:
+    """tree, node, feature, rows and gain of every split."""
+    names = ", ".join(f"'{c}'" for c in fc.boosted_features(ONE.target))
+    found = " UNION ALL ".join(f"SELECT {t} AS tree, node::INT AS node, [{names}][f + 1] AS feature, n::BIGINT AS rows, gain FROM split_{t}_{level}"
+                               for t in range(config.trees) for level in range(config.depth))
+    return f"WITH {boosted_sql(config)}, splits AS ({found})"
+
+
+def boosted_on_grid(spark: SparkSession, sf_dir: str, config: BoostConfig) -> BoostedTrees:
+    return fc.boosted_fit(fc.boosted_frame(calendar_grid(spark, sf_dir), ONE), ONE, config)
+
+
+@query("t4_boosted_stumps", predictions_sql(STUMPS))
+def t4_stumps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded_predictions(fc.boosted_forecast(calendar_grid(spark, sf_dir), ONE, STUMPS))
+
+
+@query("t4_boosted_small_trees", predictions_sql(SMALL))
+def t4_small(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded_predictions(fc.boosted_forecast(calendar_grid(spark, sf_dir), ONE, SMALL))
+
+
+@query("t4_boosted_by_level_jobs", predictions_sql(SMALL))
+def t4_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same model with one aggregation over all tasks a level, as tables of many blocks are grown."""
+    lags = fc.boosted_frame(calendar_grid(spark, sf_dir), ONE)
+    model = fit_boosted(lags.where(F.col("split") == "train"), fc.boosted_features(ONE.target), ONE.target, SMALL, block_rows=0)
+    return rounded_predictions(fc.prediction_frame(model.predict(lags.where(F.col("split") == "test")), ONE, "prediction"))
+
+
+@query("t5_split_ledger", f"""{splits_sql(SMALL)} SELECT tree, node, feature, rows, round(gain, 6) AS gain FROM splits""")
+def t5_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger = boosted_on_grid(spark, sf_dir, SMALL).ledger(spark).where("feature is not null")
+    return ledger.select("tree", "node", "feature", "rows", six("gain").alias("gain"))
+
+
+@query("t5_importance_of_stumps", f"""{splits_sql(STUMPS)}
+SELECT feature, round(coalesce(avg(gain), 0), 6) AS importance, count(gain) AS splits
+FROM (SELECT unnest([{", ".join(f"'{c}'" for c in fc.boosted_features(ONE.target))}]) AS feature) LEFT JOIN splits USING (feature) GROUP BY feature""")
+def t5_stumps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance(boosted_on_grid(spark, sf_dir, STUMPS).ledger(spark), fc.boosted_features(ONE.target)).withColumn("importance", six("importance"))
+
+
 @query("t5_feature_importance")
 def t5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frame = fc.boosted_frame(calendar_grid(spark, sf_dir), ONE)
-    names = fc.boosted_features(ONE.target)
-    model = fc.boosted_fit(frame.where(F.col("split") == "train"), names, ONE.target)
-    return fc.feature_importance(model, names, frame)
+    return importance(boosted_on_grid(spark, sf_dir, BoostConfig()).ledger(spark), fc.boosted_features(ONE.target))
 
 
 @query("t6_window_regression")

@@ -8,14 +8,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.functions.calendar import epoch_exact
 from meterflow.functions.checks import require_columns
+from meterflow.operators.boosting import BoostConfig, BoostedTrees, fit_boosted
 from meterflow.operators.features import sequences, supervised_lags
 from meterflow.operators.joins import series_lookup
 from meterflow.operators.ordering import CHUNK, chunk_key, chunk_number, windowed
@@ -24,9 +24,6 @@ from meterflow.session import materialize
 from meterflow.spec import (CALENDAR_COLUMNS, DEFAULT_LAYOUT, HUMIDITY, LAGS, ROW, ROWS, SEASON, SEQUENCE_FEATURES,
                             SEQUENCE_LENGTH, TEMPERATURE, Layout, SeriesSpec)
 
-#: Partitions of the boosted trees' training table; a large table wants a multiple of its cores.
-TRAINING_PARTITIONS = 4
-
 
 def boosted_features(target: str) -> list[str]:
     """Predictors of the boosted trees: three lags, two weather columns, four calendar columns."""
@@ -173,46 +170,22 @@ def _ridge_by_series(train: DataFrame, spec: SeriesSpec, penalties: Sequence[flo
     return sums.select(*spec.series, ROWS, solve(F.transform("_s", lambda s: s["_v"])).alias("_weights"))
 
 
-def boosted_fit(train: DataFrame, features: Sequence[str], target: str, trees: int = 100, step: float = 0.1,
-                depth: int = 6, seed: int = 42, partitions: int = TRAINING_PARTITIONS) -> GBTRegressionModel:
-    """Gradient boosted trees on the assembled predictors; no early stopping.
-
-    The learner draws split candidates partition by partition; ``dealt`` makes these the same for any input.
-    """
-    require_columns(train, [*features, target])
-    regressor = GBTRegressor(featuresCol="_features", labelCol=target, maxIter=trees, stepSize=step,
-                             maxDepth=depth, seed=seed, checkpointInterval=10)
-    slim = dealt(train.select(*features, target), partitions)
-    return regressor.fit(VectorAssembler(inputCols=list(features), outputCol="_features").transform(slim))
-
-
-def dealt(df: DataFrame, partitions: int) -> DataFrame:
-    """The rows by their hash in a given number of partitions, sorted: the same layout however they arrive.
-
-    An iterative learner pays per task and pass, so large tables want more partitions than small ones.
-    """
-    row = F.xxhash64(*df.columns)
-    return df.repartition(partitions, row).sortWithinPartitions(row, *df.columns)
-
-
 def boosted_frame(df: DataFrame, spec: SeriesSpec, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
     """Lag table with its own chronological split, checkpointed for the training passes."""
     return materialize(forecast_split(supervised_lags(df, spec, layout=layout), spec, layout=layout))
 
 
-def boosted_forecast(df: DataFrame, spec: SeriesSpec, trees: int = 100, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
+def boosted_forecast(df: DataFrame, spec: SeriesSpec, trees: int | BoostConfig = 100, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
     """One boosted model over all series, trained on lag tables; predictions of the test rows."""
     lags = boosted_frame(df, spec, layout)
-    names = boosted_features(spec.target)
-    model = boosted_fit(lags.where(F.col("split") == "train"), names, spec.target, trees)
-    test = VectorAssembler(inputCols=names, outputCol="_features").transform(lags.where(F.col("split") == "test"))
-    return prediction_frame(model.transform(test), spec, "prediction")
+    model = boosted_fit(lags, spec, trees, layout)
+    return prediction_frame(model.predict(lags.where(F.col("split") == "test")), spec, "prediction")
 
 
-def feature_importance(model: GBTRegressionModel, features: Sequence[str], like: DataFrame) -> DataFrame:
-    """Share of the split gain per predictor, 0 if unused, ascending."""
-    rows = [(name, float(value)) for name, value in zip(features, model.featureImportances.toArray(), strict=True)]
-    return like.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy("importance", "feature")
+def boosted_fit(lags: DataFrame, spec: SeriesSpec, trees: int | BoostConfig = 100, layout: Layout = DEFAULT_LAYOUT) -> BoostedTrees:
+    """The model of the training rows of a ``boosted_frame``."""
+    config = trees if isinstance(trees, BoostConfig) else BoostConfig(trees)
+    return fit_boosted(lags.where(F.col("split") == "train"), boosted_features(spec.target), spec.target, config, layout)
 
 
 def window_regression_forecast(df: DataFrame, spec: SeriesSpec, features: Sequence[str] = SEQUENCE_FEATURES,

@@ -83,15 +83,17 @@ def test_learned_models_beat_the_floor_on_a_daily_wave(spark):
 
 
 def test_boosted_forecast_and_importance(spark):
+    from meterflow.operators.boosting import importance
     from meterflow.operators.features import add_calendar
 
     rows = add_calendar(to_spark(spark, daily_wave()), ONE)
     lags = fc.boosted_frame(rows, ONE)
     names = fc.boosted_features(Y)
-    model = fc.boosted_fit(lags.where("split = 'train'"), names, Y, trees=5)
-    table = fc.feature_importance(model, names, lags).collect()
+    ledger = fc.boosted_fit(lags, ONE, 5).ledger(spark)
+    table = importance(ledger, names).collect()
     assert len(table) == 9 and [r.importance for r in table] == sorted(r.importance for r in table)
     assert {r.feature for r in table if r.importance == 0} >= {"month"}
+    assert sum(r.splits for r in table) == ledger.where("feature is not null").count()
     assert fc.boosted_forecast(rows, ONE, trees=2).count() == 65
 
 
