@@ -36,13 +36,14 @@ MARKS = 1 << 26
 HOT_SHARE = 1 / 1000
 _BLOCK = 1 << 15  # bits of one bitmap of bitmap_construct_agg
 
-#: State on disk, written as changes, with small buffers: hundreds of partitions may share an executor.
+#: State on disk, written as changes, with small buffers and nothing preallocated: hundreds of partitions may share an executor.
 SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
