@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterflow.catalog.detectors import PLAIN_FOREST, profiles_sql
 from meterflow.catalog.registry import query
 from meterflow.catalog.rules import CUT_A, CUT_B, with_score
-from meterflow.catalog.tables import ONE, TYPED, features_sql, grid, readings, readings_sql, six
+from meterflow.catalog.tables import ONE, TYPED, features_sql, grid, readings, readings_sql, six, split_sql
 from meterflow.operators.clean import compare_artefacts, interpolate_flagged
 from meterflow.operators.features import base_features
 from meterflow.operators.metrics import flag_counts
 from meterflow.operators.ordering import with_row_index
 from meterflow.operators.thresholds import flag_at
 from meterflow.plans import cleaning as plan
+from meterflow.plans.detection import PROFILES
 from meterflow.plans.forecasting import detect_clean_forecast
 from meterflow.session import materialize, scratch_path
 from meterflow.sources.readings import read_clean
 from meterflow.sources.sinks import write_clean
-from meterflow.spec import READING_COLUMNS, ROW, ROWS, TARGET, TIMESTAMP
+from meterflow.spec import FORECAST_SPLIT, READING_COLUMNS, ROW, ROWS, TARGET, TIMESTAMP
 
 
 def fill_sql(source: str, flag: str, name: str, keys: str = "") -> str:
@@ -108,7 +112,15 @@ def c3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair.withColumns({c: six(c) for c in ("jaccard_imputed", "max_abs_diff_imputed", "mean_abs_diff_imputed")})
 
 
-@query("c2_legacy_profile")
+def _cleaned_sql(profile: str, name: str) -> str:
+    joined = f'{name}_f AS (SELECT f.*, coalesce({profile} = 1, FALSE) AS bad FROM features f LEFT JOIN profiles USING ("Timestamp"))'
+    return f"""{joined}, {fill_sql(f"{name}_f", "bad", name)}"""
+
+
+_LEGACY = f"""{PLAIN_FOREST}, profiles AS (SELECT "Timestamp", forest_flag AS legacy FROM flagged), {_cleaned_sql("legacy", "clean")}"""
+
+
+@query("c2_legacy_profile", f"""WITH {_LEGACY} SELECT "Timestamp", round(y_clean, 6) AS "Electricity_Consumed", hour FROM clean""")
 def c2(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = plan.clean_readings(readings(spark, sf_dir), ONE, "legacy")
     return clean.select(TIMESTAMP, six(TARGET).alias(TARGET), "hour")
@@ -126,13 +138,36 @@ def c2_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         six("rolling_mean_24h").alias("rolling_mean_24h"), F.col(TARGET).isNull().alias("target_missing"))
 
 
-@query("x2_profile_comparison")
+def _compared_sql(a: str, b: str) -> str:
+    n = f"{a}_{b}"
+    return f"""{n}_m AS (SELECT r.hour, x.y_clean AS ya, y.y_clean AS yb, r."Electricity_Consumed" IS DISTINCT FROM x.y_clean AS ia,
+    r."Electricity_Consumed" IS DISTINCT FROM y.y_clean AS ib
+  FROM features r JOIN clean_{a} x USING ("Timestamp") JOIN clean_{b} y USING ("Timestamp")),
+{n}_w AS (SELECT hour, count(*) AS d FROM {n}_m WHERE ia <> ib GROUP BY hour ORDER BY d DESC, hour LIMIT 1),
+{n} AS (SELECT '{a} vs {b}' AS pair, count(*) FILTER (WHERE ia) AS imputed_rows_a, count(*) FILTER (WHERE ib) AS imputed_rows_b,
+  count(*) FILTER (WHERE ia <> ib) AS disagree_rows,
+  round(count(*) FILTER (WHERE ia AND ib) / greatest(count(*) FILTER (WHERE ia OR ib), 1)::DOUBLE, 6) AS jaccard_imputed,
+  round(coalesce(max(abs(ya - yb)) FILTER (WHERE ia AND ib), 0), 6) AS max_abs_diff_imputed,
+  round(coalesce(avg(abs(ya - yb)) FILTER (WHERE ia AND ib), 0), 6) AS mean_abs_diff_imputed,
+  (SELECT count(*) FROM features) - count(*) AS unmatched_rows,
+  coalesce((SELECT hour FROM {n}_w), -1) AS top_disagree_hour, coalesce((SELECT d FROM {n}_w), 0) AS top_disagree_hour_count FROM {n}_m)"""
+
+
+_PAIRS = list(combinations(PROFILES, 2))
+
+
+@query("x2_profile_comparison", f"""WITH {profiles_sql()}, {", ".join(_cleaned_sql(p, f"clean_{p}") for p in PROFILES)},
+{", ".join(_compared_sql(a, b) for a, b in _PAIRS)} {" UNION ALL ".join(f"SELECT * FROM {a}_{b}" for a, b in _PAIRS)}""")
 def x2(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = plan.compare_profiles(materialize(readings(spark, sf_dir)), ONE)
     return pairs.withColumns({c: six(c) for c in ("jaccard_imputed", "max_abs_diff_imputed", "mean_abs_diff_imputed")})
 
 
-@query("x1_detect_clean_forecast")
+@query("x1_detect_clean_forecast", f"""WITH {_LEGACY}, cleaned AS (SELECT * REPLACE (y_clean AS "Electricity_Consumed") FROM clean),
+{split_sql("cleaned", *FORECAST_SPLIT, name="dealt")},
+near AS (SELECT "Timestamp", split, "Electricity_Consumed" AS y_true, lag("Electricity_Consumed", 48) OVER (ORDER BY "Timestamp") AS y_pred
+  FROM dealt WHERE split <> 'val')
+SELECT "Timestamp", round(y_true, 6) AS y_true, round(y_pred, 6) AS y_pred FROM near WHERE split = 'test'""")
 def x1(spark: SparkSession, sf_dir: str) -> DataFrame:
     predictions = detect_clean_forecast(readings(spark, sf_dir), ONE, "naive")
     return predictions.withColumns({"y_true": six("y_true"), "y_pred": six("y_pred")})

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterflow.catalog.basics import lags_sql
 from meterflow.catalog.registry import query
-from meterflow.catalog.tables import ONE, TYPED, grid, readings_sql, six, split_sql
+from meterflow.catalog.tables import ONE, TYPED, features_sql, grid, readings_sql, six, split_sql
 from meterflow.operators import forecast as fc
 from meterflow.operators.boosting import TARGET_BITS, BoostConfig, BoostedTrees, fit_boosted, importance
 from meterflow.operators.eda import last_rows
@@ -85,13 +87,63 @@ def rounded_predictions(df: DataFrame) -> DataFrame:
     return df.withColumn("y_pred", six("y_pred"))
 
 
-@query("t3_additive_forecast")
+def descent_sql(name: str, problems: str, terms: int, sweeps: int, keys: str = "") -> str:
+    """``{name}``: weights after so many sweeps of coordinate descent over ``problems`` (keys, gram, cross, l1, l2), a term a step."""
+    k, on = (f"{keys}, ", f"USING ({keys})") if keys else ("", "ON TRUE")
+    return f"""{name}_steps AS (
+  SELECT {k}0 AS step, list_transform(range({terms}), lambda i: 0.0::DOUBLE) AS w FROM {problems}
+  UNION ALL
+  SELECT {k}step + 1, list_transform(w, lambda v, i: CASE WHEN i = step % {terms} + 1
+    THEN sign(pull) * greatest(abs(pull) - l1[i], 0.0::DOUBLE) / (gram[i][i] + l2[i]) ELSE v END)
+  FROM (SELECT *, cross_[step % {terms} + 1] - list_dot_product(gram[step % {terms} + 1], w) + gram[step % {terms} + 1][step % {terms} + 1] * w[step % {terms} + 1] AS pull
+        FROM {name}_steps JOIN {problems} {on}) WHERE step < {terms * sweeps}),
+{name} AS (SELECT * FROM {name}_steps WHERE step = {terms * sweeps})"""
+
+
+def products_sql(name: str, source: str, terms: int, keys: str = "") -> str:
+    """``{name}``: sums of products of the lists ``x`` of ``source``, as a list of lists."""
+    k = f"{keys}, " if keys else ""
+    by = f"GROUP BY {keys}" if keys else ""
+    return f"""{name}_cells AS (SELECT {k}i, j, sum(x[i] * x[j]) AS g FROM {source}, (SELECT unnest(range(1, {terms + 1})) AS i), (SELECT unnest(range(1, {terms + 1})) AS j)
+  GROUP BY ALL),
+{name} AS MATERIALIZED (SELECT {k}list(r ORDER BY i) AS m FROM (SELECT {k}i, list(g ORDER BY j) AS r FROM {name}_cells GROUP BY {k}i) {by})"""
+
+
+def additive_sql(keys: str = "", sweeps: int = 150) -> str:
+    """The default additive model by coordinate descent on its moments."""
+    model = fc.AdditiveModel()
+    lasso, ridge = model.shrinkage
+    n = len(lasso)
+    k, on = (f"{keys}, ", f"USING ({keys})") if keys else ("", "ON TRUE")
+    by = f"GROUP BY {keys}" if keys else ""
+    knots = [f"greatest(u - {model.change_range * j / model.changepoints!r}::DOUBLE, 0.0::DOUBLE)" for j in range(1, model.changepoints + 1)]
+    waves = [f"{fn}(t % {period!r}::DOUBLE * {2 * math.pi * c / period!r}::DOUBLE)" for period, order in ((86400.0, model.daily_order), (7 * 86400.0, model.weekly_order))
+             for c in range(1, order + 1) for fn in ("sin", "cos")]
+    y = '"Electricity_Consumed"'
+    numbers = lambda values: "[" + ", ".join(f"{v!r}::DOUBLE" for v in values) + "]"
+    return f"""WITH RECURSIVE {readings_sql(keys)}, {split_sql("readings", *FORECAST_SPLIT, keys=keys)},
+timed AS (SELECT *, epoch("Timestamp") AS t FROM parted),
+ranges AS (SELECT {k}min(t) AS t0, greatest(max(t) - min(t), 1.0) AS span FROM timed WHERE split = 'train' {by}),
+design AS MATERIALIZED (SELECT {k}"Timestamp", split, {y} AS y, [1.0::DOUBLE, u, {", ".join(knots + waves)}] AS x
+  FROM (SELECT timed.*, (t - t0) / span AS u FROM timed JOIN ranges {on})),
+moved AS (SELECT {k}list_append(x, y::DOUBLE) AS x FROM design WHERE split = 'train' AND y IS NOT NULL),
+{products_sql("products", "moved", n + 1, keys)},
+sized AS (SELECT {k}m, sqrt(m[{n + 1}][{n + 1}] / m[1][1]) AS size FROM products),
+problems AS MATERIALIZED (SELECT {k}size, list_transform(m[1:{n}], lambda r: r[1:{n}]) AS gram, list_transform(m[1:{n}], lambda r: r[{n + 1}] / size) AS cross_,
+    list_transform({numbers(lasso)}, lambda p: p * noise) AS l1, list_transform({numbers(ridge)}, lambda p: p * noise) AS l2
+  FROM (SELECT *, m[{n + 1}][{n + 1}] / m[1][1] / size ** 2 - (m[1][{n + 1}] / m[1][1] / size) ** 2 AS noise FROM sized)),
+{descent_sql("fitted", "problems", n, sweeps, keys)}
+SELECT {k}"Timestamp", y AS y_true, round(list_dot_product(x, w) * size, 6) AS y_pred
+FROM design JOIN problems {on} JOIN fitted {on} WHERE split = 'test'"""
+
+
+@query("t3_additive_forecast", additive_sql())
 def t3(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = materialize(forecast_split(grid(spark, sf_dir), ONE))
     return rounded_predictions(fc.additive_forecast(split, ONE))
 
 
-@query("t3_additive_forecast_by_type")
+@query("t3_additive_forecast_by_type", additive_sql("event_type"))
 def t3_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = materialize(forecast_split(grid(spark, sf_dir, TYPED), TYPED))
     return rounded_predictions(fc.additive_forecast(split, TYPED))
@@ -226,6 +278,36 @@ def t5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance(boosted_on_grid(spark, sf_dir, BoostConfig()).ledger(spark), fc.boosted_features(ONE.target))
 
 
+WINDOW, WINDOW_FEATURES = 3, (ONE.target, "Temperature", "hour")
+
+
+def window_sql(features: tuple[str, ...], length: int, penalty: float = 0.01, mix: float = 0.5, sweeps: int = 400) -> str:
+    """Window regression with every window written out, by coordinate descent on standardised moments."""
+    n = len(features) * length
+    lags = ", ".join(f'lag("{f}", {length - a}) OVER o::DOUBLE' for a in range(length) for f in features)
+    return f"""WITH RECURSIVE {features_sql()},
+laid AS (SELECT "Timestamp", row_idx, series_rows, "{features[0]}"::DOUBLE AS y, [{lags}] AS past FROM features WINDOW o AS (ORDER BY "Timestamp")),
+samples AS (SELECT * FROM laid WHERE row_idx >= {length}), {split_sql("samples", *FORECAST_SPLIT)},
+moved AS (SELECT list_concat(past, [y, 1.0::DOUBLE]) AS x FROM parted WHERE split = 'train'),
+{products_sql("products", "moved", n + 2)},
+centred AS (SELECT m, n, list_transform(m[1:{n + 1}], lambda r: r[{n + 2}] / n) AS mean FROM (SELECT *, m[{n + 2}][{n + 2}] AS n FROM products)),
+spreads AS (SELECT *, list_transform(range(1, {n + 2}), lambda i: sqrt((m[i][i] - n * mean[i] * mean[i]) / (n - 1))) AS s FROM centred),
+problems AS MATERIALIZED (SELECT mean, s,
+    list_transform(range(1, {n + 1}), lambda i: list_transform(range(1, {n + 1}), lambda j: (m[i][j] - n * mean[i] * mean[j]) / (s[i] * s[j]) / n)) AS gram,
+    list_transform(range(1, {n + 1}), lambda i: (m[i][{n + 1}] - n * mean[i] * mean[{n + 1}]) / (s[i] * s[{n + 1}]) / n) AS cross_,
+    list_transform(range({n}), lambda i: {penalty * mix!r}::DOUBLE / s[{n + 1}]) AS l1, list_transform(range({n}), lambda i: {penalty * (1 - mix)!r}::DOUBLE / s[{n + 1}]) AS l2
+  FROM spreads),
+{descent_sql("fitted", "problems", n, sweeps)},
+model AS (SELECT weights, mean[{n + 1}] - list_dot_product(weights, mean[1:{n}]) AS intercept
+  FROM (SELECT mean, list_transform(w, lambda v, i: v * s[{n + 1}] / s[i]) AS weights FROM fitted, problems))
+SELECT "Timestamp", y AS y_true, round(list_dot_product(past, weights) + intercept, 6) AS y_pred FROM parted, model WHERE split = 'test'"""
+
+
+@query("t6_window_regression_short", window_sql(WINDOW_FEATURES, WINDOW))
+def t6_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded_predictions(fc.window_regression_forecast(calendar_grid(spark, sf_dir), ONE, WINDOW_FEATURES, WINDOW))
+
+
 @query("t6_window_regression")
 def t6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded_predictions(fc.window_regression_forecast(calendar_grid(spark, sf_dir), ONE))

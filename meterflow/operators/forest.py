@@ -1,12 +1,15 @@
 """Isolation forest as a Spark job: bounded samples, trees built per group, vectorised scoring.
 
-Method: Liu, Ting and Zhou, "Isolation Forest" (2008). Every tree sees ``min(256, n)`` rows drawn
-by hashing row keys, so neither partitioning nor retries change the forest. The fitted forest has
-at most ``trees * 511`` nodes; like any fitted model it travels to the scoring tasks whole.
+Method: Liu, Ting and Zhou, "Isolation Forest" (2008). Every tree sees ``min(256, n)`` rows, and every draw is
+a digest: of a row's key for the sample, of (seed, tree, node) for a cut. So neither partitioning nor retries
+nor the order of rows change the forest, and SQL can grow the same one. Values are read at nine decimals, so the last bits of
+windowed sums decide no cut. The fitted forest has at most ``trees * 511`` nodes; like any fitted model it travels
+to the scoring tasks whole.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import sys
 from collections.abc import Iterator, Sequence
@@ -27,6 +30,9 @@ from meterflow.spec import DEFAULT_LAYOUT, Layout
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SAMPLE = 256
+#: Row draws are whole numbers below this prime, so that a tree number times a draw fits 64 bits.
+PRIME = (1 << 53) - 111
+DECIMALS = 9
 _EULER = 0.5772156649015329
 
 
@@ -38,17 +44,24 @@ def mean_path(n: np.ndarray) -> np.ndarray:
     return np.where(n > 2, long, np.where(n == 2, 1.0, 0.0))
 
 
+def digest_share(*parts: object) -> float:
+    """A number from 0 up to 1, the same for the same parts in any engine."""
+    return int(hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()[:13], 16) / (1 << 52)
+
+
+def _values(features: Sequence[str]) -> Column:
+    return F.array(*[F.round(F.col(c).cast("double"), DECIMALS) for c in features])
+
+
 @dataclass(frozen=True)
 class IsolationForest:
-    """Fitted trees as arrays of shape (trees, nodes); ``feature`` is -1 at a leaf."""
+    """Fitted trees as arrays of shape (trees, nodes): root 1, children 2n and 2n + 1; ``feature`` is -1 at a leaf."""
 
     features: tuple[str, ...]
     sample_size: int
     depth_limit: int
     feature: np.ndarray
     cut: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
     path: np.ndarray
 
     @property
@@ -63,11 +76,11 @@ class IsolationForest:
         """
         require_columns(df, list(self.features))
         counts = tuple(prefixes) or (self.trees,)
-        vector = F.array(*[F.col(c).cast("double") for c in self.features])
+        vector = _values(self.features)
         scale = float(mean_path(np.array([self.sample_size]))[0]) or 1.0
         # Plain arrays: executors need not have this package to read them.
         shared = df.sparkSession.sparkContext.broadcast(
-            (self.feature, self.cut, self.left, self.right, self.path, self.depth_limit, scale))
+            (self.feature, self.cut, self.path, self.depth_limit, scale))
 
         @F.pandas_udf("array<double>")
         def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -81,7 +94,7 @@ class IsolationForest:
 
 def _score_batch(batch: pd.Series, forest: tuple, counts: tuple[int, ...]) -> list:
     """Scores of the first k trees for every k in ``counts``; the trees advance level by level together."""
-    feature, cut, left, right, path, depth_limit, scale = forest
+    feature, cut, path, depth_limit, scale = forest
     known = batch.notna().to_numpy()
     result: list = [None] * len(batch)
     if not known.any():
@@ -89,11 +102,11 @@ def _score_batch(batch: pd.Series, forest: tuple, counts: tuple[int, ...]) -> li
     x = np.stack(batch[known].to_numpy())
     trees = np.arange(feature.shape[0])[None, :]
     rows = np.arange(len(x))[:, None]
-    node = np.zeros((len(x), feature.shape[0]), dtype=np.int64)
+    node = np.ones((len(x), feature.shape[0]), dtype=np.int64)
     for _ in range(depth_limit):
         f = feature[trees, node]
-        below = x[rows, np.maximum(f, 0)] <= cut[trees, node]
-        node = np.where(f >= 0, np.where(below, left[trees, node], right[trees, node]), node)
+        above = x[rows, np.maximum(f, 0)] > cut[trees, node]
+        node = np.where(f >= 0, 2 * node + above, node)
     total = np.cumsum(path[trees, node], axis=1)
     scored = np.stack([2.0 ** (-total[:, k - 1] / k / scale) for k in counts], axis=1)
     for place, values in zip(np.flatnonzero(known), scored, strict=True):
@@ -118,8 +131,8 @@ def fit_forest(
     """
     require_columns(df, [*features, *row_key])
     complete = df.dropna(subset=list(features)).select(
-        F.xxhash64(F.lit(seed), *[F.col(c) for c in row_key]).alias("_key"),
-        F.array(*[F.col(c).cast("double") for c in features]).alias("_x"))
+        F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in row_key]).cast("binary")).alias("_key"),
+        _values(features).alias("_x"))
     rows = complete.count()
     if rows == 0:
         raise ValueError("no complete rows to fit the forest on")
@@ -131,14 +144,13 @@ def fit_forest(
     dims, base_seed = len(features), seed
 
     def grow(key: tuple, rows_of_tree: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(rows_of_tree.sort_values("_rank")["_x"].to_numpy())
-        rng = np.random.default_rng([base_seed, int(key[0])])
-        nodes = _grow_tree(x, rng.choice(dims, per_tree, replace=False), limit, rng)
-        return nodes.assign(tree=int(key[0]))
+        tree = int(key[0])
+        order = sorted(range(dims), key=lambda f: (digest_share(base_seed, tree, f, "subset"), f))
+        nodes = _grow_tree(np.stack(rows_of_tree["_x"].to_numpy()), np.sort(order[:per_tree]), limit, base_seed, tree)
+        return nodes.assign(tree=tree)
 
-    schema = "tree int, node int, feature int, cut double, left int, right int, path double"
     # Bounded by trees * (2 * psi - 1) nodes.
-    nodes = sample.groupBy("_tree").applyInPandas(grow, schema).toPandas()
+    nodes = sample.groupBy("_tree").applyInPandas(grow, "tree int, node int, feature int, cut double, path double").toPandas()
     return _assemble(nodes, tuple(features), psi, limit, trees)
 
 
@@ -148,26 +160,27 @@ def _tree_samples(complete: DataFrame, rows: int, psi: int, trees: int) -> DataF
     A bound on the hash leaves about twice as many candidates a tree before they are ranked. It only saves
     work: should a tree have fewer than it needs, the bound is raised and the ranking done again.
     """
-    span, share = 1 << 40, min(1.0, (2 * psi + 64) / rows)
+    share = min(1.0, (2 * psi + 64) / rows)
+    number = lambda first: F.conv(F.substring("_key", first, 13), 16, 10).cast("long")
+    start, step = number(1), number(14)
     while True:
-        bound = F.lit(span if share >= 1 else int(share * span))
-        drawn = lambda t: F.pmod(F.xxhash64("_key", t), F.lit(span))
-        near = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: drawn(t) < bound)
-        dealt = complete.withColumn("_tree", F.explode(near)).withColumn("_draw", drawn(F.col("_tree")))
+        bound = PRIME if share >= 1 else int(share * PRIME)
+        trees_near = F.element_at(F.transform(F.array(F.struct(start.alias("a"), step.alias("b"))), lambda d: F.filter(
+            F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: (d["a"] + t * d["b"]) % PRIME < bound)), 1)
+        dealt = complete.withColumn("_tree", F.explode(trees_near)).withColumn("_draw", (start + F.col("_tree") * step) % PRIME)
         order = Window.partitionBy("_tree").orderBy("_draw", "_key", "_x")
         picked = materialize(dealt.withColumn("_rank", F.row_number().over(order) - 1).where(F.col("_rank") < psi)
-                             .select("_tree", "_rank", "_x"))
+                             .select("_tree", "_x"))
         if share >= 1 or picked.count() == trees * psi:
             return picked
         share = min(1.0, 4 * share)
 
 
-def _grow_tree(x: np.ndarray, allowed: np.ndarray, limit: int, rng: np.random.Generator) -> pd.DataFrame:
-    """Random axis-parallel cuts until points are alone, equal, or ``limit`` levels deep."""
+def _grow_tree(x: np.ndarray, allowed: np.ndarray, limit: int, seed: int, tree: int) -> pd.DataFrame:
+    """Axis-parallel cuts at drawn places until points are alone, equal, or ``limit`` levels deep."""
     extra = mean_path(np.arange(len(x) + 1))
-    seen = np.ascontiguousarray(x[:, allowed])
-    nodes: list[tuple] = [()]
-    waiting = [(0, seen, 0)]
+    nodes: list[tuple] = []
+    waiting = [(1, np.ascontiguousarray(x[:, allowed]), 0)]
     while waiting:
         node, block, depth = waiting.pop()
         varied = ()
@@ -175,31 +188,27 @@ def _grow_tree(x: np.ndarray, allowed: np.ndarray, limit: int, rng: np.random.Ge
             low, high = block.min(axis=0), block.max(axis=0)
             varied = np.flatnonzero(high > low)
         if not len(varied):
-            nodes[node] = (-1, 0.0, 0, 0, depth + extra[len(block)])
+            nodes.append((node, -1, 0.0, depth + extra[len(block)]))
             continue
-        pick = varied[rng.integers(len(varied))]
-        # Rounding may lift a draw to the upper end, which would leave one side empty.
-        cut = min(rng.uniform(low[pick], high[pick]), np.nextafter(high[pick], low[pick]))
+        pick = varied[int(digest_share(seed, tree, node, "feature") * len(varied))]
+        cut = low[pick] + digest_share(seed, tree, node, "cut") * (high[pick] - low[pick])
+        if cut >= high[pick]:  # rounding may lift a draw to the upper end, which would leave one side empty
+            cut = low[pick]
         below = block[:, pick] <= cut
-        left = len(nodes)
-        nodes += [(), ()]
-        nodes[node] = (allowed[pick], cut, left, left + 1, 0.0)
-        waiting += [(left, block[below], depth + 1), (left + 1, block[~below], depth + 1)]
-    table = pd.DataFrame(nodes, columns=["feature", "cut", "left", "right", "path"])
-    return table.assign(node=np.arange(len(table)))
+        nodes.append((node, allowed[pick], cut, 0.0))
+        waiting += [(2 * node, block[below], depth + 1), (2 * node + 1, block[~below], depth + 1)]
+    return pd.DataFrame(nodes, columns=["node", "feature", "cut", "path"])
 
 
 def _assemble(nodes: pd.DataFrame, features: tuple[str, ...], psi: int, limit: int, trees: int) -> IsolationForest:
-    width = int(nodes["node"].max()) + 1
     where = (nodes["tree"].to_numpy(), nodes["node"].to_numpy())
 
     def table(column: str, fill: float, kind: type) -> np.ndarray:
-        grid = np.full((trees, width), fill, dtype=kind)
+        grid = np.full((trees, 1 << (limit + 1)), fill, dtype=kind)
         grid[where] = nodes[column].to_numpy()
         return grid
 
-    return IsolationForest(features, psi, limit, table("feature", -1, np.int64), table("cut", 0.0, float),
-                           table("left", 0, np.int64), table("right", 0, np.int64), table("path", 0.0, float))
+    return IsolationForest(features, psi, limit, table("feature", -1, np.int64), table("cut", 0.0, float), table("path", 0.0, float))
 
 
 def contamination_offset(df: DataFrame, score: str, contamination: float,

@@ -128,6 +128,18 @@ def chunk_window(descending: bool = False) -> WindowSpec:
     return Window.partitionBy(CHUNK).orderBy(order)
 
 
+def with_halo(df: DataFrame, spec: SeriesSpec, back: int, layout: Layout = DEFAULT_LAYOUT) -> DataFrame:
+    """Numbered rows by chunk; the last ``back`` rows of a chunk are in the next one, too.
+
+    A row is at home in the chunk whose ``_no`` is ``chunk_number(layout, back)``.
+    """
+    size = chunk_size(layout, back)
+    home = chunk_number(layout, back)
+    handed_on = (F.col(ROW) % size >= size - back) & ((home + 1) * size < F.col(ROWS))
+    parts = F.when(handed_on, F.array(home, home + 1)).otherwise(F.array(home))
+    return df.select("*", F.explode(parts).alias("_n")).withColumn(CHUNK, chunk_key(spec, F.col("_n"))).drop("_n")
+
+
 def windowed(
     df: DataFrame,
     spec: SeriesSpec,
@@ -140,12 +152,8 @@ def windowed(
     ``columns`` maps a name to a function from the ordered window to a column. Rows must carry
     gap-free numbers from ``with_row_index``. All columns share one exchange and one sort.
     """
-    size = chunk_size(layout, back)
     home = chunk_number(layout, back)
-    handed_on = (F.col(ROW) % size >= size - back) & ((home + 1) * size < F.col(ROWS))
-    parts = F.when(handed_on, F.array(home, home + 1)).otherwise(F.array(home))
-    spread = (df.select("*", F.explode(parts).alias("_n"))
-              .withColumn(CHUNK, chunk_key(spec, F.col("_n"))).drop("_n"))
+    spread = with_halo(df, spec, back, layout)
     w = chunk_window()
     return (spread.withColumns({name: make(w) for name, make in columns.items()})
             .where(F.col(CHUNK)["_no"] == home)

@@ -92,7 +92,7 @@ def test_a_smaller_forest_is_the_start_of_a_larger_one(spark):
 
 def test_tree_samples_are_bounded_without_repeats(spark):
     for rows, trees in ((5000, 8), (700, 10), (40, 3)):
-        df = spark.range(rows).select(F.xxhash64("id").alias("_key"), F.array(F.col("id").cast("double")).alias("_x"))
+        df = spark.range(rows).select(F.md5(F.col("id").cast("string").cast("binary")).alias("_key"), F.array(F.col("id").cast("double")).alias("_x"))
         psi = min(SAMPLE, rows)
         per_tree = _tree_samples(df, rows, psi, trees).groupBy("_tree").agg(
             F.count("*").alias("n"), F.countDistinct("_x").alias("d")).collect()

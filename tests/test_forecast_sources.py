@@ -59,9 +59,70 @@ def test_additive_fit_equals_least_squares_per_series(spark):
                 cols += [np.sin(2 * np.pi * k * s / period), np.cos(2 * np.pi * k * s / period)]
         x = np.column_stack(cols)
         y = part[Y].to_numpy()
-        w = np.linalg.solve(x[:a].T @ x[:a] + np.diag(model.penalties), x[:a].T @ y[:a])
+        size = np.sqrt((y[:a] ** 2).mean())
+        noise = (y[:a] / size).var()
+        lasso, ridge = (noise * np.array(p) for p in model.shrinkage)
+        w = np.zeros(x.shape[1])
+        for _ in range(20_000):  # plain proximal steps
+            step = 1 / (np.linalg.eigvalsh(x[:a].T @ x[:a]).max() + ridge.max())
+            v = w - step * (x[:a].T @ (x[:a] @ w - y[:a] / size) + ridge * w)
+            w = np.sign(v) * np.maximum(np.abs(v) - step * lasso, 0)
+        w *= size
         mine = got[got["meter"] == meter].sort_values("Timestamp")["y_pred"]
-        np.testing.assert_allclose(mine, (x @ w)[b:], atol=1e-6)
+        np.testing.assert_allclose(mine, (x @ w)[b:], atol=1e-4)
+
+
+def test_shrunk_weights_are_optimal_and_sparse():
+    from meterflow.operators.shrinkage import optimality, shrunk_weights
+
+    rng = np.random.default_rng(8)
+    for trial in range(30):
+        x = rng.normal(size=(60, 12))
+        x[:, 5] = x[:, 4] + 1e-3 * rng.normal(size=60)
+        x[:, 7] = 0
+        y = 3 * x[:, 0] - 2 * x[:, 4] + rng.normal(size=60)
+        l1, l2 = np.full(12, 8.0 * (trial % 3)), np.full(12, 0.5 * (trial % 2))
+        l1[0] = 0
+        w = shrunk_weights(x.T @ x, x.T @ y, l1, l2)
+        assert optimality(x.T @ x, x.T @ y, l1, l2, w).max() < 1e-9 and w[7] == 0
+        if trial % 3 == 2:
+            assert (w == 0).sum() >= 3
+
+
+def test_additive_trend_change_is_found(spark):
+    frame = series(1500, 4, "a")
+    t = np.arange(1500)
+    frame[Y] = 20 + np.maximum(t - 500, 0) * 0.05 + np.random.default_rng(2).normal(0, 0.2, 1500)
+    split = split_rows(spark, frame, KEYED)
+    train = split.where("split = 'train'")
+    got = fc.additive_forecast(split, KEYED, layout=TINY).toPandas()
+    assert (got["y_pred"] - got["y_true"]).abs().mean() < 2 and train.count() == 1050
+
+
+def test_window_moments_equal_the_laid_out_windows(spark):
+    rng = np.random.default_rng(7)
+    for n, f, length, first, last in ((40, 3, 5, 5, 40), (30, 2, 1, 4, 20), (25, 1, 6, 6, 7)):
+        x = rng.normal(size=(n, f))
+        laid = np.array([[*x[j - length:j].ravel(), x[j, 0], 1.0] for j in range(first, last)])
+        np.testing.assert_allclose(fc._lagged_moments(x, first, last, length), laid.T @ laid, atol=1e-9)
+    frame = pd.concat([daily_wave(300).assign(meter="a"), daily_wave(220).assign(meter="b")])
+    df = to_spark(spark, frame)
+    samples = fc.window_samples(df, KEYED, [Y, "Temperature"], 4, TINY)
+    model = fc.window_regression_fit(samples, [Y, "Temperature"], 4, penalty=0.0)
+    rows, wanted = [], []
+    for _, part in frame.groupby("meter"):
+        x = part[[Y, "Temperature"]].to_numpy()
+        for i in range(int((len(x) - 4) * 0.7)):
+            rows.append([*x[i:i + 4].ravel(), 1.0])
+            wanted.append(x[i + 4, 0])
+    w = np.linalg.lstsq(np.array(rows), np.array(wanted), rcond=None)[0]
+    np.testing.assert_allclose([*model.weights.ravel(), model.intercept], w, atol=1e-8)
+    got = fc.window_regression_predict(samples, KEYED, model).toPandas()
+    assert len(got) == (296 - int(296 * 0.85)) + (216 - int(216 * 0.85))
+    part = frame[frame["meter"] == "b"].reset_index(drop=True)
+    row = got[got["meter"] == "b"].sort_values("Timestamp").iloc[-1]
+    at = part.index[part["Timestamp"] == row["Timestamp"]][0]
+    assert row["y_pred"] == pytest.approx(np.dot([*part[[Y, "Temperature"]].to_numpy()[at - 4:at].ravel(), 1.0], w))
 
 
 def daily_wave(n=480):
