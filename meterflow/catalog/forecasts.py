@@ -127,11 +127,13 @@ ranges AS (SELECT {k}min(t) AS t0, greatest(max(t) - min(t), 1.0) AS span FROM t
 design AS MATERIALIZED (SELECT {k}"Timestamp", split, {y} AS y, [1.0::DOUBLE, u, {", ".join(knots + waves)}] AS x
   FROM (SELECT timed.*, (t - t0) / span AS u FROM timed JOIN ranges {on})),
 moved AS (SELECT {k}list_append(x, y::DOUBLE) AS x FROM design WHERE split = 'train' AND y IS NOT NULL),
+neighbours AS (SELECT {k}avg(d * d) / 2 AS steps FROM (
+  SELECT {k}max({y}) - min({y}) AS d FROM parted WHERE split = 'train' AND {y} IS NOT NULL GROUP BY {k}row_idx // 2 HAVING count(*) = 2) {by}),
 {products_sql("products", "moved", n + 1, keys)},
 sized AS (SELECT {k}m, sqrt(m[{n + 1}][{n + 1}] / m[1][1]) AS size FROM products),
 problems AS MATERIALIZED (SELECT {k}size, list_transform(m[1:{n}], lambda r: r[1:{n}]) AS gram, list_transform(m[1:{n}], lambda r: r[{n + 1}] / size) AS cross_,
     list_transform({numbers(lasso)}, lambda p: p * noise) AS l1, list_transform({numbers(ridge)}, lambda p: p * noise) AS l2
-  FROM (SELECT *, m[{n + 1}][{n + 1}] / m[1][1] / size ** 2 - (m[1][{n + 1}] / m[1][1] / size) ** 2 AS noise FROM sized)),
+  FROM (SELECT sized.*, steps / size ** 2 AS noise FROM sized JOIN neighbours {on})),
 {descent_sql("fitted", "problems", n, sweeps, keys)}
 SELECT {k}"Timestamp", y AS y_true, round(list_dot_product(x, w) * size, 6) AS y_pred
 FROM design JOIN problems {on} JOIN fitted {on} WHERE split = 'test'"""

@@ -1,7 +1,8 @@
 """Penalised least squares from moment matrices: ``(1/2) w'Gw - c'w + sum l1 |w| + (1/2) sum l2 w^2``.
 
-Coordinate descent finds the signs; the weights that are not zero then solve one linear system, which makes the
-answer exact, and the optimality condition of every term tells whether it is.
+Feature-sign search: terms become active one at a time, where the optimality condition is violated most; for given signs the
+active weights solve one linear system, and a weight that would cross zero on the way there is dropped at the best of
+these crossings. The answer is exact, and the optimality condition of every term shows it.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from pyspark import cloudpickle
 # Task functions travel by value, so executors do not need this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Sweeps between two attempts to solve for the signs found, and attempts at most.
-SWEEPS, ATTEMPTS = 50, 200
+#: Linear systems solved at most for each term.
+SOLVES = 50
 
 
 def optimality(gram: np.ndarray, cross: np.ndarray, l1: np.ndarray, l2: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -25,22 +26,36 @@ def optimality(gram: np.ndarray, cross: np.ndarray, l1: np.ndarray, l2: np.ndarr
     return gap / (np.abs(gram) @ np.abs(weights) + np.abs(cross) + l1 + 1e-300)
 
 
-def shrunk_weights(gram: np.ndarray, cross: np.ndarray, l1: np.ndarray, l2: np.ndarray, tolerance: float = 1e-10) -> np.ndarray:
+def shrunk_weights(gram: np.ndarray, cross: np.ndarray, l1: np.ndarray, l2: np.ndarray, tolerance: float = 1e-11) -> np.ndarray:
     """The minimiser; terms without any variation get the weight 0."""
-    diagonal = np.diag(gram) + l2
-    live = np.flatnonzero(np.diag(gram) > 0)
-    weights = np.zeros(len(cross))
-    for _ in range(ATTEMPTS):
-        for _ in range(SWEEPS):
-            for j in live:
-                pull = cross[j] - gram[j] @ weights + gram[j, j] * weights[j]
-                weights[j] = np.sign(pull) * max(abs(pull) - l1[j], 0.0) / diagonal[j]
-        used = np.flatnonzero((weights != 0) | ((l1 == 0) & (np.diag(gram) > 0)))
-        exact = np.zeros(len(cross))
-        system = gram[np.ix_(used, used)] + np.diag(l2[used])
-        exact[used] = np.linalg.lstsq(system, cross[used] - l1[used] * np.sign(weights[used]), rcond=None)[0]
-        if (np.sign(exact[used]) == np.sign(weights[used]))[l1[used] > 0].all() and optimality(gram, cross, l1, l2, exact).max() < tolerance:
-            return exact
-        if optimality(gram, cross, l1, l2, weights).max() < tolerance:
-            return weights
+    system = gram + np.diag(l2)
+    live = np.diag(gram) > 0
+    free = live & (l1 == 0)
+    weights, signs, active = np.zeros(len(cross)), np.zeros(len(cross)), free.copy()
+
+    def cost(w: np.ndarray) -> float:
+        return float(w @ system @ w / 2 - cross @ w + l1 @ np.abs(w))
+
+    for _ in range(SOLVES * len(cross)):
+        used = np.flatnonzero(active)
+        goal = np.zeros(len(cross))
+        goal[used] = np.linalg.lstsq(system[np.ix_(used, used)], cross[used] - l1[used] * signs[used], rcond=None)[0]
+        crossing = np.flatnonzero((weights * goal < 0) & (l1 > 0))
+        places = [1.0, *(weights[crossing] / (weights[crossing] - goal[crossing])).tolist()]
+        costs = [cost(weights + p * (goal - weights)) for p in places]
+        best = int(np.argmin(costs))
+        weights = weights + places[best] * (goal - weights)
+        if best:
+            weights[crossing[best - 1]] = 0.0
+        settled = best == 0 and (np.sign(weights) == signs)[active & ~free].all()
+        active = free | (weights != 0)
+        signs = np.where(free, 0.0, np.sign(weights))
+        if not settled:
+            continue
+        slope = system @ weights - cross
+        excess = np.where(live & ~active, np.abs(slope) - l1, -np.inf)
+        worst = int(np.argmax(excess))
+        if excess[worst] <= tolerance * (np.abs(gram[worst]) @ np.abs(weights) + abs(cross[worst]) + l1[worst]):
+            break
+        active[worst], signs[worst] = True, -np.sign(slope[worst])
     return weights
