@@ -1,17 +1,20 @@
 """Exact similarity join of shingle sets by a prefix index with set-relation skipping.
 
 Equal sets are one class from the start. Every class puts the rarest ``n - ceil(t n) + 1`` of its shingles
-into an index; two sets with similarity ``t`` or more share one of them. An index list is ordered by size and
-position. Two relations let parts of it be skipped:
-
-* by position: the sizes of two sets and the places of their common prefix shingles bound their overlap, so
-  whole blocks of a list are passed over without looking at their sets;
+into an index, in one order for all sets; two sets with similarity ``t`` or more share one of them. Sets meet at the
+*first* shingle they share in that order, so all shingles before it are missing in the other set. What a set may
+still miss behind it is its *margin*, ``n (1 - t) / (1 + t)`` less the place of the shingle. Two relations let parts of
+the index be skipped:
+
+* by position: a list is cut into blocks by size and margin. Blocks whose margins add up to less than nothing never
+  meet. Two blocks that meet differ in less than the sum ``s`` of their margins' bounds behind the shingle; dealt by hash
+  into ``s`` parts, one part at least of the rests of two linked sets is the same. So large blocks meet only
+  where the digest of a part agrees, small ones set by set, whichever is fewer rows: never more than in
+  proportion to the entries of a list;
 * by answers: every set is first compared with the smallest set of each of its lists, the *pivot*. Jaccard
   distance is a metric, so what is known of the pivot answers for its followers: two sets linked with
   the same pivot are in one group already, and a set farther from the pivot than a follower's distance
   plus ``1 - t`` cannot link with that follower. Only what is left open is compared.
-
-Groups of thousands of near copies therefore cost one comparison a member, not all pairs.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -154,10 +158,7 @@ def _prefixes(tokens: np.ndarray, counts: np.ndarray, seed: int, width: int):
             parts, keys, sizes, positions = [], [], [], []
             for key, codes in sets:
                 p = prefix_length(len(codes))
-                if len(tokens):
-                    at = np.minimum(np.searchsorted(tokens, codes), len(tokens) - 1)
-                    rank = np.where(tokens[at] == codes, counts[at], 0)
-                    codes = codes[np.argsort(rank, kind="stable")] if rank.any() else codes
+                codes = _in_order(codes, tokens, counts)
                 parts.append(codes[:p])
                 keys.append(np.full(p, key, np.int64))
                 sizes.append(np.full(p, len(codes), np.int32))
@@ -170,6 +171,35 @@ def _prefixes(tokens: np.ndarray, counts: np.ndarray, seed: int, width: int):
     return run
 
 
+def _in_order(codes: np.ndarray, tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Codes by how often they were counted, then by value: the order of all sets."""
+    if len(tokens):
+        at = np.minimum(np.searchsorted(tokens, codes), len(tokens) - 1)
+        rank = np.where(tokens[at] == codes, counts[at], 0)
+        codes = codes[np.argsort(rank, kind="stable")] if rank.any() else codes
+    return codes
+
+
+def _part_digests(tokens: np.ndarray, counts: np.ndarray):
+    """For each wanted place of a set, the digests of the parts of the codes behind it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for grams, wants in zip(batch.column(1), batch.column(2).to_pylist()):
+                codes = _in_order(np.frombuffer(grams.as_buffer(), np.uint64), tokens, counts)
+                mixed = _mixed(codes + np.uint64(1))
+                lists = []
+                for want in wants:
+                    behind, parts = slice(want["pos"] + 1, None), np.uint64(want["parts"])
+                    sums = np.zeros(want["parts"], np.uint64)
+                    np.add.at(sums, codes[behind] % parts, mixed[behind])
+                    lists.append(_mixed(sums + np.arange(want["parts"], dtype=np.uint64) * _FACTORS[0] + _FACTORS[1]).view(np.int64).tolist())
+                found.append(lists)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.list_(pa.int64())))], ["key", "wants", "digests"])
+
+    return run
+
+
 def _codes(seed: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for sets in _distinct_sets(batches, seed, width):
@@ -208,23 +238,27 @@ class Shingled:
     seed: int
     width: int
 
+    def codes(self, keys: DataFrame) -> DataFrame:
+        """Stored key and codes (grams) of the sets of distinct ``keys``, made again from one text of each."""
+        first = F.min(F.struct("doc_id", "row")).alias("id")
+        rows = stored(self.sets.join(keys, "key").groupBy("key").agg(first).select("id"), "needed")
+        codes = stored(self.texts.join(_sent(rows), "id", "left_semi").select("text").mapInArrow(_codes(self.seed, self.width), "key long, grams binary"), "codes")
+        if codes.count() > codes.select("key").distinct().count():  # rows that repeat both id and text
+            codes = codes.dropDuplicates(["key"])
+        return codes
+
     def compared(self, pairs: DataFrame) -> DataFrame:
         """Exact overlaps of those pairs (a, b) of keys that may link: common, size_a, size_b.
 
         Pairs whose outlines rule a link out are left out. Sets are made again from one text of each key that remains.
         """
-        keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        keys = pairs.select(F.col("a").alias("key")).distinct().union(pairs.select(F.col("b").alias("key")).distinct()).distinct()
         outlines = stored(self.sets.join(_sent(stored(keys, "keys")), "key").groupBy("key").agg(
             F.first("outline").alias("o"), F.first("n_shingles").alias("n")), "outlines")
         first, second = (outlines.select(F.col("key").alias(c), F.col("o").alias(f"o{c}"), F.col("n").alias(f"n{c}")) for c in "ab")
         likely = pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "oa", "ob", "na", "nb")
         pairs = stored(likely.mapInArrow(_likely, "a long, b long"), "likely")
-        needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-        first = F.min(F.struct("doc_id", "row")).alias("id")
-        rows = stored(self.sets.join(needed, "key").groupBy("key").agg(first).select("id"), "needed")
-        codes = stored(self.texts.join(_sent(rows), "id", "left_semi").select("text").mapInArrow(_codes(self.seed, self.width), "key long, grams binary"), "codes")
-        if codes.count() > codes.select("key").distinct().count():  # rows that repeat both id and text
-            codes = codes.dropDuplicates(["key"])
+        codes = self.codes(pairs.select(F.col("a").alias("key")).distinct().union(pairs.select(F.col("b").alias("key")).distinct()).distinct())
         left, right = (codes.select(F.col("key").alias(c), F.col("grams").alias(f"g{c}")) for c in "ab")
         return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ga", "gb").mapInArrow(
             _overlaps, "a long, b long, common long, size_a long, size_b long")
@@ -263,6 +297,78 @@ def shingled(docs: DataFrame, key: str, text: str, width: int) -> Shingled:
     return Shingled(texts(docs, key, text).select(F.struct("doc_id", F.xxhash64("text").alias("row")).alias("id"), "text"), sets, seed, width)
 
 
+#: Share of a set's size that it and an equally large one may miss of each other.
+MISSES = (DENOMINATOR - NUMERATOR) / (DENOMINATOR + NUMERATOR)
+_ENTRY = ["block", "key", "size", "pos", "root", "pivot", "far", "margin"]
+
+
+def _bound(level: Column) -> Column:
+    """Whole number that the margins of a level stay below; level 0 has no margin at all."""
+    return F.when(level == 0, 0).otherwise(F.pow(F.lit(2.0), level - 1)).cast("long")
+
+
+def _placed(members: DataFrame) -> DataFrame:
+    """List entries under the sizes they may meet: their own bucket, and as smaller sets the next one; with margin and its level."""
+    margin = F.col("size") * F.lit(MISSES) - F.col("pos")
+    level = F.when(F.col("margin") < 0, 0).otherwise(F.floor(F.log2(F.greatest(F.col("margin"), F.lit(0.5)))) + 2).cast("int")
+    places = F.array(F.struct(F.col("bucket").alias("place"), F.lit(1).alias("own")), F.struct((F.col("bucket") + 1).alias("place"), F.lit(0).alias("own")))
+    return members.withColumn("margin", margin + 1e-9).withColumn("level", level).select("*", F.inline(places)).drop("bucket")
+
+
+def _blocks(entries: DataFrame) -> DataFrame:
+    """Pairs of blocks of a list that hold different groups and have room: block, token, place, levels and sides, parts, whether small."""
+    counts = entries.groupBy("token", "place", "own", "level").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    x, y = counts.where("own = 1").alias("x"), counts.alias("y")
+    met = x.join(y, ["token", "place"]).where(
+        ((F.col("y.own") == 0) | (F.col("x.level") <= F.col("y.level"))) & (F.col("x.level") + F.col("y.level") > 0)
+        & ~((F.col("x.lo") == F.col("x.hi")) & (F.col("y.lo") == F.col("y.hi")) & (F.col("x.lo") == F.col("y.lo"))))
+    alike = (F.col("y.own") == 1) & (F.col("x.level") == F.col("y.level"))
+    parts = _bound(F.col("x.level")) + _bound(F.col("y.level"))
+    rows = F.when(alike, F.col("x.n")).otherwise(F.col("x.n") + F.col("y.n"))
+    pairs = F.when(alike, F.col("x.n") * (F.col("x.n") - 1) / 2).otherwise(F.col("x.n") * F.col("y.n"))
+    return met.select(F.xxhash64("token", "place", "x.level", "y.own", "y.level").alias("block"), "token", "place", F.col("x.level").alias("level_x"),
+                      F.col("y.own").alias("own_y"), F.col("y.level").alias("level_y"), alike.alias("alike"), parts.alias("parts"),
+                      (pairs <= rows * parts).alias("small"))
+
+
+def _sides(entries: DataFrame, blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entries of either side of the block pairs, without those that have no room even with the other side's best."""
+    x = entries.where("own = 1").join(blocks.withColumnRenamed("level_x", "level"), ["token", "place", "level"])
+    y = entries.join(blocks.withColumnsRenamed({"level_y": "level", "own_y": "own"}), ["token", "place", "level", "own"])
+    room_x = F.col("margin") + _bound(F.col("level_y")) >= 0
+    room_y = F.col("margin") + _bound(F.col("level_x")) >= 0
+    return x.where(room_x).select(*_ENTRY, "alike", "parts"), y.where(room_y).select(*_ENTRY, "alike", "parts")
+
+
+def _meet(x: DataFrame, y: DataFrame, on: list[str]) -> DataFrame:
+    """Pairs (a < b) of entries of different groups with room behind the shared shingle that no pivot answers for."""
+    x, y = x.alias("x"), y.alias("y")
+    room = (F.least(F.col("x.size") - F.col("x.pos"), F.col("y.size") - F.col("y.pos")) >= _needed("x.size", "y.size"))
+    answered = F.coalesce((F.col("x.pivot") == F.col("y.pivot")) & (F.abs(F.col("x.far") - F.col("y.far")) > 1 - NUMERATOR / DENOMINATOR + 1e-9), F.lit(False))
+    once = ~F.col("x.alike") | (F.col("x.key") < F.col("y.key"))
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in on]
+    joined = x.join(y, reduce(Column.__and__, [*same, F.col("x.root") != F.col("y.root"), once, room, ~answered]))
+    return joined.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
+
+
+def _small_blocks(entries: DataFrame, blocks: DataFrame) -> DataFrame:
+    return _meet(*_sides(entries, blocks.where("small")), ["block"])
+
+
+def _large_blocks(made: Shingled, entries: DataFrame, blocks: DataFrame, tokens: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """Entries of large blocks meet where a part of what is behind the shared shingle has the same digest."""
+    x, y = _sides(entries, blocks.where("not small"))
+    both = x.withColumn("side", F.lit(0)).unionByName(y.where("not alike").withColumn("side", F.lit(1)))
+    wants = both.groupBy("key").agg(F.collect_list(F.struct("block", "pos", "parts", "side", "size", "root", "pivot", "far", "margin", "alike")).alias("wants"))
+    wants = stored(wants, "wants")
+    kind = wants.schema["wants"].dataType.elementType.simpleString()
+    digests = made.codes(wants.select("key")).join(wants, "key").mapInArrow(
+        _part_digests(tokens, counts), f"key long, wants array<{kind}>, digests array<array<long>>")
+    zipped = digests.select("key", F.inline(F.arrays_zip("wants", "digests"))).select("key", "wants.*", F.explode("digests").alias("digest"))
+    zipped = stored(zipped, "parts")
+    return _meet(zipped.where("side = 0"), zipped.where("alike or side = 1"), ["block", "digest"])
+
+
 def set_roots(made: Shingled) -> DataFrame:
     """Stored rows key, root: one for each distinct set; sets of one connected component share a root."""
     sets = made.sets
@@ -285,31 +391,19 @@ def set_roots(made: Shingled) -> DataFrame:
     links = known.where(_linked()).select("a", "b")
     groups = stored(components(links), "groups")
 
-    # second round: what the pivots do not answer
+    # second round: what the pivots do not answer, between sets of different groups that share a list
     group = _sent(groups.select(F.col("node").alias("key"), F.col("root")))
     followed = _sent(known.select(F.col("a").alias("pivot"), F.col("b").alias("key"), (1 - F.col("common") / _union()).alias("far")))
     members = (lists.select("token", "bucket", "key", "size", "pos", F.col("p.key").alias("pivot"))
                .join(group, "key", "left").withColumn("root", F.coalesce("root", "key"))
-               .join(_sent(groups.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))), "pivot", "left")
-               .withColumn("pivot_root", F.coalesce("pivot_root", "pivot"))
                .join(followed, ["pivot", "key"], "left")
                .withColumn("far", F.when(F.col("key") == F.col("pivot"), 0.0).otherwise(F.col("far"))))
     members = stored(members, "members")
-    limit = 1 - NUMERATOR / DENOMINATOR
-    x, y = members.alias("x"), members.alias("y")
-    room = _room("x.size", "x.pos", "y.size", "y.pos") >= _needed("x.size", "y.size")
-    answered = F.coalesce((F.col("x.pivot") == F.col("y.pivot")) & (F.abs(F.col("x.far") - F.col("y.far")) > limit + 1e-9), F.lit(False))
-    # only members outside their pivot's group, or in a list of several buckets, can have open pairs
-    open_x = F.col("x.root") != F.col("x.pivot_root")
-    same = (F.col("x.bucket") == F.col("y.bucket")) & open_x & ((F.col("y.root") == F.col("y.pivot_root")) | (F.col("x.key") < F.col("y.key")))
-    beside = F.col("x.bucket") + 1 == F.col("y.bucket")
-    joined = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & (same | beside) & room & ~answered)
-    shared = joined.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"),
-                           F.when(F.col("x.key") < F.col("y.key"), F.col("x.size")).otherwise(F.col("y.size")).alias("size_a"),
-                           F.when(F.col("x.key") < F.col("y.key"), F.col("y.size")).otherwise(F.col("x.size")).alias("size_b"),
-                           F.when(F.col("x.key") < F.col("y.key"), F.col("x.pos")).otherwise(F.col("y.pos")).alias("pos_a"),
-                           F.when(F.col("x.key") < F.col("y.key"), F.col("y.pos")).otherwise(F.col("x.pos")).alias("pos_b"))
-    more = made.compared(stored(_candidates(shared), "open-pairs")).where(_linked()).select("a", "b")
+    several = members.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
+    entries = stored(_placed(members.join(several, "token")), "entries")
+    blocks = stored(_blocks(entries), "blocks")
+    open_pairs = _small_blocks(entries, blocks).unionByName(_large_blocks(made, entries, blocks, tokens, counts)).distinct()
+    more = made.compared(stored(open_pairs, "open-pairs")).where(_linked()).select("a", "b")
     groups = components(stored(links.union(more), "links"))
 
     classes = sets.select("key").where("key is not null").distinct()
