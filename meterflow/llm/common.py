@@ -29,7 +29,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, keeps column pruning, survives lost executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.stored_at = path
+    return back
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing will read again."""
+    for df in tables:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def whole_rows(docs: DataFrame, **more: Column) -> DataFrame:
+    """All columns of a table in one struct ``row``, beside working columns: no name can clash. ``row.*`` gives the table back."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *(c.alias(name) for name, c in more.items()))
+
+
+#: Longest piece of text that a worker's cache keeps: with a bound on its entries, that bounds its bytes.
+CACHED = 64
 
 
 def ascii_lower(c: Column) -> Column:

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from meterflow.llm.common import stored, texts
 from meterflow.llm.licences import words
@@ -33,7 +34,7 @@ DIRECTIONS, ITEMS = 48, 200
 RARER, PAIRS = 0.5, 0.2
 #: Cosine of candidates; shares of an item's words: sure, enough with the answer, and of the answer itself.
 COSINE, SURE, ENOUGH, ANSWER = 0.5, 0.8, 0.6, 0.8
-#: Items with fewer words say too little and are not searched for.
+#: Items with fewer words say too little for a latent space: they are found word by word, exactly.
 LEAST_WORDS = 8
 #: Words of a benchmark at most: items and vocabulary are sent to every task.
 MOST_WORDS = 5_000_000
@@ -47,6 +48,7 @@ class Benchmark:
     codes: list[np.ndarray]
     answers: list[np.ndarray]
     vocabulary: dict[bytes, int] = field(default_factory=dict)
+    short: dict[int, dict[bytes, list[int]]] = field(default_factory=dict)  # words, codes, places of the items
 
     @property
     def size(self) -> int:
@@ -58,21 +60,40 @@ class Benchmark:
 
 
 def read_benchmark(benchmark: DataFrame, item: str = "item_id", text: str = "text", least_words: int = LEAST_WORDS) -> Benchmark:
-    """Distinct items of enough words. Null texts are empty. A benchmark of too many words is an error."""
+    """Distinct items, the short ones last. Null texts and texts without words are no items. A benchmark of too many words is an error."""
     rows = benchmark.select(F.col(f"`{item}`").alias("i"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
     size = rows.agg(F.sum(F.length("t"))).first()[0] or 0
     if size > MOST_WORDS * 8:
         raise ValueError(f"the benchmark has {size} characters; it is sent to every task and may have {MOST_WORDS * 8}")
     found = Benchmark([], [], [])
     code = found.vocabulary
-    for row in sorted(rows.distinct().collect(), key=lambda r: (r["i"] is None, r["i"] or 0, r["t"])):
-        tokens = words(row["t"])
+    kept = [(row, words(row["t"])) for row in sorted(rows.distinct().collect(), key=lambda r: (r["i"] is None, r["i"] or 0, r["t"]))]
+    for row, tokens in kept:
         if len(tokens) < least_words:
             continue
         sentences = [s for s in re.split(r"(?<=[.!?])\s+", row["t"]) if words(s)]
         found.items.append(row["i"])
         found.codes.append(np.array([code.setdefault(w, len(code) + 1) for w in tokens]))
         found.answers.append(np.array([code[w] for w in words(sentences[-1])]))
+    for row, tokens in kept:
+        if 0 < len(tokens) < least_words:
+            codes = np.array([code.setdefault(w, len(code) + 1) for w in tokens], np.int64).tobytes()
+            found.short.setdefault(len(tokens), {}).setdefault(codes, []).append(len(found.items))
+            found.items.append(row["i"])
+    return found
+
+
+def short_items(benchmark: Benchmark, codes: np.ndarray) -> dict[int, float]:
+    """The short items whose words stand one after another in a coded text."""
+    found = {}
+    codes = codes.astype(np.int64)
+    for n, items in benchmark.short.items():
+        if len(codes) < n:
+            continue
+        starts = np.flatnonzero(np.isin(codes[:len(codes) - n + 1], [np.frombuffer(c, np.int64)[0] for c in items]))
+        for at in starts.tolist():
+            for k in items.get(codes[at:at + n].tobytes(), ()):
+                found[k] = 1.0
     return found
 
 
@@ -329,14 +350,23 @@ class Searcher:
 def _searched(space: Space, bounds: tuple[float, ...], column: int):
     """(batch, items of each row) for batches whose text, or its codes, stand in ``column``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[dict[int, float]]]]:
-        searcher, get, kind = Searcher(space, *bounds), space.benchmark.vocabulary.get, space.benchmark.kind
+        known = space.benchmark
+        searcher, get, kind = Searcher(space, *bounds) if known.codes else None, known.vocabulary.get, known.kind
+
+        def search(chunk: list[np.ndarray]) -> list[dict[int, float]]:
+            found = searcher.search(chunk) if searcher else [{} for _ in chunk]
+            if known.short:
+                for own, codes in zip(found, chunk):
+                    own.update(short_items(known, codes))
+            return found
+
         for batch in batches:
             values = batch.column(column)
             if pa.types.is_binary(values.type):
                 coded = (np.frombuffer(v.as_buffer(), kind) for v in values)
             else:
                 coded = ((lambda t: np.fromiter(map(get, t, repeat(0)), kind, len(t)))(words(v.as_py() or "")) for v in values)
-            yield batch, [f for chunk in _chunks(coded) for f in searcher.search(chunk)]
+            yield batch, [f for chunk in _chunks(coded) for f in search(chunk)]
 
     return run
 
@@ -345,33 +375,38 @@ def find_items(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
                enough: float = ENOUGH, answer: float = ANSWER) -> DataFrame:
     """Per row: doc_id and the items it holds with the share of their words, by item.
 
-    Null and empty texts hold none. Repeated rows are searched each. An empty benchmark, or one of short items
-    only, is found nowhere; equal items are all reported.
+    Null and empty texts hold none. Whole texts are searched, however long, repeated rows each. An empty benchmark is found
+    nowhere; equal items are all reported. An empty table gives an empty result.
     """
     rows = texts(docs, key, text)
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, items array<struct<item_id:long,share:double>>"
-    kinds = pa.list_(pa.struct([("item_id", pa.int64()), ("share", pa.float64())]))
+    items = f"array<struct<item_id:{benchmark.schema['item_id'].dataType.simpleString()},share:double>>"
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, items {items}"
     known = read_benchmark(benchmark)
     if not known.items:
-        return rows.select("doc_id", F.array().cast("array<struct<item_id:long,share:double>>").alias("items"))
+        return rows.select("doc_id", F.array().cast(items).alias("items"))
     coded = coded_texts(rows, known)
     search = _searched(fit_space(coded, known), (cosine, sure, enough, answer), 1)
+    kinds = pa.list_(pa.struct([("item_id", to_arrow_type(benchmark.schema["item_id"].dataType)), ("share", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, found in search(batches):
-            items = [[{"item_id": known.items[k], "share": s} for k, s in sorted(f.items())] for f in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, kinds)], ["doc_id", "items"])
+            held = [[{"item_id": known.items[k], "share": s} for k, s in sorted(f.items())] for f in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, kinds)], ["doc_id", "items"])
 
     return coded.mapInArrow(run, schema)
 
 
 def without_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", cosine: float = COSINE, sure: float = SURE,
                   enough: float = ENOUGH, answer: float = ANSWER) -> DataFrame:
-    """The rows that hold no item, with their columns unchanged."""
+    """The rows that hold no item, with their columns unchanged.
+
+    Null and empty texts hold none and stay. Whole texts are searched, repeated rows each; an empty table stays empty, and an
+    empty benchmark leaves all rows.
+    """
     known = read_benchmark(benchmark)
     if not known.items:
         return docs
-    coded = coded_texts(texts(docs.withColumn("_none", F.lit(0)), "_none", text), known)
+    coded = coded_texts(docs.select(F.lit(0).alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text")), known)
     search = _searched(fit_space(coded, known), (cosine, sure, enough, answer), docs.columns.index(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

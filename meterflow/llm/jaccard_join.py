@@ -8,9 +8,8 @@ the index be skipped:
 
 * by position: a list is cut into blocks by size and margin. Blocks whose margins add up to less than nothing never
   meet. Two blocks that meet differ in less than the sum ``s`` of their margins' bounds behind the shingle; dealt by hash
-  into ``s`` parts, one part at least of the rests of two linked sets is the same. So large blocks meet only
-  where the digest of a part agrees, small ones set by set, whichever is fewer rows: never more than in
-  proportion to the entries of a list;
+  into ``s`` parts, one part at least of the rests of two linked sets is the same. So blocks of more than a few
+  sets meet only where the digest of a part agrees, and rows grow in proportion to the entries of a list;
 * by answers: every set is first compared with the smallest set of each of its lists, the *pivot*. Jaccard
   distance is a metric, so what is known of the pivot answers for its followers: two sets linked with
   the same pivot are in one group already, and a set farther from the pivot than a follower's distance
@@ -30,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import SPACES, stored, texts
+from meterflow.llm.common import CACHED, SPACES, forget, stored, texts, whole_rows
 from meterflow.llm.components import components
 
 WIDTH = 5
@@ -47,7 +46,9 @@ class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= 1_000_000:
             self.clear()
-        self[word] = code = xxhash.xxh3_64_intdigest(word)
+        code = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= CACHED:
+            self[word] = code
         return code
 
 
@@ -297,6 +298,8 @@ def shingled(docs: DataFrame, key: str, text: str, width: int) -> Shingled:
     return Shingled(texts(docs, key, text).select(F.struct("doc_id", F.xxhash64("text").alias("row")).alias("id"), "text"), sets, seed, width)
 
 
+#: Blocks of so many pairs an entry meet set by set, larger ones by digests of parts.
+SMALL = 4
 #: Share of a set's size that it and an equally large one may miss of each other.
 MISSES = (DENOMINATOR - NUMERATOR) / (DENOMINATOR + NUMERATOR)
 _ENTRY = ["block", "key", "size", "pos", "root", "pivot", "far", "margin"]
@@ -328,7 +331,7 @@ def _blocks(entries: DataFrame) -> DataFrame:
     pairs = F.when(alike, F.col("x.n") * (F.col("x.n") - 1) / 2).otherwise(F.col("x.n") * F.col("y.n"))
     return met.select(F.xxhash64("token", "place", "x.level", "y.own", "y.level").alias("block"), "token", "place", F.col("x.level").alias("level_x"),
                       F.col("y.own").alias("own_y"), F.col("y.level").alias("level_y"), alike.alias("alike"), parts.alias("parts"),
-                      (pairs <= rows * parts).alias("small"))
+                      (pairs <= SMALL * rows).alias("small"))
 
 
 def _sides(entries: DataFrame, blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -376,11 +379,13 @@ def set_roots(made: Shingled) -> DataFrame:
     # the bucket keeps sizes apart that cannot link with the smallest set of a list
     bucket = F.floor(F.log(F.col("size").cast("double")) / math.log(1.0001 * DENOMINATOR / NUMERATOR)).cast("int")
     index = made.texts.select("text").mapInArrow(_prefixes(tokens, counts, made.seed, made.width), "token long, key long, size int, pos int")
-    index = index.withColumn("bucket", bucket)
+    # both sides of the join need whole entries, so the index is made and dealt by token once; the rest stays in its partition
+    index = index.select("token", F.struct("key", "size", "pos").alias("entry")).repartition("token").distinct()
     often = index.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
-    lists = stored(index.join(often, "token").distinct(), "lists")
-    first = lists.groupBy("token", "bucket").agg(F.min(F.struct("size", "key", "pos")).alias("p"))
-    lists = stored(lists.join(first, ["token", "bucket"]), "pivoted")
+    plain = stored(index.join(often.hint("merge"), "token").select("token", "entry.*").withColumn("bucket", bucket), "lists")
+    first = plain.groupBy("token", "bucket").agg(F.min(F.struct("size", "key", "pos")).alias("p"))
+    lists = stored(plain.join(first, ["token", "bucket"]), "pivoted")
+    forget(plain)
 
     # first round: every set against those pivots of its lists that may link with it, judged by the lists they lead;
     # pairs that this passes over are left open, so nothing is lost
@@ -399,11 +404,14 @@ def set_roots(made: Shingled) -> DataFrame:
                .join(followed, ["pivot", "key"], "left")
                .withColumn("far", F.when(F.col("key") == F.col("pivot"), 0.0).otherwise(F.col("far"))))
     members = stored(members, "members")
+    forget(lists)
     several = members.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
     entries = stored(_placed(members.join(several, "token")), "entries")
     blocks = stored(_blocks(entries), "blocks")
     open_pairs = _small_blocks(entries, blocks).unionByName(_large_blocks(made, entries, blocks, tokens, counts)).distinct()
-    more = made.compared(stored(open_pairs, "open-pairs")).where(_linked()).select("a", "b")
+    open_pairs = stored(open_pairs, "open-pairs")
+    forget(members, entries, blocks)
+    more = made.compared(open_pairs).where(_linked()).select("a", "b")
     groups = components(stored(links.union(more), "links"))
 
     classes = sets.select("key").where("key is not null").distinct()
@@ -430,13 +438,14 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH) -> DataFrame:
     """The row with the smallest id of each group (its copies with one id and text count once), columns unchanged.
 
-    Rows without words are groups of their own and all stay.
+    Rows without words (null, empty, white space) are groups of their own and all stay. A null id stays only where all ids of
+    a group are null. An empty table stays empty; texts are compared whole; columns may have any name.
     """
     made = shingled(docs, key, text, width)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first")
     keepers = made.sets.select("doc_id", "row", "key").where("key is not null").join(set_roots(made), "key").groupBy("root").agg(first)
-    keepers = stored(keepers.select(F.struct(F.col("first.doc_id").alias("i"), F.col("first.row").alias("r")).alias("_kept")), "keepers")
+    keepers = stored(keepers.select(F.struct(F.col("first.doc_id").alias("i"), F.col("first.row").alias("r")).alias("kept")), "keepers")
     whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     worded = whole.rlike(f"[^{SPACES}]")
-    own = docs.where(worded).withColumn("_kept", F.struct(F.col(f"`{key}`").alias("i"), F.xxhash64(whole).alias("r")))
-    return own.join(keepers, "_kept", "left_semi").dropDuplicates(["_kept"]).drop("_kept").unionByName(docs.where(~worded))
+    own = whole_rows(docs.where(worded), kept=F.struct(F.col(f"`{key}`").alias("i"), F.xxhash64(whole).alias("r")))
+    return own.join(keepers, "kept", "left_semi").dropDuplicates(["kept"]).select("row.*").unionByName(docs.where(~worded))

@@ -32,9 +32,7 @@ WIDTH = 4096
 SENTENCE, ANYWHERE = 8, 256
 #: Tokens after which a stretch is planned.
 STRETCH = 1 << 18
-PIECE = "shard int, local_sequence long, offset long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-_KINDS = {"int": pa.int32(), "long": pa.int64()}
-_SCHEMA = pa.schema([(name, _KINDS[kind]) for name, kind in (c.split() for c in PIECE.split(", "))])
+PIECE = "shard int, local_sequence long, offset long, doc_id {key}, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 def cheapest_cuts(bounds: list[int], prices: list[int], width: int = WIDTH) -> tuple[list[float], list[int]]:
@@ -156,21 +154,25 @@ class _Packer:
 
 
 def _pack(path: str, end_id: int, width: int):
-    def batch(pieces: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*pieces), _SCHEMA.types)], schema=_SCHEMA)
+    names = [c.split()[0] for c in PIECE.split(", ")]
+
+    def batch(pieces: list[tuple], key: pa.DataType) -> pa.RecordBatch:
+        kinds = [pa.int32(), pa.int64(), pa.int64(), key, *[pa.int64()] * 4]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*pieces), kinds)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = WordEncoder(path), np.array([end_id], "<u4").tobytes()
         stops = sentence_tokens(encoder.pieces.words.tokenizer)
-        packer = _Packer(TaskContext.get().partitionId(), width)
+        packer, kind = _Packer(TaskContext.get().partitionId(), width), pa.null()
         for rows in batches:
+            kind = rows.column(0).type
             for key, text in zip(rows.column(0).to_pylist(), rows.column(1)):
                 ids = encoder.encode(text.as_py()) + end
                 packer.add(key, ids, sentence_ends(ids, stops))
                 if packer.size >= STRETCH and (pieces := packer.flush(False)):
-                    yield batch(pieces)
+                    yield batch(pieces, kind)
         if pieces := packer.flush(True):
-            yield batch(pieces)
+            yield batch(pieces, kind)
 
     return run
 
@@ -180,10 +182,11 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, width: int = WIDTH, key:
 
     Null and empty texts are documents of the end id alone. Rows with one key are documents of their own,
     in order of their text; a null key comes first. An empty table gives no piece. Sequences are numbered
-    without gaps in key order; every token lies in exactly one piece.
+    without gaps in key order; every token lies in exactly one piece. Keys may be of any type that has an order.
     """
     ordered = texts(docs, key, text).repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
-    pieces = stored(ordered.mapInArrow(_pack(tokenizer, end_id, width), PIECE), "pieces")
+    kind = ordered.schema["doc_id"].dataType.simpleString()
+    pieces = stored(ordered.mapInArrow(_pack(tokenizer, end_id, width), PIECE.format(key=kind)), "pieces")
     totals = pieces.groupBy("shard").agg((F.max("local_sequence") + 1).alias("total"))
     placed = pieces.join(F.broadcast(shard_starts(totals)), "shard")  # a row per write task
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens",

@@ -2,8 +2,13 @@
 
 Trusted positives are labelled good; everything without a label is unlabelled. With logistic loss the
 unbiased risk of a linear score g is  -prior * mean_P[g] + mean_U[log(1 + exp(g))], which is convex. Its
-part for negatives, mean_U[log(1 + exp(g))] - prior * mean_P[log(1 + exp(g))], must not fall below zero:
-where it does, the prior is lowered. Every Newton step sums gradient and curvature over all rows.
+part for negatives, mean_U[log(1 + exp(g))] - prior * mean_P[log(1 + exp(g))], stands for a mean loss and is clipped
+at zero: steps that only push it further below do not count, and fitting stops there. Every Newton step sums
+gradient and curvature over all rows.
+
+The class prior is estimated from scores alone: under a first model, the share of unlabelled rows above a
+score is at least the prior times the share of positives above it, so the least ratio of the two, taken where
+both shares are known well enough, bounds the prior from above and meets it where hardly a bad text scores so high.
 """
 
 from __future__ import annotations
@@ -27,6 +32,8 @@ HINGES = {
 #: From strong to weak.
 RIDGES = (0.1, 0.01, 1e-3)
 THRESHOLD = 0.3
+#: Prior of the first model, and bins of its scores.
+FIRST_PRIOR, BINS = 0.5, 512
 
 
 def _features(docs: DataFrame) -> DataFrame:
@@ -90,8 +97,14 @@ def _total(rows: DataFrame, weights: np.ndarray) -> np.ndarray:
 
 
 def _risk(total: np.ndarray, weights: np.ndarray, prior: float, penalty: np.ndarray) -> float:
+    """Risk with the negatives' part clipped at zero: log(1 + exp(-g)) is log(1 + exp(g)) - g."""
     d = len(weights)
-    return total[1] / total[0] - prior * total[4 + d:4 + 2 * d] @ weights / total[2] + 0.5 * penalty @ weights ** 2
+    positives = prior * (total[3] - total[4 + d:4 + 2 * d] @ weights) / total[2]
+    return positives + max(0.0, _negatives(total, prior)) + 0.5 * penalty @ weights ** 2
+
+
+def _negatives(total: np.ndarray, prior: float) -> float:
+    return total[1] / total[0] - prior * total[3] / total[2]
 
 
 def _descend(rows: DataFrame, weights: np.ndarray, total: np.ndarray, prior: float, ridge: float, rounds: int = 6) -> tuple[np.ndarray, np.ndarray]:
@@ -120,9 +133,8 @@ def _descend(rows: DataFrame, weights: np.ndarray, total: np.ndarray, prior: flo
 def fit(rows: DataFrame, prior: float, ridges: tuple[float, ...] = RIDGES) -> np.ndarray:
     """Weights of the least non-negative risk. ``rows``: positive, x.
 
-    The ridge is weakened step by step, each from the weights before. Where the negatives' part falls below
-    zero, the prior was too high for these rows: it is lowered to the largest one that keeps the part above zero,
-    and the step is taken again. If that does not help, the weights before are kept.
+    The ridge is weakened step by step, each from the weights before. Where the negatives' part of the risk would fall below
+    zero, the model fits its positives too closely for this prior: the weights before are kept.
     """
     d = 1 + sum(map(len, HINGES.values()))
     kept = np.zeros(d)
@@ -133,18 +145,38 @@ def fit(rows: DataFrame, prior: float, ridges: tuple[float, ...] = RIDGES) -> np
     total = _total(rows, kept)
     for ridge in ridges:
         weights, sums = _descend(rows, kept, total, prior, ridge)
-        for _ in range(3):
-            bound = sums[1] / sums[0] / (sums[3] / sums[2])
-            if prior <= bound:
-                break
-            prior = bound * (1 - 1e-3)
-            weights, sums = _descend(rows, weights, sums, prior, ridge)
-        else:
+        if _negatives(sums, prior) < 0:
             break
         kept, total = weights, sums
     return kept
 
 
+def _score(weights: np.ndarray) -> Column:
+    g = F.lit(float(weights[0]))
+    for i, value in enumerate(weights[1:], 1):
+        g = g + F.col("x")[i] * float(value)
+    return 1 / (1 + F.exp(-g))
+
+
+def estimated_prior(rows: DataFrame, weights: np.ndarray) -> float:
+    """Share of good rows among the unlabelled ones: the least ratio of tail shares, each of which counts for its sampling error.
+
+    Scores are counted in ``BINS`` bins, so at most twice as many rows reach the driver.
+    """
+    counts = np.zeros((2, BINS))
+    for r in rows.groupBy("positive", F.least(F.floor(_score(weights) * BINS), F.lit(BINS - 1)).alias("bin")).count().collect():
+        counts[int(r["positive"]), int(r["bin"])] = r["count"]
+    n = counts.sum(axis=1)
+    if not n.all():
+        return FIRST_PRIOR
+    tails = counts[:, ::-1].cumsum(axis=1) / n[:, None]
+    error = np.sqrt(np.log(40) / 2 / n).sum()  # of both tails, one in ten
+    seen = tails[1] > 0
+    bound = (tails[0][seen] + error) / tails[1][seen]
+    best = int(np.argmin(bound))
+    return float(np.clip(tails[0][seen][best] / tails[1][seen][best], 0.01, 0.99))
+
+
 def held_out(key: Column) -> Column:
     """Rows that training never sees a label of: checksum of the key's digits divisible by five."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -153,22 +185,16 @@ def held_out(key: Column) -> Column:
 def score_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Per row: held_out, score, predicted.
 
-    Labels of held-out keys are dropped before anything is learnt. The class prior is the share of good labels
-    among the others (one more of each assumed). Null and empty texts get the score of a text without words. A
-    key labelled both ways counts as not trusted; repeated rows are scored each. Without any trusted row or
-    any unlabelled one every score is one half.
+    Labels of held-out keys are dropped before anything is learnt; of the others only the good ones are used, the rest
+    counts as unlabelled. The class prior is estimated from the scores of a first model. Null and empty texts get the score
+    of a text without words. A key labelled both ways counts as not trusted; repeated rows are scored each. Without any
+    trusted row or any unlabelled one every score is one half.
     """
     rows = stored(_features(texts(docs, key, text)), "features")
     known = labels.select(F.col("doc_id"), F.col("quality").cast("int").alias("quality")).where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    share = known.agg(F.sum("quality").alias("good"), F.count("*").alias("n")).first()
-    prior = ((share["good"] or 0) + 1) / (share["n"] + 2)
     marked = rows.join(known, "doc_id", "left")
-    training = stored(marked.where(F.col("quality").isNull() | (F.col("quality") == 1))
-                      .select((F.col("quality") == 1).eqNullSafe(True).alias("positive"), "x"), "training")
-    weights = fit(training, prior)
-    g = F.lit(float(weights[0]))
-    for i, value in enumerate(weights[1:], 1):
-        g = g + F.col("x")[i] * float(value)
-    score = 1 / (1 + F.exp(-g))
+    training = stored(marked.select((F.col("quality") == 1).eqNullSafe(True).alias("positive"), "x"), "training")
+    weights = fit(training, estimated_prior(training, fit(training, FIRST_PRIOR)))
+    score = _score(weights)
     return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), (score >= threshold).cast("int").alias("predicted"))

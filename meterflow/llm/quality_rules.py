@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import SPACES, stored, texts
+from meterflow.llm.common import SPACES, stored, texts, whole_rows
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_marks", "n_lines", "n_short")
 
@@ -177,8 +177,10 @@ def quality_report(docs: DataFrame, rules: Sequence[Rule] = RULES, keep: float =
 def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, keep: float = KEEP, text: str = "text") -> DataFrame:
     """The rows that pass the base rules and whose posterior is high enough, with their columns unchanged.
 
-    Rows are stored with their measures: a filter pushed below the measuring would repeat it for every use.
+    Null, empty and very short texts fail the base rules; whole texts are measured, however long. Repeated rows are judged
+    each and share one verdict; an empty table stays empty; columns may have any name. Rows are stored with their
+    measures: a filter pushed below the measuring would repeat it for every use.
     """
-    rows = stored(measured(docs, text), "measured")
+    rows = stored(measured(whole_rows(docs, text=F.col(f"`{text}`"))).select("row", "_m"), "measured")
     model = estimate(counted(rows, rules), len(rules))
-    return rows.where(~base_failed() & (posterior(model, rules) >= keep)).drop("_m")
+    return rows.where(~base_failed() & (posterior(model, rules) >= keep)).select("row.*")

@@ -265,31 +265,34 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", bound
     return rows.mapInArrow(_scan(train(docs, text), bound), f"doc_id {kind}, spans array<struct<kind:string,start:long,end:long>>")
 
 
-def _mask(ratios: np.ndarray, bound: float, column: int, mask: str):
+def _mask(ratios: np.ndarray, bound: float, places: list[int], mask: str):
+    """Replaces the text at the first place and, if there is another, sets it to the new length where the text changes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            clean = []
-            for value in batch.column(column):
+            clean, changed = [], []
+            for value in batch.column(places[0]):
                 text = value.as_py()
                 spans = find(text, ratios, bound) if text else []
                 clean.append(redact(text, spans, mask) if spans else text)
-            yield batch.set_column(column, batch.schema.field(column), pa.array(clean, batch.schema.field(column).type))
+                changed.append(clean[-1] != text)
+            columns = [clean]
+            if len(places) > 1:
+                columns.append([len(t) if new else old for t, new, old in zip(clean, changed, batch.column(places[1]).to_pylist())])
+            for place, values in zip(places, columns):
+                batch = batch.set_column(place, batch.schema.field(place), pa.array(values, batch.schema.field(place).type))
+            yield batch
 
     return run
 
 
 def mask_secrets(docs: DataFrame, text: str = "text", bound: float = BOUND, mask: str = "[secret]", length: str | None = None) -> DataFrame:
-    """The same rows and columns with every span of ``text`` replaced; null texts stay null.
+    """The same rows and columns with every span of ``text`` replaced; null texts stay null and empty ones empty.
 
-    ``length`` names a column that is to hold the new length of the texts that were changed.
+    ``length`` names a column that is to hold the new length of the texts that were changed. Whole texts are masked,
+    however long; repeated rows each; an empty table stays empty. Other columns pass through, whatever their names.
     """
-    before = docs.withColumn("_before", F.col(f"`{text}`")) if length else docs
-    masked = before.mapInArrow(_mask(train(docs, text), bound, docs.columns.index(text), mask), before.schema)
-    if not length:
-        return masked
-    changed = ~F.col("_before").eqNullSafe(F.col(f"`{text}`"))
-    kind = docs.schema[length].dataType
-    return masked.withColumn(length, F.when(changed, F.length(F.col(f"`{text}`")).cast(kind)).otherwise(F.col(f"`{length}`"))).select(*docs.columns)
+    places = [docs.columns.index(c) for c in ([text, length] if length else [text])]
+    return docs.mapInArrow(_mask(train(docs, text), bound, places, mask), docs.schema)
 
 
 def secret_report(scanned: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import load_tokenizer, per_process, texts
+from meterflow.llm.common import CACHED, load_tokenizer, per_process, texts
 
 #: The byte-level vocabulary's pre-tokenizer pattern (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -64,7 +64,8 @@ class _Counts(dict):
                 rest.append(word)
         for word in rest:
             count += len(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        self[piece] = count
+        if len(piece) <= CACHED:
+            self[piece] = count
         return count
 
     def of(self, text: str) -> int:

@@ -12,26 +12,48 @@ import re
 
 import numpy as np
 
-from meterflow.llm.common import load_tokenizer, per_process
+from meterflow.llm.common import CACHED, load_tokenizer, per_process
 
 #: Characters for which lower-casing and composition are the same everywhere and work letter by letter.
 PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 #: The vocabulary's pre-tokenizer pattern, written out for plain lower-case characters.
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
-#: Entries a worker keeps; a full cache is emptied, which costs time but changes nothing.
+#: Entries of short pieces a worker keeps; a full cache is emptied, which costs time but changes nothing.
 PIECES, WORDS = 600_000, 900_000
+#: Words encoded in one call, and unknown pieces of a text from which on that is done.
+TOGETHER, FEW = 512, 4
 
 
 class _Words(dict):
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
+        vocabulary = tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def learn(self, words: list[str]) -> None:
+        """Encodes many words in one call: words never merge across blanks, and a word's last id closes it."""
+        for i in range(0, len(words), TOGETHER):
+            some = words[i:i + TOGETHER]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(some) or ends[-1] != len(ids):
+                continue  # a word without a closing id: each is encoded when it is met
+            if len(self) + len(some) > WORDS:
+                self.clear()
+            codes, first = ids.tobytes(), 0
+            for word, end in zip(some, (4 * ends).tolist()):
+                if len(word) <= CACHED:
+                    self[word] = codes[first:end]
+                first = end
 
     def __missing__(self, word):
         if len(self) >= WORDS:
             self.clear()
         ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        self[word] = ids
+        if len(word) <= CACHED:
+            self[word] = ids
         return ids
 
 
@@ -40,6 +62,10 @@ class _Pieces(dict):
         super().__init__({"": b""})
         self.words = _Words(tokenizer)
 
+    def learn(self, pieces: set[str]) -> None:
+        words = {w for piece in pieces if "<|" not in piece and len(piece) <= CACHED and PLAIN.fullmatch(piece) for w in PARTS.findall(piece.lower())}
+        self.words.learn([w for w in words if w not in self.words])
+
     def __missing__(self, piece):
         if len(self) >= PIECES:
             self.clear()
@@ -49,7 +75,8 @@ class _Pieces(dict):
             ids = b"".join([words[w] for w in PARTS.findall(piece.lower())])
         else:
             ids = np.array(self.words.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-        self[piece] = ids
+        if len(piece) <= CACHED:
+            self[piece] = ids
         return ids
 
 
@@ -61,4 +88,8 @@ class WordEncoder:
 
     def encode(self, text: str) -> bytes:
         flat = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
-        return b"".join(map(self.pieces.__getitem__, flat.split(" ")))
+        pieces = flat.split(" ")
+        fresh = {p for p in pieces if p not in self.pieces}
+        if len(fresh) > FEW:
+            self.pieces.learn(fresh)
+        return b"".join(map(self.pieces.__getitem__, pieces))

@@ -7,6 +7,7 @@ import sys
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from meterflow.llm import decontamination, jaccard_join
@@ -68,6 +69,42 @@ def _corpus():
     return [(1000 - i, t) for i, t in enumerate(texts)]
 
 
+def test_large_families_that_hardly_link(make):
+    """Many changed copies of one text, far from each other, a few of them near ones: large blocks meet by part digests."""
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(220)]
+    rows = []
+    for i in range(260):
+        words = base[:]
+        for _ in range(rng.choice([5, 6, 6, 6, 7])):
+            words[rng.randrange(220)] = f"x{i}y{rng.randrange(1000)}"
+        rows.append((i, " ".join(words)))
+        if i % 13 == 0:
+            words[rng.randrange(220)] = "near"
+            rows.append((1000 + i, " ".join(words)))
+    sets = {i: _shingles(t) for i, t in rows}
+    links = [(a, b) for a, b in itertools.combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert 20 <= len(links) < 4000
+    want = _roots(sets, links)
+    docs = make(rows)
+    assert {r.doc_id: r.component_id for r in jaccard_join.similar_groups(docs).collect()} == want
+
+
+def test_parts_of_linked_sets_agree():
+    rng = np.random.default_rng(5)
+    tokens, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+    for _ in range(200):
+        x = np.unique(rng.integers(0, 1 << 63, 200).astype(np.uint64))
+        lost = int(rng.integers(0, 8))
+        y = np.unique(np.concatenate([np.delete(x, rng.integers(60, len(x), lost)), rng.integers(1 << 62, 1 << 63, 3).astype(np.uint64)]))
+        parts = len(set(x.tolist()) ^ set(y.tolist())) + 1
+        first = next(c for c in x.tolist() if c in set(y.tolist()))
+        rows = [{"pos": v.tolist().index(first), "parts": parts} for v in (x, y)]
+        batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([x.tobytes(), y.tobytes()], pa.binary()), pa.array([[r] for r in rows])], ["key", "grams", "wants"])
+        a, b = next(iter(jaccard_join._part_digests(tokens, counts)(iter([batch])))).column(2).to_pylist()
+        assert set(a[0]) & set(b[0])
+
+
 def test_groups_equal_brute_force(make):
     rows = _corpus()
     sets = {i: _shingles(t) for i, t in rows}

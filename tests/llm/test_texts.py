@@ -283,3 +283,15 @@ def test_held_out_labels_change_nothing(spark, make):
 def test_posteriors_are_defined_for_every_pattern(text):
     model = quality_rules.estimate({}, len(quality_rules.RULES))
     assert 0 < model.posterior("2" * len(quality_rules.RULES)) < 1
+
+
+def test_class_prior_is_estimated_from_scores(spark):
+    rng = np.random.default_rng(3)
+    for share in (0.2, 0.5, 0.8):
+        good = rng.random(4000) < share
+        unlabelled = np.where(good, rng.uniform(0.4, 1.0, 4000), rng.uniform(0.0, 0.6, 4000))
+        rows = [(False, [1.0, float(v)]) for v in unlabelled] + [(True, [1.0, float(v)]) for v in rng.uniform(0.4, 1.0, 1500)]
+        table = spark.createDataFrame(rows, "positive boolean, x array<double>")
+        assert abs(quality_classifier.estimated_prior(table, np.array([-2.0, 4.0])) - share) < 0.05
+    only = spark.createDataFrame(rows[:50], "positive boolean, x array<double>")
+    assert quality_classifier.estimated_prior(only, np.zeros(2)) == quality_classifier.FIRST_PRIOR
