@@ -46,6 +46,12 @@ def whole_rows(docs: DataFrame, **more: Column) -> DataFrame:
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *(c.alias(name) for name, c in more.items()))
 
 
+def map_batches(docs: DataFrame, run: Callable) -> DataFrame:
+    """``run`` over Arrow batches of all columns; it keeps their number and types. Columns may have any name."""
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
+
+
 #: Longest piece of text that a worker's cache keeps: with a bound on its entries, that bounds its bytes.
 CACHED = 64
 

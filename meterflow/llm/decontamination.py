@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from meterflow.llm.common import stored, texts
+from meterflow.llm.common import map_batches, stored, texts
 from meterflow.llm.licences import words
 
 STEP = 8  # words of a block
@@ -413,7 +413,7 @@ def without_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", cos
         for batch, found in search(batches):
             yield batch.filter(pa.array([not f for f in found], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run)
 
 
 def contamination_report(found: DataFrame) -> DataFrame:

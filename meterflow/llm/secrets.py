@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import texts
+from meterflow.llm.common import map_batches, texts
 
 # Patterns of the contract, kinds in their order.
 KINDS = ("assign", "access", "hex", "random")
@@ -217,7 +217,7 @@ def train(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     At most two counts for each of 69 x 69 pairs reach the driver. An empty table gives the model of the fixed samples.
     """
-    rows = texts(docs.withColumn("_none", F.lit(0)), "_none", text).select("text")
+    rows = docs.select(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     fixed = np.stack([_counts(s) for s in fixed_samples()]).reshape(2, SIZE, SIZE).astype(float)
     counted = rows.mapInArrow(_train(log_ratios(fixed)), "label int, pair int, n long").groupBy("label", "pair").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros((2, SIZE, SIZE))
@@ -292,7 +292,7 @@ def mask_secrets(docs: DataFrame, text: str = "text", bound: float = BOUND, mask
     however long; repeated rows each; an empty table stays empty. Other columns pass through, whatever their names.
     """
     places = [docs.columns.index(c) for c in ([text, length] if length else [text])]
-    return docs.mapInArrow(_mask(train(docs, text), bound, places, mask), docs.schema)
+    return map_batches(docs, _mask(train(docs, text), bound, places, mask))
 
 
 def secret_report(scanned: DataFrame) -> DataFrame:
