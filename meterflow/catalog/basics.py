@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from meterflow.operators import features as ft
 from meterflow.operators import matrix as mx
 from meterflow.operators import quality as ql
 from meterflow.operators.ordering import with_row_index
+from meterflow.operators.ranges import features_between, write_ranged
 from meterflow.operators.splits import forecast_split, tuning_split
 from meterflow.session import materialize, scratch_path
 from meterflow.sources.readings import read_clean, read_readings
@@ -345,6 +348,28 @@ def f10_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.round("rolling_mean_24h", 4).alias("rolling_mean_24h"))
 
 
+RANGE = (dt.datetime(2024, 1, 15, 7, 0), dt.datetime(2024, 1, 17, 12, 30))
+_IN_RANGE = f""""Timestamp" >= TIMESTAMP '{RANGE[0]}' AND "Timestamp" < TIMESTAMP '{RANGE[1]}'"""
+
+
+def _ranged(spark: SparkSession, sf_dir: str, spec: SeriesSpec) -> str:
+    return write_ranged(readings(spark, sf_dir, spec), scratch_path(spark, "ranged"), spec)
+
+
+@query("f10_features_between", f"""WITH {features_sql()}
+SELECT {rounded_sql(ROLLING, ('Timestamp', 'hour', 'row_idx'))} FROM features WHERE {_IN_RANGE}""")
+def f10_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = features_between(spark, _ranged(spark, sf_dir, ONE), ONE, *RANGE, lambda df: ft.base_features(df, ONE))
+    return rounded(rows, TIMESTAMP, "hour", ROW, *ROLLING)
+
+
+@query("f10_features_between_by_type", f"""WITH {features_sql('event_type')}
+SELECT {rounded_sql(ROLLING, ('event_type', 'Timestamp', 'hour', 'row_idx'))} FROM features WHERE {_IN_RANGE}""")
+def f10_between_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = features_between(spark, _ranged(spark, sf_dir, TYPED), TYPED, *RANGE, lambda df: ft.base_features(df, TYPED))
+    return rounded(rows, "event_type", TIMESTAMP, "hour", ROW, *ROLLING)
+
+
 @query("f11_rolling_overlay", f"""WITH {grid_sql()}
 SELECT "Timestamp", "Electricity_Consumed", round(avg("Electricity_Consumed") OVER (
   ORDER BY "Timestamp" ROWS BETWEEN 47 PRECEDING AND CURRENT ROW), 6) AS rolling_overlay FROM grid""")
@@ -378,6 +403,13 @@ def f12_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type", TIMESTAMP, TARGET, *LAG_COLUMNS, ROW)
 
 
+@query("f12_lags_between", f"""WITH {lags_sql()}
+SELECT "Timestamp", "Electricity_Consumed", {", ".join(f'"{c}"' for c in LAG_COLUMNS)} FROM lags WHERE {_IN_RANGE}""")
+def f12_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = features_between(spark, _ranged(spark, sf_dir, ONE), ONE, *RANGE, lambda df: ft.supervised_lags(df, ONE))
+    return rows.select(TIMESTAMP, TARGET, *LAG_COLUMNS)
+
+
 @query("f13_sequences", f"""WITH {features_sql()},
 pairs AS (SELECT a."Timestamp", a.row_idx, a."Electricity_Consumed" AS next_target, b.row_idx - a.row_idx + 25 AS weight,
             b."Electricity_Consumed" AS y, b."Temperature" AS t, b.hour AS h

@@ -4,7 +4,7 @@ import pytest
 from helpers import ONE, series, to_spark
 from pyspark.sql import functions as F
 
-from meterflow.operators.density import density_noise, density_noise_grid
+from meterflow.operators.density import _Grid, density_noise, density_noise_grid
 from meterflow.operators.features import base_features
 from meterflow.operators.forest import SAMPLE, _tree_samples, contamination_offset, fit_forest, mean_path
 from meterflow.operators.matrix import MatrixScaler, evaluable_rows, model_matrix
@@ -150,3 +150,21 @@ def test_router(spark):
         dt.detect(df, ONE, "svm")
     with pytest.raises(ValueError, match="Unsupported profile"):
         dt.profile_flags(df, ONE, "other")
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_landmarks_prune_blocks_where_eps_spans_every_value(spark, metric):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(0, 1.5, (12, 14))
+    x = np.vstack([c + rng.normal(0, 0.08, (60, 14)) for c in centres] + [rng.normal(0, 1.5, (30, 14))])
+    eps = 1.2 if metric == "euclidean" else 4.0
+    names = [f"f{i}" for i in range(14)]
+    df = spark.createDataFrame(pd.DataFrame(x, columns=names).assign(id=range(len(x))))
+    layout = Layout(block_rows=16)
+    got = density_noise(df, names, eps, 6, metric, layout=layout).orderBy("id").toPandas()
+    assert got["is_anomaly"].tolist() == brute_noise(x, eps, 6, metric).tolist() and 0 < got["is_anomaly"].sum() < len(x)
+    grid = _Grid(names, [(eps, 6)], metric, layout)
+    points = grid._located(df.select(F.array(*names).alias("_x"), F.lit(1).cast("long").alias("_w"), F.col("id").alias("_id")))
+    left, right = grid._blocks(points.select("_id", "_x", "_y"), points.select("_id", "_x", "_y", "_w"), *grid._axes(points))
+    pairs = left.cogroup(right).applyInPandas(lambda q, c: pd.DataFrame({"n": [len(q) * len(c)]}), "n long").agg(F.sum("n")).first()[0]
+    assert len(x) <= pairs < 0.45 * len(x) ** 2

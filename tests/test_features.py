@@ -85,3 +85,25 @@ def test_series_do_not_leak_into_each_other(spark):
     frame = pd.concat([series(60, 1, "a"), series(60, 2, "b")])
     got = ft.add_rolling(to_spark(spark, frame), KEYED, TINY)
     assert got.where(F.col("rolling_mean_24h").isNull()).count() == 2 * 47
+
+
+def test_features_of_a_range_open_only_its_days_and_a_halo(spark, tmp_path):
+    import datetime as dt
+
+    from meterflow.operators.ranges import features_between, rows_between, write_ranged
+
+    frame = pd.concat([series(48 * 40, 1, "a"), series(48 * 40, 2, "b", drop=0.4), series(48 * 3, 3, "gone"), series(48 * 40, 4, "thin", drop=0.97)])
+    whole = ft.base_features(to_spark(spark, frame), KEYED)
+    path = write_ranged(to_spark(spark, frame), str(tmp_path / "t"), KEYED)
+    start, end = dt.datetime(2024, 1, 30, 6, 30), dt.datetime(2024, 2, 1, 3, 0)
+    got = features_between(spark, path, KEYED, start, end, lambda df: ft.base_features(df, KEYED)).toPandas()
+    want = whole.where((F.col("Timestamp") >= str(start)) & (F.col("Timestamp") < str(end))).toPandas()
+    order = ["meter", "Timestamp"]
+    pd.testing.assert_frame_equal(got.sort_values(order).reset_index(drop=True)[want.columns], want.sort_values(order).reset_index(drop=True), atol=1e-9)
+    dense = write_ranged(to_spark(spark, frame[frame["meter"] == "a"]), str(tmp_path / "d"), KEYED)
+    rows = rows_between(spark, dense, KEYED, start, end)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    days = {str(r[0]) for r in rows.select(F.to_date("Timestamp")).distinct().collect()}
+    assert "PartitionFilters: [isnotnull(date" in plan and days == {"2024-01-29", "2024-01-30", "2024-01-31", "2024-02-01"}
+    nothing = features_between(spark, path, KEYED, dt.datetime(2030, 1, 1), dt.datetime(2030, 1, 2), lambda df: ft.base_features(df, KEYED))
+    assert nothing.count() == 0
