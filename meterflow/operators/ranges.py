@@ -45,7 +45,7 @@ def _first_days(counts: DataFrame, spec: SeriesSpec, start: dt.datetime, end: dt
     # a day is read if it is in the range, or if the days between it and the range hold too few rows
     read = (F.col("date") >= F.lit(start.date())) | (F.col("_later") < back)
     return (days.where("_used").groupBy("_series")
-            .agg(F.min(F.when(read, F.col("date"))).alias("_day"), F.coalesce(F.sum(F.when(~read, F.col("rows"))), F.lit(0)).alias("_before"),
+            .agg(F.min(F.when(read, F.col("date"))).alias("_day"), F.coalesce(F.sum(F.when(~read, F.col("rows"))), F.lit(0)).alias("_skipped"),
                  F.first("_all").alias("_all"), F.sum(F.when(read & (F.col("date") <= F.lit(end.date())), F.col("rows"))).alias("_weight")))
 
 
@@ -60,8 +60,8 @@ def rows_between(spark: SparkSession, path: str, spec: SeriesSpec, start: dt.dat
     rows = spark.read.parquet(f"{path}/rows").where(F.col("date").between(F.lit(first), F.lit(end.date()))).where(F.col(spec.ts) < F.lit(end).cast("timestamp_ntz"))
     keyed = lookup(rows.withColumn("_series", F.struct(*spec.series, F.lit(0))), days, "_series", "_weight").where(F.col("date") >= F.col("_day"))
     numbered = with_row_index(keyed, spec, layout)
-    return (numbered.withColumns({ROW: F.col(ROW) + F.col("_before"), ROWS: F.col("_all")})
-            .drop("_series", "_day", "_before", "_all", "date"))
+    return (numbered.withColumns({ROW: F.col(ROW) + F.col("_skipped"), ROWS: F.col("_all")})
+            .drop("_series", "_day", "_skipped", "_all", "date"))
 
 
 def features_between(spark: SparkSession, path: str, spec: SeriesSpec, start: dt.datetime, end: dt.datetime, build: FeatureBuilder,
