@@ -41,14 +41,14 @@ def forget(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def whole_rows(docs: DataFrame, **more: Column) -> DataFrame:
-    """All columns of a table in one struct ``row``, beside working columns: no name can clash. ``row.*`` gives the table back."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *(c.alias(name) for name, c in more.items()))
+def plain_names(docs: DataFrame) -> DataFrame:
+    """The table with columns c0, c1 and so on, which no working column clashes with; ``toDF(*docs.columns)`` gives the names back."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
 
 
 def map_batches(docs: DataFrame, run: Callable) -> DataFrame:
     """``run`` over Arrow batches of all columns; it keeps their number and types. Columns may have any name."""
-    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    plain = plain_names(docs)
     return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 

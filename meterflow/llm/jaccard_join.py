@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import CACHED, SPACES, forget, stored, texts, whole_rows
+from meterflow.llm.common import CACHED, SPACES, forget, plain_names, stored, texts
 from meterflow.llm.components import components
 
 WIDTH = 5
@@ -445,7 +445,9 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first")
     keepers = made.sets.select("doc_id", "row", "key").where("key is not null").join(set_roots(made), "key").groupBy("root").agg(first)
     keepers = stored(keepers.select(F.struct(F.col("first.doc_id").alias("i"), F.col("first.row").alias("r")).alias("kept")), "keepers")
-    whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    plain, names = plain_names(docs), [f"c{docs.columns.index(c)}" for c in (key, text)]
+    whole = F.coalesce(F.col(names[1]).cast("string"), F.lit(""))
     worded = whole.rlike(f"[^{SPACES}]")
-    own = whole_rows(docs.where(worded), kept=F.struct(F.col(f"`{key}`").alias("i"), F.xxhash64(whole).alias("r")))
-    return own.join(keepers, "kept", "left_semi").dropDuplicates(["kept"]).select("row.*").unionByName(docs.where(~worded))
+    own = plain.where(worded).withColumn("kept", F.struct(F.col(names[0]).alias("i"), F.xxhash64(whole).alias("r")))
+    kept = own.join(keepers, "kept", "left_semi").dropDuplicates(["kept"]).drop("kept")
+    return kept.unionByName(plain.where(~worded)).toDF(*docs.columns)

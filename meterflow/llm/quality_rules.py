@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import SPACES, stored, texts, whole_rows
+from meterflow.llm.common import SPACES, plain_names, stored, texts
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_marks", "n_lines", "n_short")
 
@@ -181,6 +181,6 @@ def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, keep: float = KEEP
     each and share one verdict; an empty table stays empty; columns may have any name. Rows are stored with their
     measures: a filter pushed below the measuring would repeat it for every use.
     """
-    rows = stored(measured(whole_rows(docs, text=F.col(f"`{text}`"))).select("row", "_m"), "measured")
+    rows = stored(measured(plain_names(docs), f"c{docs.columns.index(text)}"), "measured")
     model = estimate(counted(rows, rules), len(rules))
-    return rows.where(~base_failed() & (posterior(model, rules) >= keep)).select("row.*")
+    return rows.where(~base_failed() & (posterior(model, rules) >= keep)).drop("_m").toDF(*docs.columns)
