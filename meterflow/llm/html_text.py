@@ -35,6 +35,8 @@ BOILERPLATE = _names("ad ads adv advert adverts advertisement advertising sponso
                      "newsletter subscribe subscription signup login search pagination pager widget widgets skip copyright")
 ROLES = _names("navigation banner contentinfo complementary search form menu menubar dialog alert toolbar")
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<""", re.S)
+#: Behind the last closing bracket no tag can end; the groups are there to be empty.
+_REST = re.compile(r"<!--.*|[^<]+|<|(?!)()()()()()()", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
 #: What follows these in a class name tells of a layout, not of the element itself.
@@ -162,9 +164,9 @@ class Page:
         self._stack.append((tag, skipped, containers, path, doubtful))
 
     def _read(self, source: str) -> None:
-        at, size = 0, len(source)
+        at, size, last = 0, len(source), source.rfind(">")
         while at < size:
-            m = _TOKEN.match(source, at)
+            m = (_TOKEN if at <= last else _REST).match(source, at)
             at = m.end()
             tag = m[2] or m[5]
             if tag is None:

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import time
 import zlib
 
 import numpy as np
@@ -295,3 +296,11 @@ def test_class_prior_is_estimated_from_scores(spark):
         assert abs(quality_classifier.estimated_prior(table, np.array([-2.0, 4.0])) - share) < 0.05
     only = spark.createDataFrame(rows[:50], "positive boolean, x array<double>")
     assert quality_classifier.estimated_prior(only, np.zeros(2)) == quality_classifier.FIRST_PRIOR
+
+
+def test_unfinished_tags_are_scanned_once():
+    start = time.perf_counter()
+    page = html_text.Page("<body><p>whole text</p>" + "<a " * 350_000)
+    assert time.perf_counter() - start < 8 and page.scores()
+    for tail in ("<!-- open <b", "<b", "a < b", "<", "x <!doctype"):
+        assert html_text.Page(f"<p>one</p>{tail}").scores()
