@@ -8,8 +8,8 @@ the index be skipped:
 
 * by position: a list is cut into blocks by size and margin. Blocks whose margins add up to less than nothing never
   meet. Two blocks that meet differ in less than the sum ``s`` of their margins' bounds behind the shingle; dealt by hash
-  into ``s`` parts, one part at least of the rests of two linked sets is the same. So blocks of more than a few
-  sets meet only where the digest of a part agrees, and rows grow in proportion to the entries of a list;
+  into ``s`` parts, one part at least of the rests of two linked sets is the same. So blocks meet where the
+  digest of a part agrees or, where that is fewer rows, set by set: rows never grow faster than the entries of a list;
 * by answers: every set is first compared with the smallest set of each of its lists, the *pivot*. Jaccard
   distance is a metric, so what is known of the pivot answers for its followers: two sets linked with
   the same pivot are in one group already, and a set farther from the pivot than a follower's distance
@@ -298,8 +298,6 @@ def shingled(docs: DataFrame, key: str, text: str, width: int) -> Shingled:
     return Shingled(texts(docs, key, text).select(F.struct("doc_id", F.xxhash64("text").alias("row")).alias("id"), "text"), sets, seed, width)
 
 
-#: Blocks of so many pairs an entry meet set by set, larger ones by digests of parts.
-SMALL = 4
 #: Share of a set's size that it and an equally large one may miss of each other.
 MISSES = (DENOMINATOR - NUMERATOR) / (DENOMINATOR + NUMERATOR)
 _ENTRY = ["block", "key", "size", "pos", "root", "pivot", "far", "margin"]
@@ -331,7 +329,7 @@ def _blocks(entries: DataFrame) -> DataFrame:
     pairs = F.when(alike, F.col("x.n") * (F.col("x.n") - 1) / 2).otherwise(F.col("x.n") * F.col("y.n"))
     return met.select(F.xxhash64("token", "place", "x.level", "y.own", "y.level").alias("block"), "token", "place", F.col("x.level").alias("level_x"),
                       F.col("y.own").alias("own_y"), F.col("y.level").alias("level_y"), alike.alias("alike"), parts.alias("parts"),
-                      (pairs <= SMALL * rows).alias("small"))
+                      (pairs <= rows * parts).alias("small"))
 
 
 def _sides(entries: DataFrame, blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
