@@ -7,9 +7,10 @@ still miss behind it is its *margin*, ``n (1 - t) / (1 + t)`` less the place of
 the index be skipped:
 
 * by position: a list is cut into blocks by size and margin. Blocks whose margins add up to less than nothing never
-  meet. Two blocks that meet differ in less than the sum ``s`` of their margins' bounds behind the shingle; dealt by hash
-  into ``s`` parts, one part at least of the rests of two linked sets is the same. So blocks meet where the
-  digest of a part agrees or, where that is fewer rows, set by set: rows never grow faster than the entries of a list;
+  meet. Two sets of a block differ in no more than twice its best margin behind the shingle; dealt by hash
+  into one part more than that, one part at least of the rests of two linked sets is the same. So large blocks meet where the
+  digest of a part agrees, small ones set by set. Sets that share one of their earliest long lists have met there and do not
+  meet again;
 * by answers: every set is first compared with the smallest set of each of its lists, the *pivot*. Jaccard
   distance is a metric, so what is known of the pivot answers for its followers: two sets linked with
   the same pivot are in one group already, and a set farther from the pivot than a follower's distance
@@ -43,10 +44,10 @@ _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
 
 
 class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: bytes) -> bytes:
         if len(self) >= 1_000_000:
             self.clear()
-        code = xxhash.xxh3_64_intdigest(word)
+        code = xxhash.xxh3_64_digest(word)
         if len(word) <= CACHED:
             self[word] = code
         return code
@@ -62,12 +63,15 @@ def shingle_set(text: str, hashes: dict, width: int = WIDTH) -> np.ndarray:
     words = text.encode("utf-8", "surrogatepass").translate(_TABLE).split()
     if not words:
         return np.empty(0, np.uint64)
-    codes = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    codes = np.frombuffer(b"".join(map(hashes.__getitem__, words)), np.uint64)
     n = max(1, len(codes) - width + 1)
-    total = np.full(n, len(words) if len(words) < width else width, np.uint64)
-    for k in range(min(width, len(words))):
-        total = _mixed(total + codes[k:k + n] * _FACTORS[k % 5] + np.uint64(k))
-    return np.unique(total)
+    total = codes[:n] + np.uint64(min(width, len(words)))
+    for k in range(1, min(width, len(words))):
+        total ^= total >> np.uint64(32)
+        total *= _FACTORS[k % 5]
+        total += codes[k:k + n]
+    total = np.sort(_mixed(total))
+    return total[np.concatenate([[True], total[1:] != total[:-1]])]
 
 
 def prefix_length(n: int) -> int:
@@ -298,101 +302,152 @@ def shingled(docs: DataFrame, key: str, text: str, width: int) -> Shingled:
     return Shingled(texts(docs, key, text).select(F.struct("doc_id", F.xxhash64("text").alias("row")).alias("id"), "text"), sets, seed, width)
 
 
+#: Entries of a list from which on it gets more pivots, and the share of their pairs that must link for yet another one.
+LONG, MANY_LINKS = 32, 0.4
 #: Share of a set's size that it and an equally large one may miss of each other.
 MISSES = (DENOMINATOR - NUMERATOR) / (DENOMINATOR + NUMERATOR)
-_ENTRY = ["block", "key", "size", "pos", "root", "pivot", "far", "margin"]
-
-
-def _bound(level: Column) -> Column:
-    """Whole number that the margins of a level stay below; level 0 has no margin at all."""
-    return F.when(level == 0, 0).otherwise(F.pow(F.lit(2.0), level - 1)).cast("long")
+#: Pairs that cost as much as one digest.
+DIGEST = 4
+#: Earliest long lists of a set that tell where it has met others, and kinds of these in a block up to which they are counted.
+HEADS, KINDS = 4, 256
 
 
 def _placed(members: DataFrame) -> DataFrame:
     """List entries under the sizes they may meet: their own bucket, and as smaller sets the next one; with margin and its level."""
     margin = F.col("size") * F.lit(MISSES) - F.col("pos")
-    level = F.when(F.col("margin") < 0, 0).otherwise(F.floor(F.log2(F.greatest(F.col("margin"), F.lit(0.5)))) + 2).cast("int")
+    level = F.when(F.col("margin") < 0, 0).otherwise(F.floor(F.log2(F.greatest(F.col("margin"), F.lit(1.0))) / 2) + 1).cast("int")
     places = F.array(F.struct(F.col("bucket").alias("place"), F.lit(1).alias("own")), F.struct((F.col("bucket") + 1).alias("place"), F.lit(0).alias("own")))
     return members.withColumn("margin", margin + 1e-9).withColumn("level", level).select("*", F.inline(places)).drop("bucket")
 
 
 def _blocks(entries: DataFrame) -> DataFrame:
-    """Pairs of blocks of a list that hold different groups and have room: block, token, place, levels and sides, parts, whether small."""
-    counts = entries.groupBy("token", "place", "own", "level").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    x, y = counts.where("own = 1").alias("x"), counts.alias("y")
-    met = x.join(y, ["token", "place"]).where(
-        ((F.col("y.own") == 0) | (F.col("x.level") <= F.col("y.level"))) & (F.col("x.level") + F.col("y.level") > 0)
-        & ~((F.col("x.lo") == F.col("x.hi")) & (F.col("y.lo") == F.col("y.hi")) & (F.col("x.lo") == F.col("y.lo"))))
-    alike = (F.col("y.own") == 1) & (F.col("x.level") == F.col("y.level"))
-    parts = _bound(F.col("x.level")) + _bound(F.col("y.level"))
-    rows = F.when(alike, F.col("x.n")).otherwise(F.col("x.n") + F.col("y.n"))
-    pairs = F.when(alike, F.col("x.n") * (F.col("x.n") - 1) / 2).otherwise(F.col("x.n") * F.col("y.n"))
-    return met.select(F.xxhash64("token", "place", "x.level", "y.own", "y.level").alias("block"), "token", "place", F.col("x.level").alias("level_x"),
-                      F.col("y.own").alias("own_y"), F.col("y.level").alias("level_y"), alike.alias("alike"), parts.alias("parts"),
-                      (pairs <= rows * parts).alias("small"))
-
-
-def _sides(entries: DataFrame, blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Entries of either side of the block pairs, without those that have no room even with the other side's best."""
-    x = entries.where("own = 1").join(blocks.withColumnRenamed("level_x", "level"), ["token", "place", "level"])
-    y = entries.join(blocks.withColumnsRenamed({"level_y": "level", "own_y": "own"}), ["token", "place", "level", "own"])
-    room_x = F.col("margin") + _bound(F.col("level_y")) >= 0
-    room_y = F.col("margin") + _bound(F.col("level_x")) >= 0
-    return x.where(room_x).select(*_ENTRY, "alike", "parts"), y.where(room_y).select(*_ENTRY, "alike", "parts")
-
-
-def _meet(x: DataFrame, y: DataFrame, on: list[str]) -> DataFrame:
+    """Blocks of a list that hold different groups: block, token, place, top, most, parts, whether small.
+
+    A block is one level of a list, its *top*, with all entries of that level and below that have room with the top's best margin (``most``).
+    Its pairs have an entry of the top and one of their own bucket on either side.
+    """
+    counts = entries.groupBy("token", "place", "level").agg(F.count("*").alias("n"), F.sum("own").alias("o"), F.max("margin").alias("most"),
+                                                            F.min("root").alias("lo"), F.max("root").alias("hi"))
+    x, y = counts.where("level > 0").alias("x"), counts.alias("y")
+    whole = x.join(y, ["token", "place"]).where("y.level <= x.level and y.most + x.most >= 0").groupBy("token", "place", F.col("x.level").alias("top")).agg(
+        F.first("x.most").alias("most"), F.first("x.n").alias("n"), F.first("x.o").alias("o"), F.sum("y.n").alias("all_n"), F.sum("y.o").alias("all_o"),
+        F.min("y.lo").alias("lo"), F.max("y.hi").alias("hi")).where("lo <> hi and all_o > 0")
+    n, o, all_n, all_o = (F.col(c).cast("double") for c in ("n", "o", "all_n", "all_o"))
+    pairs = (n * (n - 1) - (n - o) * (n - o - 1)) / 2 + n * (all_n - n) - (n - o) * (all_n - all_o - (n - o))
+    parts = F.floor(2 * F.col("most")).cast("int") + 1
+    return whole.where(pairs > 0).select(F.xxhash64("token", "place", "top").alias("block"), "token", "place", "top", "most", parts.alias("parts"),
+                                         (pairs <= DIGEST * all_n * parts).alias("small"))
+
+
+def _held(entries: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Entries of each block, without those that have no room even with the best of its top."""
+    return (entries.join(blocks, ["token", "place"]).where("level <= top and margin + most >= 0")
+            .select("block", "key", "size", "pos", "root", "pivot", "far", "own", (F.col("level") == F.col("top")).alias("top"), "parts"))
+
+
+def _meet(held: DataFrame, on: list[str], *more: Column) -> DataFrame:
     """Pairs (a < b) of entries of different groups with room behind the shared shingle that no pivot answers for."""
-    x, y = x.alias("x"), y.alias("y")
+    x, y = held.where("top").alias("x"), held.alias("y")
     room = (F.least(F.col("x.size") - F.col("x.pos"), F.col("y.size") - F.col("y.pos")) >= _needed("x.size", "y.size"))
     answered = F.coalesce((F.col("x.pivot") == F.col("y.pivot")) & (F.abs(F.col("x.far") - F.col("y.far")) > 1 - NUMERATOR / DENOMINATOR + 1e-9), F.lit(False))
-    once = ~F.col("x.alike") | (F.col("x.key") < F.col("y.key"))
+    once = (~F.col("y.top") | (F.col("x.key") < F.col("y.key"))) & (F.col("x.own") + F.col("y.own") > 0)
     same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in on]
-    joined = x.join(y, reduce(Column.__and__, [*same, F.col("x.root") != F.col("y.root"), once, room, ~answered]))
+    joined = x.join(y, reduce(Column.__and__, [*same, F.col("x.root") != F.col("y.root"), once, room, ~answered, *more]))
     return joined.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
 
 
 def _small_blocks(entries: DataFrame, blocks: DataFrame) -> DataFrame:
-    return _meet(*_sides(entries, blocks.where("small")), ["block"])
+    return _meet(_held(entries, blocks.where("small")), ["block"])
 
 
-def _large_blocks(made: Shingled, entries: DataFrame, blocks: DataFrame, tokens: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """Entries of large blocks meet where a part of what is behind the shared shingle has the same digest."""
-    x, y = _sides(entries, blocks.where("not small"))
-    both = x.withColumn("side", F.lit(0)).unionByName(y.where("not alike").withColumn("side", F.lit(1)))
-    wants = both.groupBy("key").agg(F.collect_list(F.struct("block", "pos", "parts", "side", "size", "root", "pivot", "far", "margin", "alike")).alias("wants"))
+def _large_blocks(made: Shingled, entries: DataFrame, blocks: DataFrame, long: DataFrame, tokens: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """Entries of large blocks meet where a part of what is behind the shared shingle has the same digest.
+
+    Two sets meet at the first shingle they share, so sets whose earliest long lists (``before``) have one in common have met already.
+    Entries that have met all others of their block are left out, and blocks with few pairs left meet set by set.
+    """
+    heads = long.groupBy("key").agg(F.slice(F.array_sort(F.collect_list(F.struct("pos", "token"))), 1, HEADS).alias("heads"))
+    before = F.transform(F.filter("heads", lambda h: h.pos < F.col("pos")), lambda h: h.token)
+    held = _held(entries, blocks.where("not small")).join(heads, "key", "left")
+    held = stored(held.withColumn("before", F.coalesce(before, F.array().cast("array<long>"))).drop("heads"), "held")
+    kinds = stored(held.groupBy("block", "before").agg(F.count("*").alias("n"), F.count_if("top").alias("t")), "kinds")
+    several = kinds.groupBy("block").agg(F.count("*").alias("kinds")).where(F.col("kinds") <= KINDS).select("block")
+    x, y = kinds.join(several, "block").alias("x"), kinds.alias("y")
+    apart = x.join(y, (F.col("x.block") == F.col("y.block")) & ~F.arrays_overlap("x.before", "y.before") & (F.col("x.t") + F.col("y.t") > 0))
+    apart = apart.groupBy("x.block", "x.before").agg(F.first("x.n").alias("n"), F.sum(F.col("x.t") * F.col("y.n")).alias("pairs"))
+    rest = kinds.join(several, "block", "left_anti").select("block", "before", "n", F.lit(None).cast("long").alias("pairs"))
+    left = stored(apart.select("block", "before", "n", "pairs").unionByName(rest), "apart")
+    total = left.groupBy("block").agg(F.sum("n").alias("rows"), F.sum("pairs").alias("pairs"))
+    held = held.join(_sent(left.select("block", "before")), ["block", "before"], "left_semi").join(_sent(stored(total, "totals")), "block")
+    few = F.coalesce(F.col("pairs") <= DIGEST * F.col("rows") * F.col("parts"), F.lit(False))
+    wants = held.where(~few).groupBy("key").agg(F.collect_list(F.struct("block", "pos", "parts", "size", "root", "pivot", "far", "own", "top", "before")).alias("wants"))
     wants = stored(wants, "wants")
     kind = wants.schema["wants"].dataType.elementType.simpleString()
     digests = made.codes(wants.select("key")).join(wants, "key").mapInArrow(
         _part_digests(tokens, counts), f"key long, wants array<{kind}>, digests array<array<long>>")
     zipped = digests.select("key", F.inline(F.arrays_zip("wants", "digests"))).select("key", "wants.*", F.explode("digests").alias("digest"))
-    zipped = stored(zipped, "parts")
-    return _meet(zipped.where("side = 0"), zipped.where("alike or side = 1"), ["block", "digest"])
+    apart = ~F.arrays_overlap("x.before", "y.before")
+    return _meet(stored(held.where(few), "few"), ["block"], apart).unionByName(_meet(stored(zipped, "parts"), ["block", "digest"], apart))
+
+
+def _bucket(shift: float = 0.0) -> Column:
+    """Sizes that cannot link with the smallest one of their bucket lie in other buckets."""
+    return F.floor(F.log(F.col("size").cast("double")) / math.log(1.0001 * DENOMINATOR / NUMERATOR) + shift).cast("int")
+
+
+def _long_lists(lists: DataFrame) -> DataFrame:
+    many = lists.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= LONG).select("token")
+    return stored(lists.select("token", "key", "size", "pos").join(_sent(stored(many, "long-tokens")), "token"), "long")
+
+
+def _turn(long: DataFrame, groups: DataFrame | None, turn: int) -> DataFrame:
+    """Stored pairs a, b of another pivot and of those sets of its lists that are of another group and may link with it.
+
+    The pivot comes from the largest group and is the same one for all lists that it is in, so there are few pairs; sizes are cut at other
+    places in every other turn.
+    """
+    rows = long.withColumn("root", F.col("key")).withColumn("many", F.lit(0))
+    if groups is not None:
+        many = groups.groupBy("root").agg((-F.count("*")).alias("many"))
+        group = _sent(stored(groups.select(F.col("node").alias("key"), "root").join(many, "root"), "grouped"))
+        rows = long.join(group, "key", "left").withColumn("root", F.coalesce("root", "key")).withColumn("many", F.coalesce("many", F.lit(0)))
+    rows = stored(rows.withColumn("bucket", _bucket(turn % 2 / 2)), "turn")
+    pivots = rows.groupBy("token", "bucket").agg(F.min(F.struct("many", F.xxhash64(F.lit(turn), "key").alias("order"), "key", "size", "pos", "root")).alias("p"))
+    star = rows.join(pivots, ["token", "bucket"]).where((F.col("root") != F.col("p.root")) & (_room("p.size", "p.pos", "size", "pos") >= _needed("p.size", "size")))
+    return stored(star.select(F.col("p.key").alias("a"), F.col("key").alias("b")).distinct(), "turn-pairs")
 
 
 def set_roots(made: Shingled) -> DataFrame:
     """Stored rows key, root: one for each distinct set; sets of one connected component share a root."""
     sets = made.sets
     tokens, counts = frequent(sets)
-    # the bucket keeps sizes apart that cannot link with the smallest set of a list
-    bucket = F.floor(F.log(F.col("size").cast("double")) / math.log(1.0001 * DENOMINATOR / NUMERATOR)).cast("int")
     index = made.texts.select("text").mapInArrow(_prefixes(tokens, counts, made.seed, made.width), "token long, key long, size int, pos int")
     # both sides of the join need whole entries, so the index is made and dealt by token once; the rest stays in its partition
     index = index.select("token", F.struct("key", "size", "pos").alias("entry")).repartition("token").distinct()
     often = index.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
-    plain = stored(index.join(often.hint("merge"), "token").select("token", "entry.*").withColumn("bucket", bucket), "lists")
+    plain = stored(index.join(often.hint("merge"), "token").select("token", "entry.*").withColumn("bucket", _bucket()), "lists")
     first = plain.groupBy("token", "bucket").agg(F.min(F.struct("size", "key", "pos")).alias("p"))
     lists = stored(plain.join(first, ["token", "bucket"]), "pivoted")
-    forget(plain)
 
     # first round: every set against those pivots of its lists that may link with it, judged by the lists they lead;
     # pairs that this passes over are left open, so nothing is lost
     star = lists.where((F.col("key") != F.col("p.key")) & (_room("p.size", "p.pos", "size", "pos") >= _needed("p.size", "size")))
     star = star.select(F.col("p.key").alias("a"), F.col("key").alias("b"), F.col("p.size").alias("size_a"), F.col("size").alias("size_b"),
                        F.col("p.pos").alias("pos_a"), F.col("pos").alias("pos_b"))
-    known = stored(made.compared(stored(_candidates(star), "star-pairs")), "star-overlaps")
+    # the smallest set of a long list may be a cut-off copy that few others link with, so these get another pivot, and more while those link with many
+    long = _long_lists(plain)
+    pairs = _turn(long, None, 0)
+    known = stored(made.compared(stored(_candidates(star).union(pairs).distinct(), "star-pairs")), "star-overlaps")
     links = known.where(_linked()).select("a", "b")
     groups = stored(components(links), "groups")
+    forget(plain)
+    turn, found = 0, links.join(pairs, ["a", "b"], "left_semi").count()
+    while found and found >= MANY_LINKS * pairs.count():
+        turn += 1
+        pairs = _turn(long, groups, turn)
+        links = stored(made.compared(pairs).where(_linked()).select("a", "b"), "turn-links")
+        groups = stored(components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)), "groups")
+        found = links.count()
 
     # second round: what the pivots do not answer, between sets of different groups that share a list
     group = _sent(groups.select(F.col("node").alias("key"), F.col("root")))
@@ -406,11 +461,11 @@ def set_roots(made: Shingled) -> DataFrame:
     several = members.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
     entries = stored(_placed(members.join(several, "token")), "entries")
     blocks = stored(_blocks(entries), "blocks")
-    open_pairs = _small_blocks(entries, blocks).unionByName(_large_blocks(made, entries, blocks, tokens, counts)).distinct()
+    open_pairs = _small_blocks(entries, blocks).unionByName(_large_blocks(made, entries, blocks, long, tokens, counts)).distinct()
     open_pairs = stored(open_pairs, "open-pairs")
     forget(members, entries, blocks)
     more = made.compared(open_pairs).where(_linked()).select("a", "b")
-    groups = components(stored(links.union(more), "links"))
+    groups = components(stored(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more), "links"))
 
     classes = sets.select("key").where("key is not null").distinct()
     return stored(classes.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key")), "classes")

@@ -90,6 +90,39 @@ def test_large_families_that_hardly_link(make):
     assert {r.doc_id: r.component_id for r in jaccard_join.similar_groups(docs).collect()} == want
 
 
+def _near_copies(n, seed):
+    """Copies of one text with few or many changed words: most link with some others, few with the smallest one."""
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(150)]
+    rows = []
+    for i in range(n):
+        words = base[:]
+        for _ in range(rng.choice([0, 1, 2, 2, 3, 3, 4, 5, 6])):
+            words[rng.randrange(150)] = f"x{i}y{rng.randrange(1000)}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("bounds", [{}, {"DIGEST": 0, "LONG": 4}, {"DIGEST": 0, "KINDS": 0, "LONG": 4}, {"MANY_LINKS": 0.01, "LONG": 4, "HEADS": 1}])
+def test_near_copies_meet_once(make, monkeypatch, bounds):
+    """Digests stay few for a family of near copies, and no bound of speed changes a group."""
+    for name, value in bounds.items():
+        monkeypatch.setattr(jaccard_join, name, value)
+    made, write = {}, jaccard_join.stored
+
+    def stored(df, name):
+        made[name] = write(df, name)
+        return made[name]
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    rows = _near_copies(500, 3)
+    sets = {i: _shingles(t) for i, t in rows}
+    want = _roots(sets, [(a, b) for a, b in itertools.combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])])
+    assert len(set(want.values())) > 50
+    assert {r.doc_id: r.component_id for r in jaccard_join.similar_groups(make(rows).repartition(5)).collect()} == want
+    if not bounds:
+        assert made["parts"].count() <= 60 * len(rows)
+
+
 def test_parts_of_linked_sets_agree():
     rng = np.random.default_rng(5)
     tokens, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
