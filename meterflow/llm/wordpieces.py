@@ -2,15 +2,14 @@
 
 The vocabulary's normaliser and pre-tokenizer never look across white space, so a text's ids are the
 ids of its pieces between blanks, line feeds, tabs and carriage returns. A piece of plain characters
-is taken apart by the pre-tokenizer's own pattern, and every part is encoded by the library once per
-worker process; any other piece goes to the library as it stands.
+is taken apart by the pre-tokenizer's own pattern, and every part, spelled as the vocabulary spells bytes, goes
+to the library's merge model once per worker process; any other piece goes to the library as it stands.
 """
 
 from __future__ import annotations
 
 import re
-
-import numpy as np
+from struct import pack
 
 from meterflow.llm.common import CACHED, load_tokenizer, per_process
 
@@ -20,38 +19,24 @@ PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 #: Entries of short pieces a worker keeps; a full cache is emptied, which costs time but changes nothing.
 PIECES, WORDS = 600_000, 900_000
-#: Words encoded in one call, and unknown pieces of a text from which on that is done.
-TOGETHER, FEW = 512, 4
+#: The vocabulary spells bytes that are no visible Latin-1 characters by the characters from 256 on, in their order.
+BYTES = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
+
+
+def pack_ids(ids: list[int]) -> bytes:
+    return pack(f"<{len(ids)}I", *ids)
 
 
 class _Words(dict):
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
-        vocabulary = tokenizer.get_vocab()
-        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-
-    def learn(self, words: list[str]) -> None:
-        """Encodes many words in one call: words never merge across blanks, and a word's last id closes it."""
-        for i in range(0, len(words), TOGETHER):
-            some = words[i:i + TOGETHER]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) != len(some) or ends[-1] != len(ids):
-                continue  # a word without a closing id: each is encoded when it is met
-            if len(self) + len(some) > WORDS:
-                self.clear()
-            codes, first = ids.tobytes(), 0
-            for word, end in zip(some, (4 * ends).tolist()):
-                if len(word) <= CACHED:
-                    self[word] = codes[first:end]
-                first = end
+        self.tokenizer, self.model = tokenizer, tokenizer.model
 
     def __missing__(self, word):
         if len(self) >= WORDS:
             self.clear()
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        spelled = word if word.isascii() else word.encode().decode("latin-1").translate(BYTES)
+        ids = pack_ids([token.id for token in self.model.tokenize(spelled)])
         if len(word) <= CACHED:
             self[word] = ids
         return ids
@@ -62,19 +47,15 @@ class _Pieces(dict):
         super().__init__({"": b""})
         self.words = _Words(tokenizer)
 
-    def learn(self, pieces: set[str]) -> None:
-        words = {w for piece in pieces if "<|" not in piece and len(piece) <= CACHED and PLAIN.fullmatch(piece) for w in PARTS.findall(piece.lower())}
-        self.words.learn([w for w in words if w not in self.words])
-
     def __missing__(self, piece):
         if len(self) >= PIECES:
             self.clear()
             self[""] = b""
+        words = self.words
         if "<|" not in piece and PLAIN.fullmatch(piece):
-            words = self.words
             ids = b"".join([words[w] for w in PARTS.findall(piece.lower())])
         else:
-            ids = np.array(self.words.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+            ids = pack_ids(words.tokenizer.encode(piece, add_special_tokens=False).ids)
         if len(piece) <= CACHED:
             self[piece] = ids
         return ids
@@ -87,9 +68,10 @@ class WordEncoder:
         self.pieces = per_process(f"pieces {path}", lambda: _Pieces(load_tokenizer(path)))
 
     def encode(self, text: str) -> bytes:
+        known = self.pieces
         flat = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
         pieces = flat.split(" ")
-        fresh = {p for p in pieces if p not in self.pieces}
-        if len(fresh) > FEW:
-            self.pieces.learn(fresh)
-        return b"".join(map(self.pieces.__getitem__, pieces))
+        found = [*map(known.get, pieces)]
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            found[i] = known[pieces[i]]
+        return b"".join(found)

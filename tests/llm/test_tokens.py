@@ -136,3 +136,27 @@ def test_queue_finds_the_cheapest_packing(steps):
 def test_documents_are_kept_whole_where_that_costs_nothing():
     assert packing.windows([8, 16, 24, 32], [0, 0, 0, 0], True, 16) == [16, 32]
     assert packing.windows([5, 12, 16, 30], [0, 0, 8, 0], True, 16) == [16, 24, 28, 30]
+
+
+def test_plain_words_need_no_call_for_whole_texts():
+    """Plain words go to the merge model alone, spelled as the vocabulary spells bytes; their ids are the library's."""
+    from meterflow.llm import wordpieces
+    library = Tokenizer.from_file(WORDS)
+    calls = []
+
+    class Counted:
+        model = library.model
+
+        def encode(self, text, **options):
+            calls.append(text)
+            return library.encode(text, **options)
+
+        def __getattr__(self, name):
+            calls.append(name)
+            return getattr(library, name)
+    encoder = wordpieces.WordEncoder.__new__(wordpieces.WordEncoder)
+    encoder.pieces = wordpieces._Pieces(Counted())
+    letters = [chr(c) for c in [*range(33, 127), *range(192, 256)] if chr(c) not in "×÷<"]
+    text = " ".join(["Ünïted stätes's 1234 nátion, Íñ 're don't ßÿ", *letters, *(a + b + "x" + a for a, b in zip(letters, reversed(letters)))])
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert not calls
