@@ -241,6 +241,7 @@ class Searcher:
         self.known = np.zeros((len(b.codes), b.size), bool)
         for k, codes in enumerate(b.codes):
             self.known[k, codes] = True
+        self.need = np.array([self.enough * len(codes) for codes in b.codes])
         self._post_pairs()
 
     def _post_pairs(self) -> None:
@@ -310,7 +311,7 @@ class Searcher:
             own = self.scale[pair_item] == scale
             start, item = paired[own], pair_item[own]
             end = np.minimum(start + scale, first[owner[start] + 1])
-            for w, k in zip(*self._worded(rows, start, end, np.arange(len(start)), item, scale)):
+            for w, k in zip(*self._worded(rows, held, start, end, np.arange(len(start)), item, scale)):
                 self._check(coded, first, int(owner[start[w]]), int(start[w]), int(end[w]), int(k), found)
             start = np.arange(len(rows))
             end = np.minimum(start + scale, first[owner + 1])
@@ -320,19 +321,24 @@ class Searcher:
             z = np.take(sums, end, axis=0) - np.take(sums, start, axis=0)
             near = z @ self.latent[items].T >= self.cosine * np.sqrt(np.einsum("ij,ij->i", z, z))[:, None]
             window, column = np.divmod(np.flatnonzero(near), len(items))
-            for w, k in zip(*self._worded(rows, start, end, window, np.array(items)[column], scale)):
+            for w, k in zip(*self._worded(rows, held, start, end, window, np.array(items)[column], scale)):
                 self._check(coded, first, int(owner[start[w]]), int(start[w]), int(end[w]), int(k), found)
         return found
 
-    def _worded(self, rows, start, end, window, item, scale) -> tuple[list[int], list[int]]:
-        """Candidates whose window has enough words of the item."""
+    def _worded(self, rows, held, start, end, window, item, scale) -> tuple[list[int], list[int]]:
+        """Candidates whose window has enough words of the item, and so of the benchmark at least."""
         kept = ([], [])
+        some = (held[end] - held[start])[window] >= self.need[item]
+        window, item = window[some], item[some]
+        if not len(window):
+            return kept
+        padded = np.concatenate([rows, np.zeros((1, STEP), rows.dtype)])
+        known, size = self.known.ravel(), self.known.shape[1]
         for a in range(0, len(window), 4096):
             w, k = window[a:a + 4096], item[a:a + 4096]
             at = start[w][:, None] + np.arange(scale)
-            codes = np.where((at < end[w][:, None])[:, :, None], rows[np.minimum(at, len(rows) - 1)], 0).reshape(len(w), -1)
-            need = np.array([self.enough * len(self.space.benchmark.codes[i]) for i in k])
-            good = self.known[k[:, None], codes].sum(axis=1) >= need
+            codes = np.take(padded, np.where(at < end[w][:, None], at, len(rows)), axis=0).reshape(len(w), -1)
+            good = np.count_nonzero(np.take(known, codes + (k * size)[:, None]), axis=1) >= self.need[k]
             kept[0].extend(w[good].tolist())
             kept[1].extend(k[good].tolist())
         return kept

@@ -287,3 +287,26 @@ def test_pipeline_stages_on_the_smallest_tables(spark):
     assert kept[4] == kept[3] == kept[5] and 100 < len(kept[-1]) < 200
     whole = docs.groupBy("sequence_id").sum("length").toPandas()["sum(length)"]
     assert whole.max() <= 4096
+
+
+def test_windows_with_too_few_words_are_not_looked_at():
+    """Windows whose benchmark words are too few for an item are left out before their words are compared; others as by plain counting."""
+    rng = np.random.default_rng(9)
+    items = [np.arange(1, 41), np.arange(30, 61)]
+    known = decontamination.Benchmark([1, 2], items, [i[-5:] for i in items], {str(k).encode(): k for k in range(1, 61)})
+    space = decontamination.Space(known, rng.standard_normal((known.size, 8)).astype(np.float32), np.ones(known.size, np.float32))
+    searcher = decontamination.Searcher(space, 0.5, 0.8, 0.6, 0.8)
+    rows = np.where(rng.random((60, 8)) < 0.6, rng.integers(0, 61, (60, 8)), 0)
+    held = np.concatenate([[0], np.cumsum(np.count_nonzero(rows, axis=1))])
+    window, item = np.repeat(np.arange(60), 2), np.tile([0, 1], 60)
+    start, scale = np.arange(60), 6
+    end = np.minimum(start + scale, 60)
+    words = [int(np.isin(rows[a:z], items[k]).sum()) for a, z, k in zip(start[window], end[window], item)]
+    want = [(w, k) for w, k, n in zip(window.tolist(), item.tolist(), words) if n >= 0.6 * len(items[k])]
+    assert 0 < len(want) < 120
+    assert list(zip(*searcher._worded(rows, held, start, end, window, item, scale))) == want
+    searcher.known = None
+    poor = rows.copy()
+    poor[:, 2:] = 0
+    held = np.concatenate([[0], np.cumsum(np.count_nonzero(poor, axis=1))])
+    assert searcher._worded(poor, held, start, end, window, item, scale) == ([], [])
