@@ -27,7 +27,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterflow.llm.common import CACHED, SPACES, forget, plain_names, stored, texts
@@ -396,7 +396,7 @@ def _bucket(shift: float = 0.0) -> Column:
 
 
 def _long_lists(lists: DataFrame) -> DataFrame:
-    many = lists.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= LONG).select("token")
+    many = lists.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= LONG)
     return stored(lists.select("token", "key", "size", "pos").join(_sent(stored(many, "long-tokens")), "token"), "long")
 
 
@@ -404,15 +404,17 @@ def _turn(long: DataFrame, groups: DataFrame | None, turn: int) -> DataFrame:
     """Stored pairs a, b of another pivot and of those sets of its lists that are of another group and may link with it.
 
     The pivot comes from the largest group and is the same one for all lists that it is in, so there are few pairs; sizes are cut at other
-    places in every other turn.
+    places in every other turn. The first turn takes the set whose long lists have most entries: it lies in the middle of a family of near
+    copies, so even those of them link with it that hardly link with one another. Later turns draw.
     """
     rows = long.withColumn("root", F.col("key")).withColumn("many", F.lit(0))
     if groups is not None:
         many = groups.groupBy("root").agg((-F.count("*")).alias("many"))
         group = _sent(stored(groups.select(F.col("node").alias("key"), "root").join(many, "root"), "grouped"))
         rows = long.join(group, "key", "left").withColumn("root", F.coalesce("root", "key")).withColumn("many", F.coalesce("many", F.lit(0)))
-    rows = stored(rows.withColumn("bucket", _bucket(turn % 2 / 2)), "turn")
-    pivots = rows.groupBy("token", "bucket").agg(F.min(F.struct("many", F.xxhash64(F.lit(turn), "key").alias("order"), "key", "size", "pos", "root")).alias("p"))
+    order = F.xxhash64(F.lit(turn), "key") if turn else -F.sum("n").over(Window.partitionBy("key"))
+    rows = stored(rows.withColumn("bucket", _bucket(turn % 2 / 2)).withColumn("order", order).drop("n"), "turn")
+    pivots = rows.groupBy("token", "bucket").agg(F.min(F.struct("many", "order", "pos", "key", "size", "root")).alias("p"))
     star = rows.join(pivots, ["token", "bucket"]).where((F.col("root") != F.col("p.root")) & (_room("p.size", "p.pos", "size", "pos") >= _needed("p.size", "size")))
     return stored(star.select(F.col("p.key").alias("a"), F.col("key").alias("b")).distinct(), "turn-pairs")
 

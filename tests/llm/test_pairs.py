@@ -123,6 +123,28 @@ def test_near_copies_meet_once(make, monkeypatch, bounds):
         assert made["parts"].count() <= 60 * len(rows)
 
 
+def test_a_family_links_with_its_middle(make, monkeypatch):
+    """Copies with as many changes as still link with their text, hardly with one another: few pairs are left open."""
+    made, write = {}, jaccard_join.stored
+
+    def stored(df, name):
+        made[name] = write(df, name)
+        return made[name]
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(150)]
+    rows = []
+    for i in range(400):
+        words = base[:]
+        for k in rng.sample(range(150), 0 if i == 200 else rng.choice([1, 2, 3])):
+            words[k] = f"x{i}y{k}"
+        rows.append((i, " ".join(words)))
+    sets = {i: _shingles(t) for i, t in rows}
+    want = _roots(sets, [(a, b) for a, b in itertools.combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])])
+    assert {r.doc_id: r.component_id for r in jaccard_join.similar_groups(make(rows).repartition(5)).collect()} == want
+    assert made["open-pairs"].count() <= 2 * len(rows)
+
+
 def test_parts_of_linked_sets_agree():
     rng = np.random.default_rng(5)
     tokens, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
