@@ -69,6 +69,11 @@ def per_process(key: str, make: Callable[[], object]) -> object:
     return store[key]
 
 
+def release() -> None:
+    """Drops what this worker process keeps for other work, which makes it again; whatever needs the memory itself calls this first."""
+    sys.modules.pop("_meterflow_process", None)
+
+
 def load_tokenizer(path: str) -> object:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer

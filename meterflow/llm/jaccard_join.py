@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import CACHED, SPACES, forget, plain_names, stored, texts
+from meterflow.llm.common import CACHED, SPACES, forget, plain_names, release, stored, texts
 from meterflow.llm.components import components
 
 WIDTH = 5
@@ -100,6 +100,7 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(seed: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         hashes = _Hashes()
         for batch in batches:
             sets = [shingle_set(t.as_py(), hashes, width) for t in batch.column(1)]
@@ -147,6 +148,7 @@ def frequent(sets: DataFrame, most: int = ORDERED) -> tuple[np.ndarray, np.ndarr
 
 def _distinct_sets(batches: Iterator[pa.RecordBatch], seed: int, width: int) -> Iterator[list[tuple[int, np.ndarray]]]:
     """Keys and codes of the sets of each batch that hold something, equal ones of a batch once."""
+    release()
     hashes = _Hashes()
     for batch in batches:
         found = {}

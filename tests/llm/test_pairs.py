@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from meterflow.llm import decontamination, jaccard_join
+from meterflow.llm import common, decontamination, jaccard_join
 from meterflow.llm.components import components
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
@@ -145,6 +145,14 @@ def test_a_family_links_with_its_middle(make, monkeypatch):
     assert made["open-pairs"].count() <= 2 * len(rows)
 
 
+def test_workers_release_the_caches_of_other_stages():
+    for work in (jaccard_join._sets(0, 5), jaccard_join._codes(0, 5), jaccard_join._prefixes(np.empty(0, np.uint64), np.empty(0, np.int64), 0, 5)):
+        kept = common.per_process("pieces", dict)
+        assert common.per_process("pieces", dict) is kept
+        assert not list(work(iter([])))
+        assert common.per_process("pieces", dict) is not kept
+
+
 def test_parts_of_linked_sets_agree():
     rng = np.random.default_rng(5)
     tokens, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
